@@ -6,22 +6,20 @@ from pyspark.sql import types as T
 
 from ledgerlens import config as C
 
+TEXT, NUMBER, WHOLE, INT = T.StringType(), T.DoubleType(), T.LongType(), T.IntegerType()
+DAY, FLAG = T.DateType(), T.BooleanType()
 
-def _schema(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
 
+def _schema(columns: dict[str, T.DataType], required: tuple[str, ...] = ()) -> T.StructType:
+    return T.StructType([T.StructField(n, t, n not in required) for n, t in columns.items()])
 
-# Canonical columns every journal is brought to.
-CANONICAL = (
-    "empresa", "fecha_corte", "fecha_transaccion", "cuenta_contable",
-    "id_proveedor", "nombre_tercero", "descripcion_gasto", "valor",
-)
 
-LEDGER = _schema(
-    "id_transaccion bigint not null, empresa string, fecha_corte date, fecha_transaccion date, "
-    "cuenta_contable string, id_proveedor string, nombre_tercero string, descripcion_gasto string, "
-    "valor double, grupo string, subgrupo string, status_gestion string, clasificacion_manual boolean"
-)
+# Canonical columns every journal is brought to.
+_CANONICAL = {
+    "empresa": TEXT, "fecha_corte": DAY, "fecha_transaccion": DAY, "cuenta_contable": TEXT,
+    "id_proveedor": TEXT, "nombre_tercero": TEXT, "descripcion_gasto": TEXT, "valor": NUMBER,
+}
+CANONICAL = tuple(_CANONICAL)
 
 # Columns a freshly loaded ledger lacks, with their type and default.
 LATE_COLUMNS = {
@@ -31,65 +29,71 @@ LATE_COLUMNS = {
     "clasificacion_manual": ("boolean", False),
 }
 
-PARAMETERS = _schema(
-    "fecha_corte date, pais string, categoria string, concepto string, valor double, descripcion string"
+LEDGER = _schema(
+    {
+        "id_transaccion": WHOLE, **_CANONICAL,
+        "grupo": TEXT, "subgrupo": TEXT, "status_gestion": TEXT, "clasificacion_manual": FLAG,
+    },
+    required=("id_transaccion",),
 )
+
 PARAMETER_KEY = ("fecha_corte", "pais", "categoria", "concepto")
+PARAMETERS = _schema({
+    "fecha_corte": DAY, "pais": TEXT, "categoria": TEXT, "concepto": TEXT, "valor": NUMBER, "descripcion": TEXT,
+})
 
-JOURNAL_A = _schema(
-    "fecha_corte date, d_fecha_documento date, k_sc_codigo_cuenta string, n_nit string, sc_nombre string, "
-    "sc_nombre_cuenta string, sv_observaciones string, sc_nombre_centro_costo string, n_valor double"
-)
-JOURNAL_B = _schema(
-    "fecha_corte date, fecha_docto date, cuenta string, tercero string, nombre_razon_social string, "
-    "detalle string, c_o_descripcion string, cuenta_descripcion string, c_costo_descripcion string, "
-    "valor_l1 double, d_c string"
-)
-JOURNAL_C = _schema(
-    "fecha_corte date, `FEC DOC` date, CUENTA string, ANEXO string, CONCEPTO string, `C COSTO` string, "
-    "`DEBE  - MN` double, `HABER - MN` double"
-)
-JOURNAL_C_PLAIN = _schema(
-    "fecha_corte date, fec_doc date, cuenta string, anexo string, concepto string, centro_costo string, "
-    "debe_mn double, haber_mn double"
-)
-JOURNAL_D = _schema(
-    "Com_Numero string, Com_Periodo string, Cta_Codigo string, Cli_Rut string, Cdc_Codigo string, "
-    "Dco_Glosa string, Dco_TipoDH string, Dco_Valor double"
-)
-CLIENT = _schema("Cli_Rut string, Cli_Nombre string")
-ACCOUNT = _schema("Cta_Codigo string, Cta_Glosa string")
-COST_CENTRE = _schema("Cdc_Codigo string, Cdc_glosa string")
-VOUCHER = _schema("Com_Numero string, Com_Periodo string, Com_Estado string")
-JOURNAL_E = _schema(
-    "num_comp string, cod_cuenta string, con_analisis1 string, dv_con_analisis1 string, glosa_det_comp string, "
-    "`mto_deb_$` double, `mto_hab_$` double"
-)
-JOURNAL_E_HEADER = _schema("num_comp string, fecha_comp date")
+JOURNAL_A = _schema({
+    "fecha_corte": DAY, "d_fecha_documento": DAY, "k_sc_codigo_cuenta": TEXT, "n_nit": TEXT, "sc_nombre": TEXT,
+    "sc_nombre_cuenta": TEXT, "sv_observaciones": TEXT, "sc_nombre_centro_costo": TEXT, "n_valor": NUMBER,
+})
+JOURNAL_B = _schema({
+    "fecha_corte": DAY, "fecha_docto": DAY, "cuenta": TEXT, "tercero": TEXT, "nombre_razon_social": TEXT,
+    "detalle": TEXT, "c_o_descripcion": TEXT, "cuenta_descripcion": TEXT, "c_costo_descripcion": TEXT,
+    "valor_l1": NUMBER, "d_c": TEXT,
+})
+JOURNAL_C = _schema({
+    "fecha_corte": DAY, "FEC DOC": DAY, "CUENTA": TEXT, "ANEXO": TEXT, "CONCEPTO": TEXT, "C COSTO": TEXT,
+    "DEBE  - MN": NUMBER, "HABER - MN": NUMBER,
+})
+JOURNAL_C_PLAIN = _schema({
+    "fecha_corte": DAY, "fec_doc": DAY, "cuenta": TEXT, "anexo": TEXT, "concepto": TEXT, "centro_costo": TEXT,
+    "debe_mn": NUMBER, "haber_mn": NUMBER,
+})
+JOURNAL_D = _schema({
+    "Com_Numero": TEXT, "Com_Periodo": TEXT, "Cta_Codigo": TEXT, "Cli_Rut": TEXT, "Cdc_Codigo": TEXT,
+    "Dco_Glosa": TEXT, "Dco_TipoDH": TEXT, "Dco_Valor": NUMBER,
+})
+CLIENT = _schema({"Cli_Rut": TEXT, "Cli_Nombre": TEXT})
+ACCOUNT = _schema({"Cta_Codigo": TEXT, "Cta_Glosa": TEXT})
+COST_CENTRE = _schema({"Cdc_Codigo": TEXT, "Cdc_glosa": TEXT})
+VOUCHER = _schema({"Com_Numero": TEXT, "Com_Periodo": TEXT, "Com_Estado": TEXT})
+JOURNAL_E = _schema({
+    "num_comp": TEXT, "cod_cuenta": TEXT, "con_analisis1": TEXT, "dv_con_analisis1": TEXT, "glosa_det_comp": TEXT,
+    "mto_deb_$": NUMBER, "mto_hab_$": NUMBER,
+})
+JOURNAL_E_HEADER = _schema({"num_comp": TEXT, "fecha_comp": DAY})
 
-TRAINING = T.StructType([
-    T.StructField(name, T.StringType())
-    for name in (C.SHEET_GROUP, C.SHEET_SUBGROUP, C.SHEET_DESCRIPTION, C.SHEET_ACCOUNT, C.SHEET_VENDOR)
-])
+TRAINING = _schema(dict.fromkeys(
+    (C.SHEET_GROUP, C.SHEET_SUBGROUP, C.SHEET_DESCRIPTION, C.SHEET_ACCOUNT, C.SHEET_VENDOR), TEXT
+))
 
-UPDATES_BY_ID = _schema(
-    "seq bigint, id_transaccion bigint, grupo string, subgrupo string, status_gestion string"
-)
-UPDATES_BY_VENDOR = _schema(
-    "seq bigint, nombre_tercero string, status_gestion string, grupo string, subgrupo string"
-)
-PREDICTION_INPUT = _schema(
-    "id_transaccion bigint, empresa string, cuenta_contable string, descripcion_gasto string, "
-    "id_proveedor string, nombre_tercero string"
-)
+UPDATES_BY_ID = _schema({
+    "seq": WHOLE, "id_transaccion": WHOLE, "grupo": TEXT, "subgrupo": TEXT, "status_gestion": TEXT,
+})
+UPDATES_BY_VENDOR = _schema({
+    "seq": WHOLE, "nombre_tercero": TEXT, "status_gestion": TEXT, "grupo": TEXT, "subgrupo": TEXT,
+})
+PREDICTION_INPUT = _schema({
+    "id_transaccion": WHOLE, "empresa": TEXT, "cuenta_contable": TEXT, "descripcion_gasto": TEXT,
+    "id_proveedor": TEXT, "nombre_tercero": TEXT,
+})
 
-EXCLUSIONS = _schema("empresa string, cuenta_contable string")
-DEBT_BOOK = _schema("country string, type string, balance_usd double, rate double, term_years double")
-PORTFOLIO = _schema("country string, perf double, npa double")
-CONCEPTS = _schema("categoria string, concepto string, ord int")
-SCENARIO = _schema(
-    "scenario_id string, start_date date, horizon_years double, perf_start double, npa_start double, "
-    "new_debt_amount double, new_debt_rate double, new_debt_type string, rev_rate double, cof_rate double, "
-    "prov_rate double, rec_npa_rate double, opex_pct double, tax_rate double, cogs double, dep_amort double, "
-    "fx_impact double, non_op double"
-)
+EXCLUSIONS = _schema({"empresa": TEXT, "cuenta_contable": TEXT})
+DEBT_BOOK = _schema({"country": TEXT, "type": TEXT, "balance_usd": NUMBER, "rate": NUMBER, "term_years": NUMBER})
+LOANS = _schema({"scenario_id": TEXT, "amount": NUMBER, "rate": NUMBER, "term_years": NUMBER})
+SCENARIO = _schema({
+    "scenario_id": TEXT, "start_date": DAY, "horizon_years": NUMBER, "perf_start": NUMBER, "npa_start": NUMBER,
+    "new_debt_amount": NUMBER, "new_debt_rate": NUMBER, "new_debt_type": TEXT, "rev_rate": NUMBER,
+    "cof_rate": NUMBER, "prov_rate": NUMBER, "rec_npa_rate": NUMBER, "opex_pct": NUMBER, "tax_rate": NUMBER,
+    "cogs": NUMBER, "dep_amort": NUMBER, "fx_impact": NUMBER, "non_op": NUMBER,
+})
