@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +25,7 @@ START, END, YEAR = date(1998, 1, 1), date(1999, 12, 31), 1998
 ACCOUNT_PREFIXES = ("31", "32", "42", "5", "33", "11")
 
 
+@lru_cache(maxsize=64)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -434,8 +436,8 @@ def scenarios(spark: SparkSession, sf_dir: str) -> DataFrame:
         k.cast("string").alias("scenario_id"),
         F.date_add(F.lit(date(2025, 1, 15)), (k % 400).cast("int")).alias("start_date"),
         num(k % 5 + 1).alias("horizon_years"),
-        (F.abs("c_acctbal") / 19).alias("perf_start"),
-        (F.abs("c_acctbal") / 97).alias("npa_start"),
+        (F.sqrt(F.abs("c_acctbal")) * 5).alias("perf_start"),
+        F.sqrt(F.abs("c_acctbal")).alias("npa_start"),
         num(k % 4 * 5).alias("new_debt_amount"),
         num(k % 3 * 5).alias("new_debt_rate"),
         F.when(k % 2 == 0, F.lit(C.AMORTISED)).otherwise(F.lit(C.BULLET)).alias("new_debt_type"),

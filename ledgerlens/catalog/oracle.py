@@ -97,10 +97,10 @@ _CTE = {
   WHERE grupo IS NOT NULL AND nombre_tercero <> '' AND nombre_tercero <> 'SIN_ID'),
 modes AS (
   SELECT g.nombre_tercero, grupo_comun, subgrupo_comun FROM (
-    SELECT nombre_tercero, grupo AS grupo_comun FROM named GROUP BY ALL
+    SELECT nombre_tercero, grupo AS grupo_comun FROM named GROUP BY nombre_tercero, grupo
     QUALIFY row_number() OVER (PARTITION BY nombre_tercero ORDER BY count(*) DESC, grupo) = 1) g
   LEFT JOIN (
-    SELECT nombre_tercero, subgrupo AS subgrupo_comun FROM named WHERE subgrupo IS NOT NULL GROUP BY ALL
+    SELECT nombre_tercero, subgrupo AS subgrupo_comun FROM named WHERE subgrupo IS NOT NULL GROUP BY nombre_tercero, subgrupo
     QUALIFY row_number() OVER (PARTITION BY nombre_tercero ORDER BY count(*) DESC, subgrupo) = 1) s
   ON g.nombre_tercero = s.nombre_tercero)""",
     "unified": """unified AS (
@@ -153,7 +153,7 @@ balances AS (
 schedule AS (SELECT id, month, CASE WHEN b > 0.01 THEN b * r ELSE 0 END AS interest FROM balances)""",
     "scenarios": """scenarios AS (
   SELECT c_custkey::VARCHAR AS id, DATE '2025-01-15' + CAST(c_custkey % 400 AS INTEGER) AS start_date,
-    CAST((c_custkey % 5 + 1) * 12 AS INTEGER) AS n, abs(c_acctbal) / 19 AS perf, abs(c_acctbal) / 97 AS npa,
+    CAST((c_custkey % 5 + 1) * 12 AS INTEGER) AS n, sqrt(abs(c_acctbal)) * 5 AS perf, sqrt(abs(c_acctbal)) AS npa,
     (c_custkey % 4 * 5)::DOUBLE AS nd, (c_custkey % 3 * 5) / 1200.0::DOUBLE AS nr, c_custkey % 2 = 0 AS level_pay,
     (c_custkey % 20 + 10) / 1200.0::DOUBLE AS r_rev, (c_custkey % 7 + 4) / 1200.0::DOUBLE AS r_cof,
     (c_custkey % 5) / 2400.0::DOUBLE AS r_prov,
@@ -173,8 +173,8 @@ nd_month AS (
   SELECT id, month, balance, balance * nr AS interest,
     CASE WHEN nd > 0 AND level_pay THEN cuota - balance * nr WHEN nd > 0 AND month = n - 1 THEN balance ELSE 0 END AS principal
   FROM newdebt)""",
-    "pnl": """interest AS (SELECT id, month, sum(interest) AS i FROM schedule GROUP BY ALL),
-months AS (
+    "pnl": """interest AS MATERIALIZED (SELECT id, month, sum(interest) AS i FROM schedule GROUP BY ALL),
+months AS MATERIALIZED (
   SELECT d.id, d.month, d.interest + coalesce(i.i, 0) AS int_total, d.principal FROM nd_month d
   LEFT JOIN interest i ON d.id = i.id AND d.month = i.month),
 run AS (
@@ -325,7 +325,7 @@ def _facets() -> str:
 
 
 def _mode(column: str) -> str:
-    return f"""(SELECT nombre_tercero, {column} FROM chosen GROUP BY ALL
+    return f"""(SELECT nombre_tercero, {column} FROM chosen GROUP BY nombre_tercero, {column}
     QUALIFY row_number() OVER (PARTITION BY nombre_tercero ORDER BY count(*) DESC, {column}) = 1)"""
 
 
@@ -471,9 +471,9 @@ def oracle_sql() -> dict[str, str]:
         "debt_schedule": _with(("loans", "schedule"), "SELECT id AS loan_id, month, round(interest, 4) AS interest FROM schedule"),
         "debt_interest_total": _with(("scenario_loans", "schedule"), """SELECT id AS scenario_id, month, round(sum(interest), 4) AS interest
   FROM schedule GROUP BY ALL"""),
-        "debt_allocation": _with(("debts",), "SELECT debt_id, vista, country, type, round(balance, 4) AS balance, rate FROM allocated"),
-        "debt_union": _with(("debts",), """SELECT vista, country = 'EEUU' AS shared, type, round(sum(balance), 4) AS balance FROM allocated GROUP BY ALL"""),
-        "debt_total": _with(("debts",), "SELECT vista, round(sum(balance), 4) AS total FROM allocated GROUP BY ALL"),
+        "debt_allocation": _with(("debts",), "SELECT debt_id, vista, country, type, round(balance, 6) AS balance, rate FROM allocated"),
+        "debt_union": _with(("debts",), """SELECT vista, country = 'EEUU' AS shared, type, round(sum(balance), 6) AS balance FROM allocated GROUP BY ALL"""),
+        "debt_total": _with(("debts",), "SELECT vista, round(sum(balance), 6) AS total FROM allocated GROUP BY ALL"),
         "new_debt_schedule": _with(("scenarios", "newdebt"), """SELECT id AS scenario_id, month, round(balance, 4) AS balance, round(interest, 4) AS interest,
   round(principal, 4) AS principal FROM nd_month""", recursive=True),
         "npa_runoff": _with(("scenarios",), """SELECT id AS scenario_id, m AS month, round(npa * pow(1 - r_rec, m), 4) AS npa,

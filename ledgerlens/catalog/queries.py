@@ -634,7 +634,7 @@ def debt_interest_total(spark, sf):
 
 @_register
 def debt_allocation(spark, sf):
-    return _rounded(J.debt_allocation(X.debts(spark, sf)).select("debt_id", "vista", "country", "type", "balance", "rate"))
+    return _rounded(J.debt_allocation(X.debts(spark, sf)).select("debt_id", "vista", "country", "type", "balance", "rate"), 6)
 
 
 @_register
@@ -642,12 +642,12 @@ def debt_union(spark, sf):
     """Own and shared debt per view and kind."""
     allocated = J.debt_allocation(X.debts(spark, sf))
     shared = (F.col("country") == C.SHARED_DEBT_COUNTRY).alias("shared")
-    return _rounded(allocated.groupBy("vista", shared, "type").agg(F.sum("balance").alias("balance")))
+    return _rounded(allocated.groupBy("vista", shared, "type").agg(F.sum("balance").alias("balance")), 6)
 
 
 @_register
 def debt_total(spark, sf):
-    return _rounded(N.debt_total(J.debt_allocation(X.debts(spark, sf))))
+    return _rounded(N.debt_total(J.debt_allocation(X.debts(spark, sf))), 6)
 
 
 @_register

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens import config as C
 from ledgerlens.functions import columns as X
+from ledgerlens.session import spread
 
 # Result columns of a projection: end-of-month balances, then the flows of the month.
 BALANCES = ("fiu_performing", "fiu_npa")
@@ -34,20 +35,30 @@ def _level_balance(principal: Column, rate: Column, n: Column, k: Column) -> Col
     return F.when(rate == 0, principal * (1 - k / n)).otherwise(growing)
 
 
+def _level_payment(principal: Column, rate: Column, n: Column) -> Column:
+    return F.when(rate == 0, principal / n).otherwise(principal * rate / -F.expm1(-F.log1p(rate) * n))
+
+
 def debt_schedule(loans: DataFrame, months: int = C.DEBT_MONTHS) -> DataFrame:
     """Monthly interest of each loan; loans have amount, rate (yearly %) and term_years.
 
     One row per loan and month 0, 1, …; all zero without a positive amount and term.
     """
-    rate = _monthly(F.col("rate"))
     term = F.coalesce("term_years", F.lit(C.DEFAULT_TERM_YEARS))
-    n = F.greatest(F.lit(1), _months(term))
+    terms = spread(loans).withColumns({
+        "_rate": _monthly(F.col("rate")),
+        "_n": F.when((F.col("amount") > 0) & (term > 0), F.greatest(F.lit(1), _months(term))).otherwise(F.lit(0)),
+    })
     k = F.col("month")
-    runs = (F.col("amount") > 0) & (term > 0) & (k < n)
-    balance = F.when(runs, _level_balance(F.col("amount"), rate, n, k)).otherwise(F.lit(0.0))
-    return loans.withColumn("month", F.explode(F.sequence(F.lit(0), F.lit(months - 1)))).withColumn(
-        "interest",
-        F.when(balance > C.REPAID_BELOW, balance * rate).otherwise(F.lit(0.0)),
+    balance = F.when(k < F.col("_n"), _level_balance(F.col("amount"), F.col("_rate"), F.col("_n"), k))
+    return (
+        terms.withColumn("month", F.explode(F.sequence(F.lit(0), F.lit(months - 1))))
+        .withColumn("_balance", balance)
+        .withColumn(
+            "interest",
+            F.when(F.col("_balance") > C.REPAID_BELOW, F.col("_balance") * F.col("_rate")).otherwise(F.lit(0.0)),
+        )
+        .drop("_rate", "_n", "_balance")
     )
 
 
@@ -108,27 +119,6 @@ def npa_runoff(scenarios: DataFrame) -> DataFrame:
     )
 
 
-def _statement(x: Column, npa: Column, existing: Column, new_interest: Column) -> dict[str, Column]:
-    """Positive amounts of one month that opens with performing balance ``x``."""
-    s = F.col
-    revenue = x * _monthly(s("rev_rate"))
-    cof = x * _monthly(s("cof_rate"))
-    provisions = (x + npa) * _monthly(s("prov_rate"))
-    cogs, dep = s("cogs") / 12, s("dep_amort") / 12
-    fx, other = s("fx_impact") / 12, s("non_op") / 12
-    gross = revenue - provisions - cof - cogs
-    opex = revenue * (s("opex_pct") / 100)
-    ebitda = gross - opex
-    interest = new_interest + existing
-    ebt = ebitda - dep + fx + other - interest
-    tax = F.greatest(F.lit(0.0), ebt * (s("tax_rate") / 100))
-    return {
-        "revenue": revenue, "cof": cof, "provisions": provisions, "cogs": cogs, "gross": gross,
-        "opex": opex, "ebitda": ebitda, "dep": dep, "fx": fx, "other": other,
-        "interest": interest, "ebt": ebt, "tax": tax, "net": ebt - tax,
-    }
-
-
 def check_scenarios(scenarios: DataFrame) -> DataFrame:
     """Scenarios, failing on a recovery above 100 %, which has no real monthly rate."""
     return scenarios.withColumn(
@@ -143,69 +133,124 @@ def check_scenarios(scenarios: DataFrame) -> DataFrame:
 def project_pnl(scenarios: DataFrame, loans: DataFrame | None = None) -> DataFrame:
     """Monthly profit and loss of every scenario; see ``schemas.SCENARIO``.
 
-    ``loans`` hold the existing debt: scenario_id, amount, rate, term_years. Only the performing
-    balance depends on the month before, through the tax floor; it is folded over an array with one
-    element per month. All else is computed per month afterwards. A scenario is one row until then,
-    so the work splits over scenarios without a shuffle, but for the join with its interest.
+    ``loans`` hold the existing debt: scenario_id, amount, rate, term_years. A month's balances
+    depend on the month before through the tax floor, so they are folded over the months inside the
+    scenario's own row; the result columns follow per month. But for the join with the existing
+    interest nothing is shuffled, and scenarios spread over all tasks.
     """
-    base = check_scenarios(scenarios)
+    base = check_scenarios(scenarios).filter(F.col("horizon_years") * 12 >= 1)
     if loans is None:
-        base = base.withColumn("_interest", F.create_map().cast("map<int,double>"))
+        base = spread(base).withColumn("_interest", F.array().cast("array<double>"))
     else:
-        interest = (
-            debt_interest_total(debt_schedule(loans))
-            .filter("interest <> 0")
-            .groupBy("scenario_id")
-            .agg(F.map_from_entries(F.collect_list(F.struct("month", "interest"))).alias("_interest"))
+        # The arrays are far larger than the loans they come from, which misleads size estimates:
+        # they are never broadcast.
+        base = base.join(_interest_arrays(loans).hint("merge"), "scenario_id", "left")
+    amount = F.col("new_debt_amount")
+    rate = _monthly(F.col("new_debt_rate"))
+    n = _months(F.col("horizon_years"))
+    kind = F.when(amount > 0, F.col("new_debt_type"))
+    scalars = base.select(
+        *scenarios.columns,
+        "_interest",
+        n.alias("_n"),
+        rate.alias("_rate"),
+        _recovery().alias("_recovery"),
+        F.when(kind == C.AMORTISED, _level_payment(amount, rate, n)).alias("_payment"),
+        F.coalesce(kind == C.BULLET, F.lit(False)).alias("_bullet"),
+        # Earnings before tax are linear in the opening performing balance x: slope * x + fixed.
+        (
+            _monthly(F.col("rev_rate")) * (1 - F.col("opex_pct") / 100)
+            - _monthly(F.col("cof_rate")) - _monthly(F.col("prov_rate"))
+        ).alias("_slope"),
+        ((F.col("fx_impact") + F.col("non_op") - F.col("cogs") - F.col("dep_amort")) / 12).alias("_fixed"),
+        _monthly(F.col("prov_rate")).alias("_provision"),
+        (F.col("tax_rate") / 100).alias("_tax"),
+        (F.col("dep_amort") / 12).alias("_dep"),
+    )
+    c = F.col
+
+    def month(state: Column, k: Column) -> Column:
+        """Opening balances of a month and what it pays, appended to the state."""
+        x, npa, debt = state["x"], state["npa"], state["debt"]
+        owed = debt * c("_rate")
+        paid = owed + F.coalesce(F.get("_interest", k), F.lit(0.0))
+        recovered = npa * c("_recovery")
+        principal = (
+            F.when(c("_payment").isNotNull(), c("_payment") - owed)
+            .when(c("_bullet") & (k == c("_n") - 1), debt)
+            .otherwise(F.lit(0.0))
+        )
+        ebt = x * c("_slope") + c("_fixed") - npa * c("_provision") - paid
+        # A negative result pays no tax.
+        net = F.least(ebt, ebt * (1 - c("_tax")))
+        closing = x + net + c("_dep") + recovered - principal
+        row = F.struct(
+            k.alias("month"), x.alias("x"), npa.alias("npa"), paid.alias("paid"), closing.alias("closing")
         )
-        base = base.join(interest, "scenario_id", "left")
-    base = base.filter(_months(F.col("horizon_years")) > 0)
-
-    def drivers(k: Column) -> Column:
-        balance, new_interest, principal = _new_debt(k)
-        existing = F.coalesce(F.try_element_at("_interest", k), F.lit(0.0))
         return F.struct(
-            k.alias("k"), _npa(k).alias("npa"), new_interest.alias("new_interest"),
-            principal.alias("principal"), existing.alias("existing"),
+            closing.alias("x"), (npa - recovered).alias("npa"), (debt - principal).alias("debt"),
+            F.concat(state["rows"], F.array(row)).alias("rows"),
         )
 
-    def step(state: Column, m: Column) -> Column:
-        x = state["x"]
-        of_month = _statement(x, m["npa"], m["existing"], m["new_interest"])
-        flow = of_month["net"] + of_month["dep"] + m["npa"] * _recovery() - m["principal"]
-        return F.struct((x + flow).alias("x"), F.concat(state["opening"], F.array(x)).alias("opening"))
-
-    months = F.transform(F.sequence(F.lit(0), _months(F.col("horizon_years")) - 1), drivers)
+    empty = F.array().cast("array<struct<month:int,x:double,npa:double,paid:double,closing:double>>")
     start = F.struct(
-        F.col("perf_start").alias("x"), F.array().cast("array<double>").alias("opening")
+        c("perf_start").alias("x"), c("npa_start").alias("npa"), amount.alias("debt"), empty.alias("rows")
     )
-    folded = base.withColumn("_months", months).withColumn("_fold", F.aggregate("_months", start, step))
-    closing = F.concat(F.col("_fold.opening"), F.array("_fold.x"))
-    rows = folded.withColumn("_closing", closing).withColumn("_m", F.explode("_months"))
-    at = F.col("_m.k")
-    s = _statement(
-        F.element_at("_closing", at + 1), F.col("_m.npa"), F.col("_m.existing"), F.col("_m.new_interest")
+    run = F.aggregate(F.sequence(F.lit(0), c("_n") - 1), start, month, lambda state: state["rows"])
+    drivers = [d for d in scenarios.columns if d not in ("perf_start", "npa_start")]
+    return _statement(scalars.select(*drivers, "_recovery", F.inline(run)))
+
+
+def _interest_arrays(loans: DataFrame) -> DataFrame:
+    """Interest of the existing debt of each scenario, as an array over the months from 0 on."""
+    by_month = F.array_sort(F.collect_list(F.struct("month", "interest")))
+    return (
+        debt_interest_total(debt_schedule(loans))
+        .groupBy("scenario_id")
+        .agg(by_month["interest"].alias("_interest"))
+    )
+
+
+def _statement(months: DataFrame) -> DataFrame:
+    """Result columns from scenario drivers and, per month, the opening balances ``x`` and ``npa``,
+    the ``closing`` performing balance and the interest ``paid``."""
+    c = F.col
+    lines = months.withColumns({
+        "revenues": c("x") * _monthly(c("rev_rate")),
+        "_cof": c("x") * _monthly(c("cof_rate")),
+        "_provisions": (c("x") + c("npa")) * _monthly(c("prov_rate")),
+        "_cogs": c("cogs") / 12,
+        "_dep": c("dep_amort") / 12,
+        "exchange_rates": c("fx_impact") / 12,
+        "non_operating": c("non_op") / 12,
+    }).withColumns({
+        "gross_income": c("revenues") - c("_provisions") - c("_cof") - c("_cogs"),
+        "_opex": c("revenues") * (c("opex_pct") / 100),
+    }).withColumn("ebitda", c("gross_income") - c("_opex")).withColumn(
+        "ebt", c("ebitda") - c("_dep") + c("exchange_rates") + c("non_operating") - c("paid")
+    ).withColumn(
+        "_taxes", F.greatest(F.lit(0.0), c("ebt") * (c("tax_rate") / 100))
     )
-    return rows.select(
+    return lines.select(
         "scenario_id",
-        at.alias("month"),
-        F.last_day(F.add_months("start_date", at)).alias("month_end"),
-        F.element_at("_closing", at + 2).alias("fiu_performing"),
-        (F.col("_m.npa") * (1 - _recovery())).alias("fiu_npa"),
-        s["revenue"].alias("revenues"),
-        (-s["provisions"]).alias("provisions"),
-        (-s["cof"]).alias("cof"),
-        (-s["cogs"]).alias("cogs"),
-        s["gross"].alias("gross_income"),
-        (-s["opex"]).alias("opex"),
-        s["ebitda"].alias("ebitda"),
-        (-s["dep"]).alias("dep_amort"),
-        s["fx"].alias("exchange_rates"),
-        s["other"].alias("non_operating"),
-        (-s["interest"]).alias("financial_expenses"),
-        s["ebt"].alias("ebt"),
-        (-s["tax"]).alias("taxes"),
-        s["net"].alias("earnings"),
+        "month",
+        F.last_day(F.add_months("start_date", c("month"))).alias("month_end"),
+        c("closing").alias("fiu_performing"),
+        (c("npa") * (1 - c("_recovery"))).alias("fiu_npa"),
+        "revenues",
+        (-c("_provisions")).alias("provisions"),
+        (-c("_cof")).alias("cof"),
+        (-c("_cogs")).alias("cogs"),
+        "gross_income",
+        (-c("_opex")).alias("opex"),
+        "ebitda",
+        (-c("_dep")).alias("dep_amort"),
+        "exchange_rates",
+        "non_operating",
+        (-c("paid")).alias("financial_expenses"),
+        "ebt",
+        (-c("_taxes")).alias("taxes"),
+        (c("ebt") - c("_taxes")).alias("earnings"),
     )
 
 

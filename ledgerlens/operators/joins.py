@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,20 +20,22 @@ SALTS = 32
 
 def measure_keys(tables: dict[str, tuple[DataFrame, str]]) -> dict[str, tuple[int, int]]:
     """Size in bytes and highest repetition of a key, for several lookups in one job."""
-    parts = []
-    for name, (df, key) in tables.items():
-        width = sum((F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in df.columns), F.lit(8 * len(df.columns)))
-        parts.append(
-            df.filter(F.col(key).isNotNull())
-            .groupBy(F.col(key).cast("string").alias("k"))
-            .agg(F.count(F.lit(1)).alias("n"), F.sum(width.cast("bigint")).alias("b"))
-            .agg(F.max("n").alias("n"), F.sum("b").alias("b"))
-            .select(F.lit(name).alias("name"), "n", "b")
+    def keys(name: str, df: DataFrame, key: str) -> DataFrame:
+        lengths = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in df.columns]
+        return df.filter(F.col(key).isNotNull()).select(
+            F.lit(name).alias("name"),
+            F.col(key).cast("string").alias("k"),
+            # 8 bytes per column beside its text.
+            reduce(add, lengths, F.lit(8 * len(lengths))).cast("bigint").alias("b"),
         )
-    union = parts[0]
-    for part in parts[1:]:
-        union = union.unionByName(part)
-    return {r.name: (r.b or 0, r.n or 0) for r in union.collect()}
+
+    counted = (
+        reduce(DataFrame.unionAll, [keys(name, df, key) for name, (df, key) in tables.items()])
+        .groupBy("name", "k").agg(F.count(F.lit(1)).alias("n"), F.sum("b").alias("b"))
+        .groupBy("name").agg(F.sum("b").alias("b"), F.max("n").alias("n"))
+    )
+    found = {r.name: (r.b, r.n) for r in counted.collect()}
+    return {name: found.get(name, (0, 0)) for name in tables}
 
 
 def require_unique(name: str, df: DataFrame, key: str) -> None:

@@ -19,6 +19,8 @@ def build_session(app: str = "ledgerlens", master: str | None = None, **options:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        # Saves a stack walk per column expression while plans are built.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **options,
     }
     for key, value in settings.items():
@@ -55,3 +57,10 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Share a table of few files among all cores, before its rows are expanded or computed at
+    length. A table of many files is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
