@@ -21,7 +21,7 @@ from ledgerlens.operators import ledger as L
 from ledgerlens.operators import trends as T
 from ledgerlens.operators import writeback as W
 from ledgerlens.plans.load import extract
-from ledgerlens.session import fresh_path
+from ledgerlens.session import fresh_path, spread
 from ledgerlens.sources import exports
 from ledgerlens.sources.readers import ledger_scan
 from ledgerlens.sources.registry import registry_table
@@ -570,9 +570,6 @@ def tfidf(spark, sf):
     )
 
 
-_TREES = C.TREES
-
-
 @_register
 def train_group(spark, sf):
     """Group of the hold-out documents by a forest trained on the others."""
@@ -585,7 +582,7 @@ def train_subgroup(spark, sf):
 
 
 def _trained_target(spark: SparkSession, sf: str, target: str) -> DataFrame:
-    rows, held = M.split_80_20(_labelled(X.training_documents(spark, sf)))
+    rows, held = M.split_80_20(spread(_labelled(X.training_documents(spark, sf))))
     features = M.fit_tfidf(rows)
     forest = M.fit_forest(features.transform(rows), target)
     return (

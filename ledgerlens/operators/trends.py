@@ -78,14 +78,12 @@ def month_vendor_matrix(view: DataFrame, months: Sequence[date] | None = None) -
 def growth_alerts(view: DataFrame) -> DataFrame:
     """Vendors whose total rose over the last three observed months and ended above the floor."""
     months = observed_months(view, C.ALERT_MONTHS)
-    enough = len(months) == C.ALERT_MONTHS
-    if not enough:
-        months = [date(1, 1, 1)] * C.ALERT_MONTHS
+    if len(months) < C.ALERT_MONTHS:
+        view, months = view.filter(F.lit(False)), [date(1970, 1, 1)] * C.ALERT_MONTHS
     starts = F.trunc("fecha_corte", "MM")
     amount, none = X.exact("valor"), F.lit(0).cast(X.MONEY)
-    recent = view.filter(
-        F.lit(enough) & (F.col("fecha_corte") >= F.lit(months[0])) & starts.isin(months)
-    )
+    # The first date alone reaches the scan and skips files and row groups.
+    recent = view.filter((F.col("fecha_corte") >= F.lit(months[0])) & starts.isin(months))
     sums = recent.groupBy("nombre_tercero").agg(*[
         F.sum(F.when(starts == F.lit(m), amount).otherwise(none)).alias(f"m{i}")
         for i, m in enumerate(months, 1)
