@@ -48,13 +48,17 @@ def _spec(empresa: str):
     return next(s for s in X.specs() if s.empresa == empresa)
 
 
+def _dims(spark: SparkSession, sf: str) -> J.Dimensions:
+    return J.check_dims(X.clients(spark, sf), X.accounts(spark, sf), X.cost_centres(spark, sf))
+
+
 def _star_ledger(spark: SparkSession, sf: str) -> DataFrame:
     """Star-layout lines of all companies through the load steps."""
     tables = X.star_tables(spark, sf)
     lines = P.account_prefix_filter(tables["detail"], C.JOURNAL_PREFIXES, "Cta_Codigo")
     lines = P.period_filter(lines, X.SINCE, "Com_Periodo", "period")
     lines = J.join_header(lines, P.voucher_not_void(tables["voucher"]))
-    lines = J.enrich_dims(lines, tables["client"], tables["account"], tables["cost_centre"])
+    lines = J.enrich_dims(lines, _dims(spark, sf))
     rows = L.account_exclusion(K.canonical_d(lines), X.exclusions(spark, sf))
     return K.normalize_ledger(rows)
 
@@ -100,7 +104,7 @@ def canonical_c(spark, sf):
 @_register
 def canonical_d(spark, sf):
     tables = X.star_tables(spark, sf)
-    lines = J.enrich_dims(tables["detail"], tables["client"], tables["account"], tables["cost_centre"])
+    lines = J.enrich_dims(tables["detail"], _dims(spark, sf))
     return K.canonical_d(lines)
 
 
@@ -132,8 +136,8 @@ def normalize_ledger(spark, sf):
 @_register
 def consolidate(spark, sf):
     """All thirteen journals, each by its own layout and rules."""
-    excluded = X.exclusions(spark, sf)
-    return L.consolidate([extract(X.journal(spark, sf, s), s, excluded) for s in X.specs()])
+    excluded, dims = X.exclusions(spark, sf), _dims(spark, sf)
+    return L.consolidate([extract(X.journal(spark, sf, s), s, excluded, dims) for s in X.specs()])
 
 
 @_register
@@ -184,7 +188,7 @@ def voucher_valid(spark, sf):
 @_register
 def enrich_dims(spark, sf):
     t = X.star_tables(spark, sf)
-    return J.enrich_dims(t["detail"], t["client"], t["account"], t["cost_centre"]).select(
+    return J.enrich_dims(t["detail"], _dims(spark, sf)).select(
         "Com_Numero", "Cta_Codigo", "Cli_Rut", "Cdc_Codigo", "Cli_Nombre", "Cta_Glosa", "Cdc_glosa", "Dco_Valor"
     )
 
@@ -559,14 +563,13 @@ def split_80_20(spark, sf):
 
 @_register
 def tfidf(spark, sf):
-    """Term weights of the training documents: number of terms and length of each vector."""
-    rows = _labelled(X.training_documents(spark, sf))
-    model = M.fit_tfidf(rows)
+    """Term weights of the training documents: number of terms and largest weight of each."""
+    rows = spread(_labelled(X.training_documents(spark, sf)))
     weights = M.vector_to_array("features")
-    return model.transform(rows).select(
+    return M.fit_tfidf(rows).transform(rows).select(
         "grupo", "cuenta_contable",
-        F.size(F.filter(weights, lambda w: w > 0)).alias("terms"),
-        F.round(F.sqrt(F.aggregate(weights, F.lit(0.0), lambda a, w: a + w * w)), 6).alias("norm"),
+        F.size(F.array_remove(weights, 0.0)).alias("terms"),
+        F.round(F.array_max(weights), 6).alias("top_weight"),
     )
 
 

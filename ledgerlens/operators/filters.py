@@ -126,22 +126,31 @@ def facet_filter(df: DataFrame, choices: dict[str, Sequence[str]]) -> DataFrame:
 
 
 def facet_values(df: DataFrame, choices: dict[str, Sequence[str]]) -> DataFrame:
-    """Distinct values each level offers, given the choices on the levels before it; one scan."""
+    """Distinct values each level offers, given the choices on the levels before it; one scan.
+
+    The outer levels have few combinations, so a row is reduced to its combination and, when it
+    passes them all, its vendor before anything is spread out by level.
+    """
+    *outer, vendor = FACETS
+    before: dict[str, Column] = {}
     passed: Column = F.lit(True)
-    offers = []
     for level in FACETS:
-        offers.append(
-            F.when(passed, F.struct(F.lit(level).alias("nivel"), F.col(level).alias("valor")))
-        )
+        before[level] = passed
         test = _chosen(level, choices)
         if test is not None:
             passed = passed & test
-    return (
-        df.select(F.explode(F.array_compact(F.array(*offers))).alias("o"))
-        .select("o.nivel", "o.valor")
-        .filter(F.col("valor").isNotNull())
-        .distinct()
-    )
+    none = F.lit(None).cast("string")
+    combination = F.struct(*outer, none.alias(vendor))
+    passing = F.when(before[vendor], F.struct(*[none.alias(c) for c in outer], F.col(vendor)))
+    reduced = df.select(F.inline(F.array_compact(F.array(combination, passing)))).distinct()
+    offers = [
+        F.when(
+            (before[level] if level in outer else F.lit(True)) & F.col(level).isNotNull(),
+            F.struct(F.lit(level).alias("nivel"), F.col(level).alias("valor")),
+        )
+        for level in FACETS
+    ]
+    return reduced.select(F.inline(F.array_compact(F.array(*offers)))).distinct()
 
 
 def status_filter(df: DataFrame, statuses: Sequence[str] = C.OPEN_STATUSES) -> DataFrame:

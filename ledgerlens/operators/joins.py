@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 from operator import add
 
@@ -68,21 +69,32 @@ def lookup_join(
     return salted_facts.join(salted_lookup, [key, "_salt"], "left").drop("_salt")
 
 
-def enrich_dims(
-    detail: DataFrame, client: DataFrame, account: DataFrame, cost_centre: DataFrame
-) -> DataFrame:
-    """Journal lines with client name, account gloss and cost-centre gloss."""
-    dims = {
+@dataclass(frozen=True)
+class Dimensions:
+    """Client, account and cost-centre tables of a star journal, checked and measured."""
+
+    tables: dict[str, tuple[DataFrame, str]]
+    sizes: dict[str, int]
+
+
+def check_dims(client: DataFrame, account: DataFrame, cost_centre: DataFrame) -> Dimensions:
+    """Measure the dimensions in one job and fail on a repeated key."""
+    tables = {
         "client": (client.select("Cli_Rut", "Cli_Nombre"), "Cli_Rut"),
         "account": (account.select("Cta_Codigo", "Cta_Glosa"), "Cta_Codigo"),
         "cost_centre": (cost_centre.select("Cdc_Codigo", "Cdc_glosa"), "Cdc_Codigo"),
     }
-    measured = measure_keys(dims)
-    for name, (dim, key) in dims.items():
-        size, repeats = measured[name]
-        if repeats > 1:
+    measured = measure_keys(tables)
+    for name, (dim, key) in tables.items():
+        if measured[name][1] > 1:
             require_unique(name, dim, key)
-        detail = lookup_join(detail, dim, key, size)
+    return Dimensions(tables, {name: size for name, (size, _) in measured.items()})
+
+
+def enrich_dims(detail: DataFrame, dims: Dimensions) -> DataFrame:
+    """Journal lines with client name, account gloss and cost-centre gloss."""
+    for name, (dim, key) in dims.tables.items():
+        detail = lookup_join(detail, dim, key, dims.sizes[name])
     return detail
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgerlens import schemas as S
+from ledgerlens.operators.joins import lookup_join
 from ledgerlens.session import materialize
 
 # monotonically_increasing_id keeps the partition above this many bits and the row below.
@@ -27,8 +28,14 @@ def consolidate(sources: Iterable[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [s.select(*S.CANONICAL) for s in sources])
 
 
+def _first_ids(sizes: DataFrame, key: str) -> DataFrame:
+    """(key, n) -> (key, _first): how many rows lie before each written part. One row per part."""
+    before = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+    return sizes.select(key, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_first"))
+
+
 def assign_ids(df: DataFrame, *order: Column | str) -> DataFrame:
-    """Dense unique ``id_transaccion`` from 1 on, in the given order, else in the order of storage.
+    """Dense unique ``id_transaccion`` from 1 on, in the given order, else in the order of arrival.
 
     Rows are written once with their position inside their partition; the few partition sizes then
     give each partition its first id. No window runs over rows, and equal rows may lie in several
@@ -37,19 +44,30 @@ def assign_ids(df: DataFrame, *order: Column | str) -> DataFrame:
     if order:
         df = df.withColumn("_seen", F.monotonically_increasing_id()).orderBy(*order, "_seen").drop("_seen")
     placed = materialize(df.withColumn("_pos", F.monotonically_increasing_id()), "ids")
-    part = F.shiftright("_pos", _ROW_BITS)
-    sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("n"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per written partition.
-    firsts = sizes.select("_part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_first"))
+    placed = placed.withColumn("_part", F.shiftright("_pos", _ROW_BITS))
+    firsts = _first_ids(placed.groupBy("_part").agg(F.count(F.lit(1)).alias("n")), "_part")
     row = F.col("_pos").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    return (
-        placed.withColumn("_part", part)
-        .join(F.broadcast(firsts), "_part")
-        .select((F.col("_first") + row + 1).alias("id_transaccion"), *df.columns)
+    # As many rows as there are written partitions.
+    return placed.join(F.broadcast(firsts), "_part").select(
+        (F.col("_first") + row + 1).alias("id_transaccion"), *df.columns
     )
 
 
+def assign_ids_stored(tables: Iterable[DataFrame]) -> DataFrame:
+    """:func:`assign_ids` for tables that are parquet at rest, one below the other.
+
+    A row is known by its file and its place in the file, so nothing is sorted or written again.
+    """
+    placed = reduce(DataFrame.unionByName, [
+        t.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+        for t in tables
+    ])
+    firsts = _first_ids(placed.groupBy("_file").agg(F.count(F.lit(1)).alias("n")), "_file")
+    numbered = lookup_join(placed, firsts, "_file")
+    columns = [c for c in placed.columns if c not in ("_file", "_row")]
+    return numbered.select((F.col("_first") + F.col("_row") + 1).alias("id_transaccion"), *columns)
+
+
 def evolve_schema(df: DataFrame) -> DataFrame:
     """Add the late columns that are missing, with their defaults."""
     missing = {

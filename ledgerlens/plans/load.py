@@ -6,9 +6,7 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from ledgerlens import config as C
 from ledgerlens.operators import canonical as K
 from ledgerlens.operators.aggregates import ingest_audit
 from ledgerlens.operators.filters import (
@@ -17,8 +15,19 @@ from ledgerlens.operators.filters import (
     voucher_not_void,
     voucher_numbered,
 )
-from ledgerlens.operators.joins import enrich_dims, join_detail_header, join_header
-from ledgerlens.operators.ledger import account_exclusion, assign_ids, consolidate, evolve_schema
+from ledgerlens.operators.joins import (
+    Dimensions,
+    check_dims,
+    enrich_dims,
+    join_detail_header,
+    join_header,
+)
+from ledgerlens.operators.ledger import (
+    account_exclusion,
+    assign_ids_stored,
+    consolidate,
+    evolve_schema,
+)
 from ledgerlens.session import materialize
 from ledgerlens.sources.readers import read_source
 from ledgerlens.sources.registry import SourceSpec, registry_table
@@ -27,7 +36,7 @@ from ledgerlens.sources.tables import write_version
 Tables = Mapping[str, DataFrame]
 
 
-def _star_lines(tables: Tables, spec: SourceSpec) -> DataFrame:
+def _star_lines(tables: Tables, spec: SourceSpec, dims: Dimensions | None) -> DataFrame:
     """Star-layout lines, filtered before they are joined."""
     lines = account_prefix_filter(tables["detail"], spec.prefixes, "Cta_Codigo")
     lines = period_filter(lines, spec.since, "Com_Periodo", "year" if spec.by_year else "period")
@@ -35,13 +44,21 @@ def _star_lines(tables: Tables, spec: SourceSpec) -> DataFrame:
         lines = join_header(lines, voucher_not_void(tables["voucher"]))
     else:
         lines = voucher_numbered(lines)
-    return enrich_dims(lines, tables["client"], tables["account"], tables["cost_centre"])
+    return enrich_dims(lines, dims or check_dims(tables["client"], tables["account"], tables["cost_centre"]))
 
 
-def extract(tables: Tables, spec: SourceSpec, exclusions: DataFrame | None = None) -> DataFrame:
-    """One journal in ledger shape: filtered, without excluded accounts, cleaned."""
+def extract(
+    tables: Tables,
+    spec: SourceSpec,
+    exclusions: DataFrame | None = None,
+    dims: Dimensions | None = None,
+) -> DataFrame:
+    """One journal in ledger shape: filtered, without excluded accounts, cleaned.
+
+    Star journals that share their dimensions may be given them checked.
+    """
     if spec.layout == "D":
-        rows = K.canonical_d(_star_lines(tables, spec), spec.empresa)
+        rows = K.canonical_d(_star_lines(tables, spec, dims), spec.empresa)
     elif spec.layout == "E":
         detail = account_prefix_filter(tables["detail"], spec.prefixes, "cod_cuenta")
         header = period_filter(tables["header"], spec.since, "fecha_comp")
@@ -57,8 +74,8 @@ def extract(tables: Tables, spec: SourceSpec, exclusions: DataFrame | None = Non
 
 def load_sources(
     spark: SparkSession, specs: Iterable[SourceSpec], exclusions: DataFrame | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """All readable journals, each written once, and a table of the sources that failed.
+) -> tuple[list[DataFrame], DataFrame]:
+    """The readable journals, each written once, and a table of the sources that failed.
 
     A source that fails leaves the others alone, as its rows are read before the union is made.
     """
@@ -70,7 +87,7 @@ def load_sources(
             failures.append((spec.empresa, str(error).splitlines()[0]))
     if not loaded:
         raise ValueError("no source could be read")
-    return consolidate(loaded), spark.createDataFrame(failures, "empresa string, error string")
+    return loaded, spark.createDataFrame(failures, "empresa string, error string")
 
 
 def ledger_full_refresh(
@@ -81,7 +98,6 @@ def ledger_full_refresh(
     The version in use stays until the new one is complete.
     """
     specs = list(specs)
-    rows, failures = load_sources(spark, specs, exclusions)
-    ledger = evolve_schema(assign_ids(rows))
-    write_version(ledger, root)
-    return ingest_audit(rows, registry_table(spark, specs), failures)
+    loaded, failures = load_sources(spark, specs, exclusions)
+    write_version(evolve_schema(assign_ids_stored(loaded)), root)
+    return ingest_audit(consolidate(loaded), registry_table(spark, specs), failures)

@@ -9,7 +9,7 @@ def spark(tmp_path_factory):
         "tests", "local[4]",
         **{
             "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "8g",
-            "spark.ui.showConsoleProgress": "false",
+            "spark.ui.showConsoleProgress": "false", "spark.sql.maxMetadataStringLength": "10000",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },
     )

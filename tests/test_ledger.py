@@ -239,9 +239,9 @@ def test_repeated_dimension_key_fails_with_the_key(spark):
     account, centre = spark.createDataFrame([], S.ACCOUNT), spark.createDataFrame([], S.COST_CENTRE)
     detail = spark.createDataFrame([("9", "202501", "31", "1", None, "g", "D", 1.0)], S.JOURNAL_D)
     with pytest.raises(ValueError, match="client: repeated values of Cli_Rut: 1"):
-        J.enrich_dims(detail, client, account, centre)
+        J.check_dims(client, account, centre)
     only_nulls = client.filter("Cli_Rut is null")
-    assert J.enrich_dims(detail, only_nulls, account, centre).first().Cli_Nombre is None
+    assert J.enrich_dims(detail, J.check_dims(only_nulls, account, centre)).first().Cli_Nombre is None
 
 
 def test_salted_lookup_equals_broadcast_lookup(spark, monkeypatch):
