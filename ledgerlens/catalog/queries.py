@@ -65,9 +65,8 @@ def _star_ledger(spark: SparkSession, sf: str) -> DataFrame:
 
 def _view(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
     """Ledger rows as the dashboards see them."""
-    needed = dict.fromkeys(("empresa", "fecha_corte", "nombre_tercero", "valor", "grupo", "subgrupo",
-                            "status_gestion", "clasificacion_manual"))
-    return K.display_defaults(X.ledger(spark, sf, *needed)).select(*columns)
+    needed = {"empresa" if c == "pais" else c for c in columns} | {"fecha_corte"}
+    return K.display_defaults(X.ledger(spark, sf, *sorted(needed))).select(*columns)
 
 
 # --- extraction ---------------------------------------------------------------------------------

@@ -106,19 +106,28 @@ def normalize_ledger(df: DataFrame) -> DataFrame:
 
 
 def display_defaults(df: DataFrame) -> DataFrame:
-    """What the dashboards show for missing values; rows without a closing date are left out."""
+    """What the dashboards show for missing values; rows without a closing date are left out.
+
+    Works on any selection of ledger columns that has the closing date.
+    """
+    shown = {
+        "pais": ("empresa", X.country_of("empresa")),
+        "grupo": ("grupo", F.coalesce("grupo", F.lit(C.NO_GROUP))),
+        "subgrupo": ("subgrupo", F.coalesce("subgrupo", F.lit(C.NO_SUBGROUP))),
+        "nombre_tercero": (
+            "nombre_tercero",
+            F.coalesce(F.nullif(F.col("nombre_tercero"), F.lit("")), F.lit(C.NO_VENDOR)),
+        ),
+        "status_gestion": ("status_gestion", F.coalesce("status_gestion", F.lit(C.DEFAULT_STATUS))),
+        "clasificacion_manual": (
+            "clasificacion_manual", F.coalesce("clasificacion_manual", F.lit(False))
+        ),
+        "valor": ("valor", X.number_or_zero("valor")),
+    }
     return (
         df.withColumn("fecha_corte", X.day("fecha_corte"))
         .filter(F.col("fecha_corte").isNotNull())
-        .withColumns({
-            "pais": X.country_of("empresa"),
-            "grupo": F.coalesce("grupo", F.lit(C.NO_GROUP)),
-            "subgrupo": F.coalesce("subgrupo", F.lit(C.NO_SUBGROUP)),
-            "nombre_tercero": F.coalesce(F.nullif(F.col("nombre_tercero"), F.lit("")), F.lit(C.NO_VENDOR)),
-            "status_gestion": F.coalesce("status_gestion", F.lit(C.DEFAULT_STATUS)),
-            "clasificacion_manual": F.coalesce("clasificacion_manual", F.lit(False)),
-            "valor": X.number_or_zero("valor"),
-        })
+        .withColumns({name: value for name, (source, value) in shown.items() if source in df.columns})
     )
 
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import add
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens import config as C
@@ -19,19 +19,27 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 32
 
 
+def _row_bytes(df: DataFrame) -> Column:
+    """Size of a row: its values as text, and 8 bytes per column."""
+    lengths = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in df.columns]
+    return reduce(add, lengths, F.lit(8 * len(lengths))).cast("bigint")
+
+
+def size_of(df: DataFrame) -> int:
+    """Size of a table in bytes, measured in one pass without a shuffle of its rows."""
+    return df.agg(F.coalesce(F.sum(_row_bytes(df)), F.lit(0))).first()[0]
+
+
 def measure_keys(tables: dict[str, tuple[DataFrame, str]]) -> dict[str, tuple[int, int]]:
     """Size in bytes and highest repetition of a key, for several lookups in one job."""
-    def keys(name: str, df: DataFrame, key: str) -> DataFrame:
-        lengths = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in df.columns]
-        return df.filter(F.col(key).isNotNull()).select(
-            F.lit(name).alias("name"),
-            F.col(key).cast("string").alias("k"),
-            # 8 bytes per column beside its text.
-            reduce(add, lengths, F.lit(8 * len(lengths))).cast("bigint").alias("b"),
+    keys = [
+        df.filter(F.col(key).isNotNull()).select(
+            F.lit(name).alias("name"), F.col(key).cast("string").alias("k"), _row_bytes(df).alias("b")
         )
-
+        for name, (df, key) in tables.items()
+    ]
     counted = (
-        reduce(DataFrame.unionAll, [keys(name, df, key) for name, (df, key) in tables.items()])
+        reduce(DataFrame.unionAll, keys)
         .groupBy("name", "k").agg(F.count(F.lit(1)).alias("n"), F.sum("b").alias("b"))
         .groupBy("name").agg(F.sum("b").alias("b"), F.max("n").alias("n"))
     )
@@ -59,7 +67,7 @@ def lookup_join(
     of one task. With ``salts=1``, for keys unique among the facts too, it is a plain join.
     """
     if size is None:
-        size = measure_keys({"lookup": (lookup, key)})["lookup"][0]
+        size = size_of(lookup)
     if size <= BROADCAST_BYTES:
         return facts.join(F.broadcast(lookup), key, "left")
     if salts == 1:
