@@ -132,11 +132,11 @@ params AS (SELECT * EXCLUDE (seq) FROM all_params WHERE seq = 0)""",
 debts AS (
   SELECT c_custkey AS debt_id, (['Chile','Colombia','Perú','Brasil','EEUU'])[1 + c_custkey % 5] AS country,
     (['Banking','B-Notes','Bond','FIP LTC I','Intermediation','NATF','Senior Note','Sp Mbr C'])[1 + c_custkey % 8] AS type,
-    abs(c_acctbal) * 1000 AS usd, (c_custkey % 15)::DOUBLE AS rate FROM customer),
+    abs(c_acctbal) * 1000 AS usd, (c_custkey % 15)::DOUBLE AS rate, (c_custkey % 14) / 2::DOUBLE AS years FROM customer),
 allocated AS (
-  SELECT debt_id, 'Regional' AS vista, country, type, usd / 1000000 AS balance, rate FROM debts
-  UNION ALL SELECT debt_id, country, country, type, usd / 1000000, rate FROM debts WHERE country <> 'EEUU'
-  UNION ALL SELECT debt_id, vista, country, type || ' (' || vista || ' share)', usd / 1000000 * w, rate
+  SELECT debt_id, 'Regional' AS vista, country, type, usd / 1000000 AS balance, rate, years FROM debts
+  UNION ALL SELECT debt_id, country, country, type, usd / 1000000, rate, years FROM debts WHERE country <> 'EEUU'
+  UNION ALL SELECT debt_id, vista, country, type || ' (' || vista || ' share)', usd / 1000000 * w, rate, years
     FROM debts, weights WHERE country = 'EEUU')""",
     "loans": """loans AS (
   SELECT c_custkey AS id, c_acctbal / 1000 AS amount, (c_custkey % 15) / 1200.0::DOUBLE AS r,
@@ -144,6 +144,15 @@ allocated AS (
     "scenario_loans": """loans AS (
   SELECT o_custkey::VARCHAR AS id, o_totalprice / 1000000 AS amount, (o_orderkey % 15) / 1200.0::DOUBLE AS r,
     coalesce(CASE WHEN o_orderkey % 17 <> 0 THEN (o_orderkey % 14) / 2::DOUBLE END, 3) AS years FROM orders)""",
+    "country_loans": """loans AS (SELECT vista AS id, balance AS amount, rate / 1200 AS r, years FROM allocated)""",
+    "country_scenarios": """scenarios AS (
+  SELECT country AS id, DATE '2025-03-10' AS start_date, 60 AS n, perf, npa, 0::DOUBLE AS nd, 10 / 1200.0::DOUBLE AS nr, TRUE AS level_pay,
+    24 / 1200.0::DOUBLE AS r_rev, 8.6::DOUBLE / 1200 AS r_cof, 2.1::DOUBLE / 1200 AS r_prov,
+    1 - pow(1 - 10 / 100.0::DOUBLE, 1 / 12.0::DOUBLE) AS r_rec, 0.44::DOUBLE AS opex, 0.27::DOUBLE AS tax, 0::DOUBLE AS cogs,
+    0.125::DOUBLE AS dep, 0::DOUBLE AS fx, 0::DOUBLE AS other
+  FROM (VALUES ('Regional', 531.41::DOUBLE, 71.30::DOUBLE), ('Chile', 86.17, 21.28), ('Perú', 30.67, 21.95), ('Colombia', 97.25, 9.63),
+    ('Brasil', 9.32, 18.44)) t(country, perf, npa)),
+paid AS (SELECT *, NULL::DOUBLE AS cuota FROM scenarios)""",
     "schedule": """terms AS (
   SELECT *, greatest(1, floor(years * 12)) AS n FROM loans),
 balances AS (
@@ -348,6 +357,14 @@ def oracle_sql() -> dict[str, str]:
         "consolidate": _with(_STAR, _CONSOLIDATE),
         "ingest_audit": _with(_LOADED, f"""SELECT c.empresa, count(l.empresa) AS filas, 'ok' AS estado, NULL::VARCHAR AS error
   FROM (SELECT unnest({_COMPANIES}) AS empresa) c LEFT JOIN loaded l ON c.empresa = l.empresa GROUP BY ALL"""),
+        "source_registry": _with(_LEDGER, f"""SELECT r.empresa, layout, since, prefixes, voucher_rule, filas
+  FROM (SELECT unnest({_COMPANIES}) AS empresa, unnest(['A','B','C','C','C','C','D','D','D','D','D','D','E']) AS layout,
+    unnest(['5','5','31,32,42','31,32,42','31,32,42','31,32,42','31,32,42','31,32,42','31,32,42','31,32,42','3,42','31,32,42',
+      '31,32,42']) AS prefixes,
+    unnest([NULL,NULL,NULL,NULL,NULL,NULL,'number','number','status','status','status','status',NULL]) AS voucher_rule) r
+  JOIN (SELECT empresa, CASE WHEN empresa = 'GFO' THEN DATE '1996-01-01' ELSE DATE '1997-01-01' END AS since,
+    count(*) FILTER (fecha_transaccion >= CASE WHEN empresa = 'GFO' THEN DATE '1996-01-01' ELSE DATE '1997-01-01' END) AS filas
+    FROM ledger GROUP BY ALL) c ON r.empresa = c.empresa"""),
         "account_prefix_filter": _with(_LEDGER, f"SELECT id_transaccion, empresa, cuenta_contable, valor FROM ledger WHERE {_EXPENSE}"),
         "account_exclusion": _with((*_LEDGER, "excl"), """SELECT id_transaccion, empresa, cuenta_contable, valor FROM ledger l
   WHERE NOT EXISTS (SELECT 1 FROM excl e WHERE e.empresa = l.empresa AND e.cuenta = l.cuenta_contable)"""),
@@ -380,7 +397,7 @@ def oracle_sql() -> dict[str, str]:
   contains(lower(text), 'the') AS has_the, (2020 + doc_id % 6) IN (2021, 2023) AS odd_year
   FROM (SELECT *, CASE WHEN doc_id % 3 <> 0 THEN source END AS part,
     CASE WHEN doc_id % 14 BETWEEN 1 AND 12 THEN make_date(2020 + doc_id % 6, doc_id % 14, 1) END AS d FROM documents)""",
-        "ledger_scan_pending": _with(_LEDGER, f"""SELECT id_transaccion, cuenta_contable, id_proveedor, descripcion_gasto FROM ledger WHERE {_PENDING}"""),
+        "ledger_scan": _with(_LEDGER, f"""SELECT id_transaccion, cuenta_contable, id_proveedor, descripcion_gasto FROM ledger WHERE {_PENDING}"""),
         "summary": _with(_LEDGER, f"""SELECT empresa, strftime(fecha_corte, '%Y-%m') AS periodo, {_TOTAL} AS total FROM ledger
   WHERE year(fecha_corte) = 1998 AND {_EXPENSE} GROUP BY ALL ORDER BY 2, 1"""),
         "categories": _with(_LEDGER, """SELECT DISTINCT 'grupo' AS kind, grupo AS value FROM ledger WHERE grupo <> ''
@@ -464,6 +481,8 @@ def oracle_sql() -> dict[str, str]:
         "apply_predictions": _with(_LEDGER, f"""SELECT id_transaccion, cuenta_contable,
   CASE WHEN {_PENDING} THEN 'G' || left(cuenta_contable, 2) ELSE grupo END AS grupo,
   CASE WHEN {_PENDING} THEN 'S' || right(cuenta_contable, 2) ELSE subgrupo END AS subgrupo, clasificacion_manual FROM ledger"""),
+        "read_training_set": _with(("sheet",), """SELECT grupo, count(*) AS filas, count(subgrupo) AS con_subgrupo,
+  CAST(sum(length(glosa)) AS BIGINT) AS letras FROM sheet GROUP BY ALL"""),
         "clean_training_set": _with(("sheet",), """SELECT grupo, coalesce(subgrupo, 'General') AS subgrupo, cuenta AS cuenta_contable,
   coalesce(rut, '') AS id_proveedor, coalesce(glosa, '') AS descripcion_gasto FROM sheet WHERE grupo IS NOT NULL"""),
         "feature_text": _with(_LEDGER, """SELECT id_transaccion, lower(cuenta_contable || ' ' || id_proveedor || ' ' || descripcion_gasto) AS texto
@@ -481,6 +500,12 @@ def oracle_sql() -> dict[str, str]:
         "project_pnl": _with(_PNL, f"SELECT scenario_id, month, month_end, {_MEASURES} FROM pnl", recursive=True),
         "annualize": _with(_ANNUAL, f"SELECT scenario_id, year, {_MEASURES} FROM annual", recursive=True),
         "pnl_statement": _with(_ANNUAL, _STATEMENT, recursive=True),
+        "pnl_display": _with(_ANNUAL, f"""SELECT scenario_id, line_no, line, {', '.join(
+            f"max(value) FILTER (period = '{y}') AS " + f'"{y}"' for y in range(2025, 2032))}
+  FROM ({_STATEMENT}) GROUP BY ALL""", recursive=True),
+        "project_countries_annual": _with(
+            ("debts", "country_loans", "schedule", "country_scenarios", "newdebt", "pnl", "annual"),
+            f"SELECT scenario_id, year, {_MEASURES} FROM annual", recursive=True),
         "projection_kpis": _with(_ANNUAL, """SELECT scenario_id, round(sum(earnings), 4) AS total_earnings, round(avg(ebitda), 4) AS avg_ebitda,
   round(arg_max(fiu_performing + fiu_npa, year), 4) AS final_portfolio FROM annual GROUP BY ALL""", recursive=True),
         "margin_shift": _with(_ANNUAL, """SELECT scenario_id, round(arg_min(m, year), 4) AS first_margin, round(arg_max(m, year), 4) AS last_margin

@@ -21,10 +21,10 @@ from ledgerlens.operators import ledger as L
 from ledgerlens.operators import trends as T
 from ledgerlens.operators import writeback as W
 from ledgerlens.plans.load import extract
+from ledgerlens.plans.projection import project_countries
 from ledgerlens.session import fresh_path, spread
-from ledgerlens.sources import exports
-from ledgerlens.sources.readers import ledger_scan
-from ledgerlens.sources.registry import registry_table
+from ledgerlens.sources import exports, readers
+from ledgerlens.sources.registry import Location, registry_table
 from ledgerlens.sources.tables import read_version, write_version
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -145,6 +145,21 @@ def ingest_audit(spark, sf):
     return A.ingest_audit(rows, registry_table(spark, X.specs()))
 
 
+@_register
+def source_registry(spark, sf):
+    """Each registered source with the lines its company posted from the source's start on."""
+    rows = X.ledger(spark, sf, "empresa", "fecha_transaccion")
+    registry = registry_table(spark, X.specs())
+    counts = (
+        rows.join(F.broadcast(registry.select("empresa", "since")), "empresa")
+        .filter(F.col("fecha_transaccion") >= F.col("since"))
+        .groupBy("empresa").agg(F.count(F.lit(1)).alias("filas"))
+    )
+    return registry.join(counts, "empresa", "left").select(
+        "empresa", "layout", "since", "prefixes", "voucher_rule", "filas"
+    )
+
+
 @_register
 def account_prefix_filter(spark, sf):
     return P.account_prefix_filter(
@@ -268,8 +283,8 @@ def scalar_functions(spark, sf):
 # --- ledger queries -----------------------------------------------------------------------------
 
 @_register
-def ledger_scan_pending(spark, sf):
-    return ledger_scan(X.ledger(
+def ledger_scan(spark, sf):
+    return readers.ledger_scan(X.ledger(
         spark, sf, "id_transaccion", "cuenta_contable", "id_proveedor", "descripcion_gasto", "grupo",
         "clasificacion_manual",
     ))
@@ -523,6 +538,18 @@ def apply_predictions(spark, sf):
 
 # --- classifier ---------------------------------------------------------------------------------
 
+@_register
+def read_training_set(spark, sf):
+    """The sheet written as a file and read with its fixed schema."""
+    path = fresh_path(spark, "sheet")
+    X.training_documents(spark, sf).write.parquet(path)
+    sheet = readers.read_training_set(spark, Location(path=path))
+    return sheet.groupBy(F.col(C.SHEET_GROUP).alias("grupo")).agg(
+        F.count(F.lit(1)).alias("filas"), F.count(C.SHEET_SUBGROUP).alias("con_subgrupo"),
+        F.sum(F.length(C.SHEET_DESCRIPTION)).alias("letras"),
+    )
+
+
 @_register
 def clean_training_set(spark, sf):
     return M.clean_training_set(X.training_documents(spark, sf))
@@ -601,9 +628,10 @@ def holdout_accuracy(spark, sf):
 
 @_register
 def predict(spark, sf):
-    """Every document classified by models trained on the labelled ones."""
-    sheet = X.training_documents(spark, sf)
-    model = M.train(_labelled(sheet))
+    """Every document classified by models trained on the labelled ones, saved and loaded again."""
+    sheet, path = X.training_documents(spark, sf), fresh_path(spark, "model")
+    M.train(_labelled(sheet)).save(path)
+    model = M.ExpenseClassifier.load(path)
     rows = sheet.select(
         F.col(C.SHEET_ACCOUNT).alias("cuenta_contable"),
         F.col(C.SHEET_VENDOR).alias("id_proveedor"),
@@ -678,6 +706,19 @@ def pnl_statement(spark, sf):
     return _rounded(N.pnl_statement(N.annualize(_projection(spark, sf))))
 
 
+@_register
+def pnl_display(spark, sf):
+    """The annual statement with one column per year."""
+    statement = N.pnl_statement(N.annualize(_projection(spark, sf)))
+    return _rounded(N.pnl_display(statement, [str(y) for y in range(2025, 2032)]))
+
+
+@_register
+def project_countries_annual(spark, sf):
+    """The five country views with their share of the debt book, by year."""
+    return _rounded(N.annualize(project_countries(X.debts(spark, sf), X.date(2025, 3, 10))))
+
+
 @_register
 def projection_kpis(spark, sf):
     return _rounded(N.projection_kpis(N.annualize(_projection(spark, sf))))

@@ -90,6 +90,8 @@ PREDICTION_INPUT = _schema({
 
 EXCLUSIONS = _schema({"empresa": TEXT, "cuenta_contable": TEXT})
 DEBT_BOOK = _schema({"country": TEXT, "type": TEXT, "balance_usd": NUMBER, "rate": NUMBER, "term_years": NUMBER})
+PORTFOLIO = _schema({"country": TEXT, "perf": NUMBER, "npa": NUMBER})
+CONCEPTS = _schema({"categoria": TEXT, "concepto": TEXT, "ord": INT})
 LOANS = _schema({"scenario_id": TEXT, "amount": NUMBER, "rate": NUMBER, "term_years": NUMBER})
 SCENARIO = _schema({
     "scenario_id": TEXT, "start_date": DAY, "horizon_years": NUMBER, "perf_start": NUMBER, "npa_start": NUMBER,
