@@ -161,3 +161,21 @@ def test_debt_book_is_shared_out(spark):
     assert totals["Brasil"] == pytest.approx(abroad * (9.32 + 18.44) / (531.41 + 71.30))
     labels = {r.type for r in J.debt_allocation(book).filter("vista = 'Perú'").collect()}
     assert labels == {"B-Notes", "NATF (Perú share)", "Senior Note (Perú share)", "Sp Mbr C (Perú share)"}
+
+
+def test_country_views_take_portfolio_and_debt(spark):
+    from ledgerlens.plans.projection import country_scenarios, project_countries
+    from ledgerlens.sources.literals import debt_book, portfolio
+
+    assert portfolio(spark).count() == 5
+    scenarios = [r.asDict() for r in country_scenarios(spark, date(2025, 1, 31)).collect()]
+    assert {s["scenario_id"] for s in scenarios} == {p[0] for p in C.PORTFOLIO}
+    assert all(s["opex_pct"] == 44.0 and s["new_debt_type"] == C.AMORTISED for s in scenarios)
+    loans = [
+        (r.vista, (r.balance, r.rate, r.term_years)) for r in J.debt_allocation(debt_book(spark)).collect()
+    ]
+    got = {(r.scenario_id, r.month): r for r in project_countries(debt_book(spark), date(2025, 1, 31)).collect()}
+    assert len(got) == 5 * 60
+    for s in scenarios:
+        expected = loop_projection(s, [loan for view, loan in loans if view == s["scenario_id"]])
+        assert got[s["scenario_id"], 59].fiu_performing == pytest.approx(expected[59][0], rel=1e-9)

@@ -133,3 +133,20 @@ def test_repeated_key_marks_the_source_as_failed(spark, sf_dir, tmp_path):
     with pytest.raises(ValueError, match="client: repeated values"):
         extract(tables, spec)
     assert J.measure_keys({"c": (X.clients(spark, sf_dir), "Cli_Rut")})["c"][1] == 1
+
+
+def test_shared_folder_must_be_named_on_a_cluster(spark, monkeypatch):
+    from ledgerlens import session
+
+    assert session.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+    class Elsewhere:
+        class conf:
+            get = staticmethod(lambda key, default=None: None)
+
+        class sparkContext:
+            master = "spark://host:7077"
+            getCheckpointDir = staticmethod(lambda: None)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_dir(Elsewhere())
