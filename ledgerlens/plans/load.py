@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
@@ -83,7 +84,7 @@ def load_sources(
     for spec in specs:
         try:
             loaded.append(materialize(extract(read_source(spark, spec), spec, exclusions), "source"))
-        except (PySparkException, ValueError) as error:
+        except (PySparkException, Py4JJavaError, ValueError) as error:
             failures.append((spec.empresa, str(error).splitlines()[0]))
     if not loaded:
         raise ValueError("no source could be read")

@@ -110,10 +110,13 @@ def test_load_keeps_going_without_a_broken_source(spark, sf_dir, tmp_path):
     specs = [s for s in X.specs() if s.empresa in ("CONIX", "NC LEASING PERU", "IN SA", "INCOFIN LEASING", "GFO")]
     ready = [located(spark, sf_dir, s, tmp_path) for s in specs if s.empresa != "GFO"]
     broken = [s for s in specs if s.empresa == "GFO"][0].located({"journal": Location(path=str(tmp_path / "none"))})
+    # No driver knows this url; the failure comes from the reader itself.
+    unknown = spec_of("LTCP").located({"journal": Location("jdbc", options={"url": "jdbc:none:x", "dbtable": "t"})})
     excluded = X.exclusions(spark, sf_dir)
-    audit = ledger_full_refresh(spark, [broken, *ready], str(tmp_path / "out"), excluded)
+    audit = ledger_full_refresh(spark, [broken, unknown, *ready], str(tmp_path / "out"), excluded)
     found = {r.empresa: r for r in audit.collect()}
-    assert found["GFO"].estado == "error" and found["GFO"].filas == 0 and found["GFO"].error
+    for name in ("GFO", "LTCP"):
+        assert found[name].estado == "error" and found[name].filas == 0 and found[name].error
     ledger = read_version(spark, str(tmp_path / "out"))
     assert set(ledger.columns) == set(S.LEDGER.names)
     expected = {s.empresa: extract(X.journal(spark, sf_dir, s), s, excluded).count() for s in ready}
