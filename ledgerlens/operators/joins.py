@@ -71,10 +71,11 @@ def lookup_join(
     if size <= BROADCAST_BYTES:
         return facts.join(F.broadcast(lookup), key, "left")
     if salts == 1:
-        return facts.join(lookup, key, "left")
+        return facts.join(lookup.hint("merge"), key, "left")
     salted_facts = facts.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
     salted_lookup = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted_facts.join(salted_lookup, [key, "_salt"], "left").drop("_salt")
+    # Measured too large to broadcast, whatever its files suggest to the planner.
+    return salted_facts.join(salted_lookup.hint("merge"), [key, "_salt"], "left").drop("_salt")
 
 
 @dataclass(frozen=True)
