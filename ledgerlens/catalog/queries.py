@@ -613,7 +613,7 @@ def train_subgroup(spark, sf):
 def _trained_target(spark: SparkSession, sf: str, target: str) -> DataFrame:
     rows, held = M.split_80_20(spread(_labelled(X.training_documents(spark, sf))))
     features = M.fit_tfidf(rows)
-    forest = M.fit_forest(features.transform(rows), target)
+    forest = M.fit_target(rows, features, target)
     return (
         forest.transform(features.transform(held))
         .groupBy(target, f"{target}_predicho").agg(F.count(F.lit(1)).alias("filas"))

@@ -73,6 +73,20 @@ JOURNAL_E = _schema({
 })
 JOURNAL_E_HEADER = _schema({"num_comp": TEXT, "fecha_comp": DAY})
 
+# Journal tables by layout and role.
+JOURNAL_TABLES = {
+    "A": {"journal": JOURNAL_A},
+    "B": {"journal": JOURNAL_B},
+    "C": {"journal": JOURNAL_C},
+    "D": {
+        "detail": JOURNAL_D, "client": CLIENT, "account": ACCOUNT, "cost_centre": COST_CENTRE,
+        "voucher": VOUCHER,
+    },
+    "E": {"detail": JOURNAL_E, "header": JOURNAL_E_HEADER},
+}
+# The one company whose journal has the plain column names.
+PLAIN_JOURNAL_C = "NC LEASING PERU"
+
 TRAINING = _schema(dict.fromkeys(
     (C.SHEET_GROUP, C.SHEET_SUBGROUP, C.SHEET_DESCRIPTION, C.SHEET_ACCOUNT, C.SHEET_VENDOR), TEXT
 ))

@@ -7,10 +7,11 @@ from pyspark.sql import types as T
 
 from ledgerlens import schemas as S
 from ledgerlens.operators.filters import pending_all
-from ledgerlens.sources.registry import ROLES, Location, SourceSpec
+from ledgerlens.sources.registry import Location, SourceSpec
 
 # Rows a JDBC driver fetches per round trip.
 FETCH_SIZE = "50000"
+_UNTYPED = ("csv", "json")
 
 
 def read_table(spark: SparkSession, location: Location, schema: T.StructType | None = None) -> DataFrame:
@@ -30,9 +31,14 @@ def read_table(spark: SparkSession, location: Location, schema: T.StructType | N
 
 
 def read_source(spark: SparkSession, spec: SourceSpec) -> dict[str, DataFrame]:
-    """The tables of one journal by role."""
+    """The tables of one journal by role. Text files get their fixed schema; other formats bring
+    their own types."""
+    schemas = dict(S.JOURNAL_TABLES[spec.layout])
+    if spec.empresa == S.PLAIN_JOURNAL_C:
+        schemas["journal"] = S.JOURNAL_C_PLAIN
     return {
-        role: read_table(spark, spec.tables[role]) for role in ROLES[spec.layout] if role in spec.tables
+        role: read_table(spark, location, schemas[role] if location.format in _UNTYPED else None)
+        for role, location in spec.tables.items()
     }
 
 

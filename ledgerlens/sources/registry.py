@@ -11,16 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerlens import config as C
 from ledgerlens import schemas as S
 
-# Tables each layout is read from.
-ROLES = {
-    "A": ("journal",),
-    "B": ("journal",),
-    "C": ("journal",),
-    "D": ("detail", "client", "account", "cost_centre", "voucher"),
-    "E": ("detail", "header"),
-}
-
-
 @dataclass(frozen=True)
 class Location:
     """Where one table lies: a reader format with its options, and a path for file formats."""
@@ -44,7 +34,7 @@ class SourceSpec:
         return replace(self, since=since)
 
     def located(self, tables: dict[str, Location]) -> SourceSpec:
-        missing = set(ROLES[self.layout]) - set(tables)
+        missing = set(S.JOURNAL_TABLES[self.layout]) - set(tables)
         # Without a status test no voucher table is read.
         if self.voucher_rule != "status":
             missing.discard("voucher")

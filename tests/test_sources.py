@@ -11,8 +11,8 @@ from ledgerlens.catalog import fixtures as X
 from ledgerlens.operators import joins as J
 from ledgerlens.plans.load import extract, ledger_full_refresh
 from ledgerlens.sources.exports import export_csv_bom
-from ledgerlens.sources.readers import ledger_scan, read_table, read_training_set
-from ledgerlens.sources.registry import ROLES, SOURCES, Location, exclusions_table, spec_of
+from ledgerlens.sources.readers import ledger_scan, read_source, read_table, read_training_set
+from ledgerlens.sources.registry import SOURCES, Location, exclusions_table, spec_of
 from ledgerlens.sources.tables import read_version, versions, write_version
 
 
@@ -102,7 +102,7 @@ def located(spark, sf_dir, spec, folder):
         path = f"{folder}/{spec.empresa}/{role}"
         df.write.parquet(path)
         tables[role] = Location(path=path)
-    assert set(tables) == set(ROLES[spec.layout])
+    assert set(tables) == set(S.JOURNAL_TABLES[spec.layout])
     return spec.located(tables)
 
 
@@ -153,3 +153,15 @@ def test_shared_folder_must_be_named_on_a_cluster(spark, monkeypatch):
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.shared_dir(Elsewhere())
+
+
+@pytest.mark.parametrize("empresa, header", [
+    ("LTCP", "fecha_corte,FEC DOC,CUENTA,ANEXO,CONCEPTO,C COSTO,DEBE  - MN,HABER - MN"),
+    ("NC LEASING PERU", "fecha_corte,fec_doc,cuenta,anexo,concepto,centro_costo,debe_mn,haber_mn"),
+])
+def test_text_journals_get_their_types(spark, tmp_path, empresa, header):
+    (tmp_path / "j.csv").write_text(f"{header}\n2025-01-31,2025-01-05,3101,7,luz,CC1,,4.5\n2025-01-31,2024-12-31,3101,7,luz,CC1,9,\n")
+    spec = spec_of(empresa).located({"journal": Location("csv", str(tmp_path / "j.csv"), {"header": "true"})})
+    rows = extract(read_source(spark, spec), spec).collect()
+    assert [(r.empresa, r.fecha_corte, r.cuenta_contable, r.descripcion_gasto, r.valor) for r in rows] == [
+        (empresa, date(2025, 1, 31), "3101", "luz CC1", -4.5)]
