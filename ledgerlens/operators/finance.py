@@ -49,8 +49,17 @@ def debt_schedule(loans: DataFrame, months: int = C.DEBT_MONTHS) -> DataFrame:
         "_rate": _monthly(F.col("rate")),
         "_n": F.when((F.col("amount") > 0) & (term > 0), F.greatest(F.lit(1), _months(term))).otherwise(F.lit(0)),
     })
-    k = F.col("month")
-    balance = F.when(k < F.col("_n"), _level_balance(F.col("amount"), F.col("_rate"), F.col("_n"), k))
+    # What does not change over the months is computed once per loan.
+    growing = (F.col("_n") > 0) & (F.col("_rate") != 0)
+    terms = terms.withColumn("_log", F.log1p("_rate")).withColumn(
+        "_scale", F.when(growing, F.col("amount") / F.expm1(F.col("_log") * F.col("_n")))
+    )
+    k, n, log = F.col("month"), F.col("_n"), F.col("_log")
+    balance = F.when(
+        k < n,
+        F.when(F.col("_rate") == 0, F.col("amount") * (1 - k / n))
+        .otherwise(F.col("_scale") * F.exp(log * k) * F.expm1(log * (n - k))),
+    )
     return (
         terms.withColumn("month", F.explode(F.sequence(F.lit(0), F.lit(months - 1))))
         .withColumn("_balance", balance)
@@ -58,7 +67,7 @@ def debt_schedule(loans: DataFrame, months: int = C.DEBT_MONTHS) -> DataFrame:
             "interest",
             F.when(F.col("_balance") > C.REPAID_BELOW, F.col("_balance") * F.col("_rate")).otherwise(F.lit(0.0)),
         )
-        .drop("_rate", "_n", "_balance")
+        .drop("_rate", "_n", "_log", "_scale", "_balance")
     )
 
 
