@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import quality
+from ledgerlens.llm import mixing, quality, secrets, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -71,3 +71,122 @@ SELECT *, array_to_string(list_filter([{', '.join(f"CASE WHEN {r.broken()} THEN
   ({_either(quality.BASE_RULES)}) AS base_failed, NOT ({_either(quality.BASE_RULES + quality.RULES)}) AS kept
 FROM m
 """
+
+
+@_register
+def op7_url_filters(spark: SparkSession, sf: str) -> DataFrame:
+    return urls.judge(spark.read.parquet(f"{sf}/pages.parquet"))
+
+
+def _values(rules: list[urls.Rule]) -> str:
+    return ", ".join(f"({i}, '{r.name}', '{r.verdict}', '{r.regex}')" for i, r in enumerate(rules))
+
+
+_SQL["op7_url_filters"] = rf"""
+WITH a AS (
+  SELECT page_id, translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), '{urls.UPPER}', '{urls.LOWER}') AS host,
+    regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path,
+    regexp_extract(coalesce(url, ''), '://[^/?#]*(.*)', 1, 's') AS rest
+  FROM pages
+), sites(host, path, name, verdict) AS (
+  VALUES ('com', '/', 'com/', 'allow'), ('example.com', '/en/', 'example.com/en/', 'block'),
+    ('www.example.com', '/en/', 'www.example.com/en/', 'allow'), ('net', '/es/', 'net/es/', 'block'), ('net', '/fr/', 'net/fr/', 'block')
+), patterns(i, name, verdict, regex) AS (
+  VALUES {_values(list(urls.PATTERNS))}
+), site AS (
+  SELECT page_id, s.name, s.verdict FROM a JOIN sites s
+    ON (a.host = s.host OR ends_with(a.host, '.' || s.host)) AND starts_with(a.path, s.path)
+  QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(s.name) DESC) = 1
+), pattern AS (
+  SELECT page_id, p.name, p.verdict FROM a JOIN patterns p ON regexp_matches(a.host || a.rest, p.regex)
+  QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(p.name) DESC, i) = 1
+)
+SELECT page_id, host, path, s.name AS rule, CASE WHEN s.name IS NULL THEN p.name END AS pattern,
+  coalesce(s.verdict, p.verdict, 'allow') AS verdict
+FROM a LEFT JOIN site s USING (page_id) LEFT JOIN pattern p USING (page_id)
+"""
+
+
+@_register
+def op9_secret_scans(spark: SparkSession, sf: str) -> DataFrame:
+    return secrets.report(_documents(spark, sf))
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _scan(place: int, kind: secrets.Kind) -> str:
+    p = _quoted(kind.pattern)
+    return f"""
+  SELECT doc_id, {place} AS place, '{kind.name}' AS kind,
+    (list_sum(list_transform(cut[:i], lambda x: length(x))) + coalesce(list_sum(list_transform(hits[:i-1], lambda x: length(x))), 0))::BIGINT AS s,
+    length(hits[i]) AS n
+  FROM (
+    SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM (
+      SELECT doc_id, string_split_regex(text, {p}) AS cut, regexp_extract_all(text, {p}) AS hits,
+        regexp_extract_all(text, {p}, {kind.group}) AS told
+      FROM d WHERE regexp_matches(text, {p}))
+  ) WHERE length(told[i]) >= {kind.at_least}"""
+
+
+_SQL["op9_secret_scans"] = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+f AS ({" UNION ALL ".join(_scan(i, k) for i, k in enumerate(secrets.KINDS))}),
+g AS (
+  SELECT doc_id, {", ".join(f"count(*) FILTER (kind = '{k.name}') AS n_{k.name}" for k in secrets.KINDS)},
+    string_agg(kind || ':' || s || ':' || (s + n), ',' ORDER BY s, place) AS spans,
+    string_agg(kind || ':' || s || ':' || (s + n), ',' ORDER BY s, place) FILTER (place < {len(secrets.BASE)}) AS base
+  FROM f GROUP BY doc_id
+)
+SELECT doc_id, {", ".join(f"coalesce(n_{k.name}, 0)::BIGINT AS n_{k.name}" for k in secrets.KINDS)},
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN g USING (doc_id)
+"""
+
+
+@_register
+def op3_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    out = mixing.plan(_documents(spark, sf))
+    return out.withColumns({c: F.round(c, 6) for c in ("probability", "weight")})
+
+
+def _raking() -> str:
+    steps, last = [], "t0"
+    for n in range(mixing.ROUNDS):
+        for m in mixing.MARGINS:
+            name = f"t{n}_{m}"
+            steps.append(f"""{name} AS MATERIALIZED (
+  SELECT c.* REPLACE (c.share * g.target / sum(c.share) OVER (PARTITION BY c.{m}) AS share) FROM {last} c JOIN goal_{m} g USING ({m}))""")
+            last = name
+    return ",\n".join(steps) + f",\nfitted AS (SELECT * FROM {last})"
+
+
+def _goal(m: str) -> str:
+    return f"""goal_{m} AS (
+  SELECT {m}, weight / sum(weight) OVER () AS target FROM (
+    SELECT {m}, pow(sum(tokens) / (SELECT sum(tokens) FROM cells), {mixing.TEMPER[m]}) AS weight FROM cells GROUP BY {m}))"""
+
+
+_SQL["op3_mixing"] = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '(none)') AS source, coalesce(lang, '(none)') AS lang,
+    CASE {" ".join(f"WHEN regexp_matches(coalesce(text, ''), {_quoted(p)}) THEN '{n}'" for n, p in mixing.TOPICS)}
+      ELSE '{mixing.OTHER_TOPIC}' END AS topic,
+    len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+'))::BIGINT AS tokens,
+    ('0x' || md5('{mixing.SEED}|' || doc_id)[1:8])::BIGINT / 4294967296.0 AS u
+  FROM documents
+), cells AS (
+  SELECT source, lang, topic, sum(tokens)::DOUBLE AS tokens FROM d GROUP BY ALL HAVING sum(tokens) > 0
+), {", ".join(_goal(m) for m in mixing.MARGINS)},
+t0 AS (SELECT *, tokens AS share FROM cells),
+{_raking()},
+rates AS (
+  SELECT source, lang, topic, share * (SELECT sum(tokens) FROM cells) * {mixing.FRACTION} / tokens AS rate FROM fitted
+), e AS (
+  SELECT d.*, CASE WHEN d.tokens > 0 THEN coalesce(rate, 0) ELSE 0 END AS rate FROM d LEFT JOIN rates USING (source, lang, topic)
+)
+SELECT doc_id, source, lang, topic, tokens, round(least(rate, 1.0), 6) AS probability, round(greatest(rate, 1.0), 6) AS weight,
+  u < least(rate, 1.0) AS sampled
+FROM e
+"""
