@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import mixing, quality, secrets, urls
+from ledgerlens.llm import bpe, fingerprints, mixing, quality, secrets, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -173,7 +173,8 @@ WITH d AS (
   SELECT doc_id, coalesce(source, '(none)') AS source, coalesce(lang, '(none)') AS lang,
     CASE {" ".join(f"WHEN regexp_matches(coalesce(text, ''), {_quoted(p)}) THEN '{n}'" for n, p in mixing.TOPICS)}
       ELSE '{mixing.OTHER_TOPIC}' END AS topic,
-    len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+'))::BIGINT AS tokens,
+    len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+'))::BIGINT AS tokens,
     ('0x' || md5('{mixing.SEED}|' || doc_id)[1:8])::BIGINT / 4294967296.0 AS u
   FROM documents
 ), cells AS (
@@ -190,3 +191,19 @@ SELECT doc_id, source, lang, topic, tokens, round(least(rate, 1.0), 6) AS probab
   u < least(rate, 1.0) AS sampled
 FROM e
 """
+
+
+def vocabulary() -> bpe.Vocabulary:
+    import public_tokenizers
+
+    return bpe.Vocabulary.load(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@_register
+def op10_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    return bpe.digests(_documents(spark, sf), vocabulary())
+
+
+@_register
+def op5_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    return fingerprints.edited(_documents(spark, sf))
