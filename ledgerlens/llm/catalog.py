@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import bpe, fingerprints, mixing, quality, secrets, urls
+from ledgerlens.llm import bpe, fingerprints, licenses, mixing, quality, secrets, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -207,3 +207,13 @@ def op10_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
 @_register
 def op5_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return fingerprints.edited(_documents(spark, sf))
+
+
+@_register
+def op8_license_scans(spark: SparkSession, sf: str) -> DataFrame:
+    out = licenses.scan(_documents(spark, sf))
+    listed = lambda name: F.array_join(F.transform("findings", lambda f: f[name]), ",")
+    told = F.array_join(F.transform("findings", lambda f: F.concat_ws(
+        ":", f["start"], f["end"], f["license"], f["saved"], F.array_join(f["missing"], " "), F.array_join(f["added"], " "))), "|")
+    return out.select(
+        "doc_id", "n_blocks", F.size("findings").cast("long").alias("n_found"), listed("license").alias("licenses"), told.alias("findings"))
