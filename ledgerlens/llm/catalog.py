@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import bpe, fingerprints, licenses, mixing, quality, secrets, urls
+from ledgerlens.llm import bpe, fingerprints, licenses, minhash, mixing, quality, secrets, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -217,3 +217,8 @@ def op8_license_scans(spark: SparkSession, sf: str) -> DataFrame:
         ":", f["start"], f["end"], f["license"], f["saved"], F.array_join(f["missing"], " "), F.array_join(f["added"], " "))), "|")
     return out.select(
         "doc_id", "n_blocks", F.size("findings").cast("long").alias("n_found"), listed("license").alias("licenses"), told.alias("findings"))
+
+
+@_register
+def op1_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    return minhash.near_duplicates(_documents(spark, sf))
