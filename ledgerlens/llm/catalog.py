@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import bpe, fingerprints, licenses, minhash, mixing, quality, secrets, urls
+from ledgerlens.llm import bpe, fingerprints, licenses, minhash, mixing, quality, secrets, substrings, suffixes, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -222,3 +222,13 @@ def op8_license_scans(spark: SparkSession, sf: str) -> DataFrame:
 @_register
 def op1_minhash(spark: SparkSession, sf: str) -> DataFrame:
     return minhash.near_duplicates(_documents(spark, sf))
+
+
+@_register
+def op2_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return substrings.without_repeats(_documents(spark, sf))
+
+
+@_register
+def op4_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return suffixes.without_repeats(_documents(spark, sf))
