@@ -166,17 +166,21 @@ class Vocabulary:
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: its ids as an array of integers."""
+    """One row per document: its ids as an array of integers, how many they are, and the digest of what they decode to."""
     kept = docs.schema[doc_id]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = vocabulary.coder()
         for batch in batches:
             for piece in pieces(batch, text):
-                ids = pa.array([coder.encode(t) for t in filled(piece, text).to_pylist()], pa.list_(pa.int32()))
-                yield pa.record_batch([piece.column(doc_id), ids], [doc_id, "ids"])
+                ids = [coder.encode(t) for t in filled(piece, text).to_pylist()]
+                back = [hashlib.sha256(coder.decode(x)).hexdigest() for x in ids]
+                columns = [piece.column(doc_id), pa.array(ids, pa.list_(pa.int32())), pa.array([len(x) for x in ids], pa.int64()), pa.array(back, pa.string())]
+                yield pa.record_batch(columns, schema.fieldNames())
 
-    schema = T.StructType([kept, T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    schema = T.StructType([
+        kept, T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_tokens", T.LongType()), T.StructField("decoded_sha256", T.StringType()),
+    ])
     return only(docs, doc_id, text).mapInArrow(run, schema)
 
 
