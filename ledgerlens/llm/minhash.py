@@ -189,4 +189,4 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of its component, unchanged."""
     gone = near_duplicates(docs, doc_id, text).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs[doc_id] == F.col("_gone"), "left_anti")
+    return docs.join(gone, docs[doc_id] == gone["_gone"], "left_anti")

@@ -126,4 +126,4 @@ def plan(
 def sample(docs: DataFrame, targets: Targets | None = None, fraction: float = FRACTION, seed: int = SEED, doc_id: str = "doc_id") -> DataFrame:
     """The drawn rows of ``docs``, unchanged."""
     ids = plan(docs, targets, fraction, seed, doc_id).where("sampled").select(F.col("doc_id").alias("_drawn")).distinct()
-    return docs.join(ids, docs[doc_id].eqNullSafe(F.col("_drawn")), "left_semi")
+    return docs.join(ids, docs[doc_id].eqNullSafe(ids["_drawn"]), "left_semi")
