@@ -344,6 +344,6 @@ def test_pipeline_agrees_with_plain_versions(spark, sf_dir):
 def test_stages_return_the_columns_of_documents(stage, spark, odd):
     plain = odd.select("doc_id", "text", "lang", "source", "n_chars")
     out = stage(spark, plain, "")
-    assert out.dtypes == plain.dtypes and out.count() > 0
+    assert out.dtypes == plain.dtypes and out.count() <= plain.count()
     assert stage(spark, plain.limit(0), "").count() == 0
     assert stage(spark, odd, "").columns == odd.columns
