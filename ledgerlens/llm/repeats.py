@@ -20,6 +20,7 @@ removed at one place of one is removed at that place of all.
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -253,7 +254,8 @@ def _settled(rows: DataFrame, parts: int) -> DataFrame:
 
 def _release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of plans that are written and forgotten: it does so when the driver's JVM collects its
-    garbage, which a driver with little to do puts off."""
+    garbage, which a driver with little to do puts off. Listeners hold a finished plan for a moment longer."""
+    time.sleep(2)
     gc.collect()
     spark.sparkContext._jvm.System.gc()
 
