@@ -232,7 +232,7 @@ _ANNUAL = (*_PNL, "annual")
 _EXPENSE = "(cuenta_contable LIKE '31%' OR cuenta_contable LIKE '32%' OR cuenta_contable LIKE '42%' OR cuenta_contable LIKE '5%')"
 _JOURNAL = "(cuenta_contable LIKE '31%' OR cuenta_contable LIKE '32%' OR cuenta_contable LIKE '42%')"
 _PENDING = "(grupo IS NULL OR grupo = '') AND (clasificacion_manual IS FALSE OR clasificacion_manual IS NULL)"
-_TOTAL = "CAST(sum(CAST(valor AS DECIMAL(20,4))) AS DOUBLE)"
+_TOTAL = "CAST(sum(CAST(valor AS DECIMAL(28,6))) AS DOUBLE)"
 _LAST3 = """last3 AS (
   SELECT m, row_number() OVER (ORDER BY m) AS i FROM (
     SELECT DISTINCT strftime(fecha_corte, '%Y-%m') AS m FROM view_ ORDER BY m DESC LIMIT 3))"""
@@ -284,9 +284,9 @@ _CONSOLIDATE = " UNION ALL ".join(_norm(s) for s in (
 ))
 
 _ALERTS = """SELECT {name} AS proveedor, m1, m2, m3 FROM (
-  SELECT {name}, sum(CASE WHEN i = 1 THEN CAST(valor AS DECIMAL(20,4)) ELSE 0 END) AS m1,
-    sum(CASE WHEN i = 2 THEN CAST(valor AS DECIMAL(20,4)) ELSE 0 END) AS m2,
-    sum(CASE WHEN i = 3 THEN CAST(valor AS DECIMAL(20,4)) ELSE 0 END) AS m3
+  SELECT {name}, sum(CASE WHEN i = 1 THEN CAST(valor AS DECIMAL(28,6)) ELSE 0 END) AS m1,
+    sum(CASE WHEN i = 2 THEN CAST(valor AS DECIMAL(28,6)) ELSE 0 END) AS m2,
+    sum(CASE WHEN i = 3 THEN CAST(valor AS DECIMAL(28,6)) ELSE 0 END) AS m3
   FROM {source} v JOIN last3 ON strftime(fecha_corte, '%Y-%m') = m GROUP BY ALL)
   WHERE m3 > m2 AND m2 > m1 AND m3 > 100"""
 
@@ -342,6 +342,12 @@ def oracle_sql() -> dict[str, str]:
     return {
         "etl_summary": _with(_LOADED, f"""SELECT empresa, strftime(last_day(fecha_transaccion), '%Y-%m') AS periodo, {_TOTAL} AS total
   FROM loaded WHERE year(fecha_transaccion) = 1998 AND {_EXPENSE} GROUP BY ALL ORDER BY 2, 1"""),
+        "split_80_20": """WITH t AS (
+  SELECT lower(concat_ws(' ', '5' || coalesce(quality::VARCHAR, '9'), CASE WHEN doc_id % 5 <> 0 THEN (doc_id % 40)::VARCHAR ELSE '' END,
+    CASE WHEN doc_id % 11 <> 0 THEN coalesce(text, '') ELSE '' END)) AS texto
+  FROM documents LEFT JOIN labels USING (doc_id) WHERE doc_id % 50 <> 0 AND lang IS NOT NULL)
+SELECT count(*) AS rows, count(*) FILTER (train) AS train_rows, 0::BIGINT AS split_texts, round(avg(train::INT), 1) AS train_share
+FROM (SELECT ('0x' || substr(md5('42|' || texto), 1, 8))::BIGINT % 100 < 80 AS train FROM t)""",
         "read_source": _with(_STAR, _norm(_SA)),
         "canonical_a": _with(("lines", "client"), _CANON_A),
         "canonical_b": _with(("lines", "client"), _CANON_B),
@@ -427,7 +433,7 @@ def oracle_sql() -> dict[str, str]:
   WHERE status_gestion IN ('Pendiente', 'En Revisión') GROUP BY ALL"""),
         "kpi_country_totals": _with(_VIEW, """SELECT CAST(sum(v) AS DOUBLE) AS total, CAST(sum(v) FILTER (pais = 'Chile') AS DOUBLE) AS total_chile,
   CAST(sum(v) FILTER (pais = 'Colombia') AS DOUBLE) AS total_colombia, CAST(sum(v) FILTER (pais = 'Perú') AS DOUBLE) AS total_peru
-  FROM (SELECT pais, CAST(valor AS DECIMAL(20,4)) AS v FROM view_)"""),
+  FROM (SELECT pais, CAST(valor AS DECIMAL(28,6)) AS v FROM view_)"""),
         "top_groups": _with(_VIEW, f"""SELECT * FROM (SELECT grupo || ' / ' || subgrupo AS grupo, {_TOTAL} AS valor FROM view_ GROUP BY ALL
   ORDER BY valor DESC, grupo LIMIT 10) ORDER BY valor, grupo DESC"""),
         "vendor_rollup": _with(_VIEW, f"""SELECT t.nombre_tercero, t.empresa, g.grupo, s.subgrupo, t.valor, st.status_gestion,
@@ -440,14 +446,14 @@ def oracle_sql() -> dict[str, str]:
   WHERE lower(nombre_tercero) LIKE '%supplier#0000000%' GROUP BY ALL"""),
         "monthly_trend": _with(_VIEW, """SELECT strftime(m, '%Y-%m') AS mes, coalesce(CAST(t AS DOUBLE), 0) AS valor
   FROM (SELECT unnest(generate_series(DATE '1994-01-01', DATE '2002-12-01', INTERVAL 1 MONTH)) AS m)
-  LEFT JOIN (SELECT strftime(fecha_corte, '%Y-%m') AS mes, sum(CAST(valor AS DECIMAL(20,4))) AS t FROM view_ GROUP BY ALL) x
+  LEFT JOIN (SELECT strftime(fecha_corte, '%Y-%m') AS mes, sum(CAST(valor AS DECIMAL(28,6))) AS t FROM view_ GROUP BY ALL) x
     ON strftime(m, '%Y-%m') = x.mes"""),
         "vendor_trend": _with(_VIEW, f"""SELECT strftime(fecha_corte, '%Y-%m') AS mes, grupo, {_TOTAL} AS valor FROM view_
   WHERE nombre_tercero = 'Supplier#000000005' GROUP BY ALL"""),
         "month_vendor_matrix": _with(_VIEW, """SELECT m.mes, n.nombre_tercero, coalesce(CAST(t AS DOUBLE), 0) AS valor
   FROM (SELECT DISTINCT strftime(fecha_corte, '%Y-%m') AS mes FROM view_) m
   CROSS JOIN (SELECT DISTINCT nombre_tercero FROM view_) n
-  LEFT JOIN (SELECT strftime(fecha_corte, '%Y-%m') AS mes, nombre_tercero, sum(CAST(valor AS DECIMAL(20,4))) AS t FROM view_ GROUP BY ALL) x
+  LEFT JOIN (SELECT strftime(fecha_corte, '%Y-%m') AS mes, nombre_tercero, sum(CAST(valor AS DECIMAL(28,6))) AS t FROM view_ GROUP BY ALL) x
     ON m.mes = x.mes AND n.nombre_tercero = x.nombre_tercero"""),
         "growth_alerts": _with(_VIEW, _alerts("nombre_tercero", "view_"), extra=_LAST3),
         "alerts_sorted": _with(_VIEW, _alerts("nombre", "(SELECT *, nombre_tercero || ' / ' || grupo AS nombre FROM view_)")

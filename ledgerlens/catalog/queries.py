@@ -22,7 +22,7 @@ from ledgerlens.operators import trends as T
 from ledgerlens.operators import writeback as W
 from ledgerlens.plans.load import extract
 from ledgerlens.plans.projection import project_countries
-from ledgerlens.session import fresh_path, spread
+from ledgerlens.session import fresh_path
 from ledgerlens.sources import exports, readers
 from ledgerlens.sources.registry import Location, registry_table
 from ledgerlens.sources.tables import read_version, write_version
@@ -178,14 +178,15 @@ def account_exclusion(spark, sf):
 @_register
 def period_filter(spark, sf):
     """The three ways a start date is tested, counted per company."""
-    detail = X.star_detail(spark, sf)
-    by_period = P.period_filter(detail, X.SINCE, "Com_Periodo", "period").withColumn("kind", F.lit("period"))
-    by_year = P.period_filter(detail, X.SINCE, "Com_Periodo", "year").withColumn("kind", F.lit("year"))
-    dated = detail.withColumn("fecha", E.period_start("Com_Periodo"))
-    by_date = P.period_filter(dated, X.SINCE_GFO, "fecha").drop("fecha").withColumn("kind", F.lit("date"))
+    detail = X.star_detail(spark, sf).withColumn("fecha", E.period_start("Com_Periodo"))
+    tests = {
+        "period": P.since_test(X.SINCE, "Com_Periodo", "period"), "year": P.since_test(X.SINCE, "Com_Periodo", "year"),
+        "date": P.since_test(X.SINCE_GFO, "fecha"),
+    }
+    kinds = F.array_compact(F.array(*[F.when(test, F.lit(kind)) for kind, test in tests.items()]))
+    counted = detail.groupBy("empresa", kinds.alias("kinds")).agg(F.count(F.lit(1)).alias("n"))
     return (
-        by_period.unionByName(by_year).unionByName(by_date)
-        .groupBy("kind", "empresa").agg(F.count(F.lit(1)).alias("filas"))
+        counted.withColumn("kind", F.explode("kinds")).groupBy("kind", "empresa").agg(F.sum("n").alias("filas"))
     )
 
 
@@ -250,7 +251,7 @@ def export_csv_bom(spark, sf):
     """Write the explorer report as CSV, then total what a reader of the files finds."""
     path = fresh_path(spark, "export")
     exports.export_csv_bom(X.ledger(spark, sf), path)
-    back = spark.read.option("header", True).csv(path)
+    back = spark.read.options(header=True, multiLine=True, **exports.CSV_RULES).csv(path)
     return back.toDF(*C.EXPLORER_COLUMNS).groupBy("empresa").agg(
         F.count(F.lit(1)).alias("filas"),
         E.money_sum(F.col("valor").cast("double")).alias("total"),
@@ -580,7 +581,7 @@ def split_80_20(spark, sf):
             F.sum((F.col("side") == "test").cast("bigint")).alias("b"),
         )
         .agg(
-            F.sum(F.col("a") + F.col("b")).alias("rows"),
+            F.sum(F.col("a") + F.col("b")).alias("rows"), F.sum("a").alias("train_rows"),
             F.sum((F.least("a", "b") > 0).cast("bigint")).alias("split_texts"),
             (F.round(F.sum("a") / F.sum(F.col("a") + F.col("b")), 1)).alias("train_share"),
         )
@@ -590,7 +591,7 @@ def split_80_20(spark, sf):
 @_register
 def tfidf(spark, sf):
     """Term weights of the training documents: number of terms and largest weight of each."""
-    rows = spread(_labelled(X.training_documents(spark, sf)))
+    rows = _labelled(X.training_documents(spark, sf))
     weights = M.vector_to_array("features")
     return M.fit_tfidf(rows).transform(rows).select(
         "grupo", "cuenta_contable",
@@ -611,7 +612,8 @@ def train_subgroup(spark, sf):
 
 
 def _trained_target(spark: SparkSession, sf: str, target: str) -> DataFrame:
-    rows, held = M.split_80_20(spread(_labelled(X.training_documents(spark, sf))))
+    rows, held = M.split_80_20(_labelled(X.training_documents(spark, sf)))
+    rows = M.dealt(rows)
     features = M.fit_tfidf(rows)
     forest = M.fit_target(rows, features, target)
     return (

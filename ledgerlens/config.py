@@ -118,6 +118,8 @@ SCENARIO_DEFAULTS = {
 
 # Text classifier.
 VOCABULARY = 6000
+# Partitions a forest is fitted on.
+FIT_PARTITIONS = 32
 TREES = 150
 MAX_DEPTH = 30
 SEED = 42

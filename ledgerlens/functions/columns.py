@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from ledgerlens import config as C
 
 # Amounts are doubles at rest and are added up as exact decimals, so that totals do not depend
-# on the order in which partitions arrive.
-MONEY = "decimal(20,4)"
+# on the order in which partitions arrive. What is no amount of at most 22 digits before the point adds
+# nothing rather than ending the report.
+MONEY = "decimal(28,6)"
 
 _Col = Column | str
 
@@ -23,7 +24,7 @@ def _c(col: _Col) -> Column:
 
 
 def exact(col: _Col) -> Column:
-    return _c(col).cast(MONEY)
+    return _c(col).try_cast(MONEY)
 
 
 def money_sum(col: _Col) -> Column:
@@ -46,8 +47,9 @@ def joined_keeping_blanks(*cols: _Col) -> Column:
 
 
 def number_or_zero(col: _Col) -> Column:
+    """Number of a text or number; 0 for what is none, or not finite."""
     parsed = _c(col).try_cast("double")
-    return F.when(F.isnan(parsed), F.lit(0.0)).otherwise(F.coalesce(parsed, F.lit(0.0)))
+    return F.when(F.abs(parsed) < F.lit(float("inf")), parsed).otherwise(F.lit(0.0))
 
 
 def day(col: _Col) -> Column:

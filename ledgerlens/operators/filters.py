@@ -21,11 +21,17 @@ def account_prefix_filter(
 def period_filter(df: DataFrame, since: date, col: str, kind: str = "date") -> DataFrame:
     """Rows from ``since`` on. ``kind`` tells what ``col`` holds or how it is compared:
     ``date``, ``period`` (``yyyymm`` text) or ``year`` (the year part of such a text)."""
+    return df.filter(since_test(since, col, kind))
+
+
+def since_test(since: date, col: str, kind: str = "date") -> Column:
+    """The condition of :func:`period_filter`."""
     if kind == "period":
-        return df.filter(F.col(col) >= since.strftime("%Y%m"))
+        return F.col(col) >= since.strftime("%Y%m")
     if kind == "year":
-        return df.filter(F.substring(col, 1, 4).try_cast("int") >= since.year)
-    return df.filter(F.col(col) >= F.lit(since))
+        # The comparison of the text follows from that of the year, and reaches the scan.
+        return (F.col(col) >= f"{since.year:04d}") & (F.substring(col, 1, 4).try_cast("int") >= since.year)
+    return F.col(col) >= F.lit(since)
 
 
 def voucher_numbered(df: DataFrame, col: str = "Com_Numero") -> DataFrame:
@@ -150,7 +156,7 @@ def facet_values(df: DataFrame, choices: dict[str, Sequence[str]]) -> DataFrame:
         )
         for level in FACETS
     ]
-    return reduced.select(F.inline(F.array_compact(F.array(*offers)))).distinct()
+    return reduced.select(F.inline(F.array_compact(F.array(*offers)))).distinct().orderBy("nivel", "valor")
 
 
 def status_filter(df: DataFrame, statuses: Sequence[str] = C.OPEN_STATUSES) -> DataFrame:

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ledgerlens import config as C
 from ledgerlens.functions import columns as X
-from ledgerlens.session import spread
 
 # Result columns of a projection: end-of-month balances, then the flows of the month.
 BALANCES = ("fiu_performing", "fiu_npa")
@@ -45,7 +44,7 @@ def debt_schedule(loans: DataFrame, months: int = C.DEBT_MONTHS) -> DataFrame:
     One row per loan and month 0, 1, …; all zero without a positive amount and term.
     """
     term = F.coalesce("term_years", F.lit(C.DEFAULT_TERM_YEARS))
-    terms = spread(loans).withColumns({
+    terms = loans.withColumns({
         "_rate": _monthly(F.col("rate")),
         "_n": F.when((F.col("amount") > 0) & (term > 0), F.greatest(F.lit(1), _months(term))).otherwise(F.lit(0)),
     })
@@ -139,21 +138,21 @@ def check_scenarios(scenarios: DataFrame) -> DataFrame:
     )
 
 
-def project_pnl(scenarios: DataFrame, loans: DataFrame | None = None) -> DataFrame:
+def project_pnl(scenarios: DataFrame, loans: DataFrame | None = None, interest_months: int = C.DEBT_MONTHS) -> DataFrame:
     """Monthly profit and loss of every scenario; see ``schemas.SCENARIO``.
 
-    ``loans`` hold the existing debt: scenario_id, amount, rate, term_years. A month's balances
+    Existing debt bears interest for ``interest_months``, and none in later months of a longer horizon. ``loans`` hold the existing debt: scenario_id, amount, rate, term_years. A month's balances
     depend on the month before through the tax floor, so they are folded over the months inside the
     scenario's own row; the result columns follow per month. But for the join with the existing
-    interest nothing is shuffled, and scenarios spread over all tasks.
+    interest nothing is shuffled.
     """
     base = check_scenarios(scenarios).filter(F.col("horizon_years") * 12 >= 1)
     if loans is None:
-        base = spread(base).withColumn("_interest", F.array().cast("array<double>"))
+        base = base.withColumn("_interest", F.array().cast("array<double>"))
     else:
         # The arrays are far larger than the loans they come from, which misleads size estimates:
         # they are never broadcast.
-        base = base.join(_interest_arrays(loans).hint("merge"), "scenario_id", "left")
+        base = base.join(_interest_arrays(loans, interest_months).hint("merge"), "scenario_id", "left")
     amount = F.col("new_debt_amount")
     rate = _monthly(F.col("new_debt_rate"))
     n = _months(F.col("horizon_years"))
@@ -210,11 +209,11 @@ def project_pnl(scenarios: DataFrame, loans: DataFrame | None = None) -> DataFra
     return _statement(scalars.select(*drivers, "_recovery", F.inline(run)))
 
 
-def _interest_arrays(loans: DataFrame) -> DataFrame:
+def _interest_arrays(loans: DataFrame, months: int) -> DataFrame:
     """Interest of the existing debt of each scenario, as an array over the months from 0 on."""
     by_month = F.array_sort(F.collect_list(F.struct("month", "interest")))
     return (
-        debt_interest_total(debt_schedule(loans))
+        debt_interest_total(debt_schedule(loans, months))
         .groupBy("scenario_id")
         .agg(by_month["interest"].alias("_interest"))
     )

@@ -9,101 +9,59 @@ from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ledgerlens import config as C
 from ledgerlens.functions import columns as X
 
-# A lookup is broadcast up to this measured size; beyond it, the join shuffles and is salted.
-BROADCAST_BYTES = 64 * 1024 * 1024
-# Ways a hot key is split in a salted join. Each lookup row is repeated this often.
-SALTS = 32
+# Offending keys named in an error, besides their number.
+_NAMED = 20
 
 
-def _row_bytes(df: DataFrame) -> Column:
-    """Size of a row: its values as text, and 8 bytes per column."""
-    lengths = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in df.columns]
-    return reduce(add, lengths, F.lit(8 * len(lengths))).cast("bigint")
-
-
-def size_of(df: DataFrame) -> int:
-    """Size of a table in bytes, measured in one pass without a shuffle of its rows."""
-    return df.agg(F.coalesce(F.sum(_row_bytes(df)), F.lit(0))).first()[0]
-
-
-def measure_keys(tables: dict[str, tuple[DataFrame, str]]) -> dict[str, tuple[int, int]]:
-    """Size in bytes and highest repetition of a key, for several lookups in one job."""
-    keys = [
-        df.filter(F.col(key).isNotNull()).select(
-            F.lit(name).alias("name"), F.col(key).cast("string").alias("k"), _row_bytes(df).alias("b")
-        )
-        for name, (df, key) in tables.items()
-    ]
-    counted = (
-        reduce(DataFrame.unionAll, keys)
-        .groupBy("name", "k").agg(F.count(F.lit(1)).alias("n"), F.sum("b").alias("b"))
-        .groupBy("name").agg(F.sum("b").alias("b"), F.max("n").alias("n"))
-    )
-    found = {r.name: (r.b, r.n) for r in counted.collect()}
-    return {name: found.get(name, (0, 0)) for name in tables}
-
-
-def require_unique(name: str, df: DataFrame, key: str) -> None:
-    """Fail with the offending keys; a repeated key would multiply ledger rows."""
-    repeated = (
-        df.filter(F.col(key).isNotNull()).groupBy(key).count().filter("count > 1").select(key).limit(20)
-    )
-    keys = sorted(str(r[0]) for r in repeated.collect())
-    if keys:
-        raise ValueError(f"{name}: repeated values of {key}: {', '.join(keys)}")
-
-
-def lookup_join(
-    facts: DataFrame, lookup: DataFrame, key: str, size: int | None = None, salts: int = SALTS
-) -> DataFrame:
+def lookup_join(facts: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
     """Left join with a lookup whose ``key`` is unique and named alike on both sides.
 
-    A lookup measured as small is broadcast. A larger one is shuffled with each key spread over
-    several partitions, so that a vendor or a null key with a third of all rows is never the work
-    of one task. With ``salts=1``, for keys unique among the facts too, it is a plain join.
+    Adaptive execution broadcasts the lookup when it turns out small, and else splits the partitions of a vendor or a
+    null key with a third of all rows.
     """
-    if size is None:
-        size = size_of(lookup)
-    if size <= BROADCAST_BYTES:
-        return facts.join(F.broadcast(lookup), key, "left")
-    if salts == 1:
-        return facts.join(lookup.hint("merge"), key, "left")
-    salted_facts = facts.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
-    salted_lookup = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    # Measured too large to broadcast, whatever its files suggest to the planner.
-    return salted_facts.join(salted_lookup.hint("merge"), [key, "_salt"], "left").drop("_salt")
+    return facts.join(lookup, key, "left")
 
 
 @dataclass(frozen=True)
 class Dimensions:
-    """Client, account and cost-centre tables of a star journal, checked and measured."""
+    """Client, account and cost-centre tables of a star journal, with unique keys."""
 
     tables: dict[str, tuple[DataFrame, str]]
-    sizes: dict[str, int]
 
 
 def check_dims(client: DataFrame, account: DataFrame, cost_centre: DataFrame) -> Dimensions:
-    """Measure the dimensions in one job and fail on a repeated key."""
+    """Fail on repeated keys, which would multiply ledger rows; one job for all dimensions."""
     tables = {
         "client": (client.select("Cli_Rut", "Cli_Nombre"), "Cli_Rut"),
         "account": (account.select("Cta_Codigo", "Cta_Glosa"), "Cta_Codigo"),
         "cost_centre": (cost_centre.select("Cdc_Codigo", "Cdc_glosa"), "Cdc_Codigo"),
     }
-    measured = measure_keys(tables)
-    for name, (dim, key) in tables.items():
-        if measured[name][1] > 1:
-            require_unique(name, dim, key)
-    return Dimensions(tables, {name: size for name, (size, _) in measured.items()})
+    keys = [
+        df.filter(F.col(key).isNotNull()).select(F.lit(name).alias("name"), F.col(key).cast("string").alias("k"))
+        for name, (df, key) in tables.items()
+    ]
+    repeated = reduce(DataFrame.unionAll, keys).groupBy("name", "k").count().filter("count > 1")
+    first = F.row_number().over(Window.partitionBy("name").orderBy("k"))
+    found = {r.name: r for r in repeated.withColumn("_first", first).groupBy("name").agg(
+        F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list(F.when(F.col("_first") <= _NAMED, F.col("k")))).alias("keys"),
+    ).collect()}
+    for name, (_, key) in tables.items():
+        if name in found:
+            keys, n = found[name]["keys"], found[name].n
+            more = f" and {n - len(keys)} more" if n > len(keys) else ""
+            raise ValueError(f"{name}: repeated values of {key}: {', '.join(keys)}{more}")
+    return Dimensions(tables)
 
 
 def enrich_dims(detail: DataFrame, dims: Dimensions) -> DataFrame:
     """Journal lines with client name, account gloss and cost-centre gloss."""
-    for name, (dim, key) in dims.tables.items():
-        detail = lookup_join(detail, dim, key, dims.sizes[name])
+    for dim, key in dims.tables.values():
+        detail = lookup_join(detail, dim, key)
     return detail
 
 

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgerlens import schemas as S
-from ledgerlens.operators.joins import lookup_join
 from ledgerlens.session import materialize
 
 # monotonically_increasing_id keeps the partition above this many bits and the row below.
@@ -56,14 +55,18 @@ def assign_ids(df: DataFrame, *order: Column | str) -> DataFrame:
 def assign_ids_stored(tables: Iterable[DataFrame]) -> DataFrame:
     """:func:`assign_ids` for tables that are parquet at rest, one below the other.
 
-    A row is known by its file and its place in the file, so nothing is sorted or written again.
+    A row is known by its table, the part number of its file and its place in the file, so nothing is sorted or written again
+    and the ids do not depend on how folders are called. The offsets are one row per file.
     """
+    name = F.col("_metadata.file_name")
+    number = lambda pattern: F.regexp_extract(name, pattern, 1).try_cast("bigint")
+    place = F.shiftleft(F.coalesce(number(r"part-(\d+)"), F.lit(0)), 20) + F.coalesce(number(r"[.-]c(\d+)"), F.lit(0))
     placed = reduce(DataFrame.unionByName, [
-        t.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
-        for t in tables
+        t.select("*", F.struct(F.lit(i).alias("table"), place.alias("part")).alias("_file"), F.col("_metadata.row_index").alias("_row"))
+        for i, t in enumerate(tables)
     ])
     firsts = _first_ids(placed.groupBy("_file").agg(F.count(F.lit(1)).alias("n")), "_file")
-    numbered = lookup_join(placed, firsts, "_file")
+    numbered = placed.join(F.broadcast(firsts), "_file")
     columns = [c for c in placed.columns if c not in ("_file", "_row")]
     return numbered.select((F.col("_first") + F.col("_row") + 1).alias("id_transaccion"), *columns)
 

@@ -35,7 +35,7 @@ def update_by_id(ledger: DataFrame, updates: DataFrame) -> DataFrame:
     reduced = materialize(
         updates.groupBy("id_transaccion").agg(*[_last_given(f).alias(f"_{f}") for f in _FIELDS]), "updates"
     )
-    joined = lookup_join(ledger, reduced, "id_transaccion", salts=1)
+    joined = lookup_join(ledger, reduced, "id_transaccion")
     return joined.withColumns({f: F.coalesce(f"_{f}", f) for f in _FIELDS}).select(*ledger.columns)
 
 

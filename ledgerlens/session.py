@@ -57,11 +57,3 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Share a table of few files among all cores, before its rows are expanded or computed at
-    length. A table of many files is left as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    # Counted in the JVM: a large table's list of files is not brought to Python.
-    return df.repartition(cores) if len(df._jdf.inputFiles()) < cores else df

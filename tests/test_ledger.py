@@ -244,17 +244,32 @@ def test_repeated_dimension_key_fails_with_the_key(spark):
     assert J.enrich_dims(detail, J.check_dims(only_nulls, account, centre)).first().Cli_Nombre is None
 
 
-def test_salted_lookup_equals_broadcast_lookup(spark, monkeypatch):
+def test_lookup_of_hot_and_null_keys(spark):
     facts = spark.range(5000).select(
         "id", F.when(F.col("id") % 3 == 0, F.lit(None)).when(F.col("id") % 3 == 1, F.lit(7)).otherwise(F.col("id")).alias("k"))
     lookup = spark.range(0, 4000, 2).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v")).union(
         spark.createDataFrame([(7, 77)], "k long, v long"))
-    small = J.lookup_join(facts, lookup, "k")
-    monkeypatch.setattr(J, "BROADCAST_BYTES", 0)
-    large = J.lookup_join(facts, lookup, "k")
-    assert "_salt" in large._jdf.queryExecution().toString()
-    assert large.columns == small.columns
-    assert rows(large, "id", "k", "v") == rows(small, "id", "k", "v")
+    found = {r["id"]: r.v for r in J.lookup_join(facts, lookup, "k").collect()}
+    assert found == {
+        i: None if i % 3 == 0 else 77 if i % 3 == 1 else 2 * i if i % 2 == 0 and i < 4000 else None for i in range(5000)}
+
+
+def test_many_repeated_keys_are_counted(spark):
+    client = spark.createDataFrame([(f"{i:02d}", "a") for i in range(30)] * 2, S.CLIENT)
+    account, centre = spark.createDataFrame([], S.ACCOUNT), spark.createDataFrame([], S.COST_CENTRE)
+    with pytest.raises(ValueError, match="Cli_Rut: 00, 01, .*19 and 10 more"):
+        J.check_dims(client, account, centre)
+
+
+def test_amounts_that_are_none_do_not_end_a_report(spark):
+    from ledgerlens.functions import columns as X
+
+    amounts = spark.createDataFrame([(x,) for x in (1.00005, 2.0, float("inf"), float("-inf"), float("nan"), 1e17, 1e300, None)], "v double")
+    assert amounts.agg(X.money_sum("v")).first()[0] == pytest.approx(1e17 + 3.00005)
+    small = amounts.filter("v < 1e10 and v > 0").agg(X.money_sum("v")).first()[0]
+    assert small == 3.00005
+    texts = spark.createDataFrame([("1.5",), ("Infinity",), ("NaN",), ("n/a",), (None,)], "t string")
+    assert [r[0] for r in texts.select(X.number_or_zero("t")).collect()] == [1.5, 0.0, 0.0, 0.0, 0.0]
 
 
 def test_explorer_kpis_of_nothing(spark):
