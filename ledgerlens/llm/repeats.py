@@ -255,9 +255,10 @@ def _settled(rows: DataFrame, parts: int) -> DataFrame:
 def _release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of plans that are written and forgotten: it does so when the driver's JVM collects its
     garbage, which a driver with little to do puts off. Listeners hold a finished plan for a moment longer."""
-    time.sleep(2)
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(3):
+        time.sleep(1)
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
 
 
 def with_repeats(docs: DataFrame, spec: Spec, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
