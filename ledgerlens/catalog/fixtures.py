@@ -158,7 +158,7 @@ def _named(lines: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def journal_a(spark: SparkSession, sf_dir: str, empresa: str) -> DataFrame:
+def journal_a(spark: SparkSession, sf_dir: str, empresa: str | None = None) -> DataFrame:
     return _named(_lines(spark, sf_dir, empresa), spark, sf_dir).select(
         F.last_day("posted").alias("fecha_corte"),
         F.col("posted").alias("d_fecha_documento"),
@@ -172,7 +172,7 @@ def journal_a(spark: SparkSession, sf_dir: str, empresa: str) -> DataFrame:
     )
 
 
-def journal_b(spark: SparkSession, sf_dir: str, empresa: str) -> DataFrame:
+def journal_b(spark: SparkSession, sf_dir: str, empresa: str | None = None) -> DataFrame:
     # Lines with number 4 carry a flag that is neither debit nor credit.
     flag = F.when(F.col("l_linenumber") == 4, F.lit("X")).otherwise(_flag("C"))
     return _named(_lines(spark, sf_dir, empresa), spark, sf_dir).select(
@@ -190,8 +190,8 @@ def journal_b(spark: SparkSession, sf_dir: str, empresa: str) -> DataFrame:
     )
 
 
-def journal_c(spark: SparkSession, sf_dir: str, empresa: str) -> DataFrame:
-    names = (S.JOURNAL_C_PLAIN if empresa == "NC LEASING PERU" else S.JOURNAL_C).names
+def journal_c(spark: SparkSession, sf_dir: str, empresa: str | None = None, plain: bool = False) -> DataFrame:
+    names = (S.JOURNAL_C_PLAIN if plain or empresa == S.PLAIN_JOURNAL_C else S.JOURNAL_C).names
     columns = [
         F.last_day("posted"), F.col("posted"), account_code(F.col("l_partkey")), _vendor_id(F.col("l_suppkey")),
         _gloss(), F.concat(F.lit("CC"), (F.col("l_suppkey") % 25).cast("string")), _debit(), _credit(),
@@ -199,7 +199,7 @@ def journal_c(spark: SparkSession, sf_dir: str, empresa: str) -> DataFrame:
     return _lines(spark, sf_dir, empresa).select(*[c.alias(n) for c, n in zip(columns, names, strict=True)])
 
 
-def journal_e(spark: SparkSession, sf_dir: str, empresa: str) -> dict[str, DataFrame]:
+def journal_e(spark: SparkSession, sf_dir: str, empresa: str | None = None) -> dict[str, DataFrame]:
     lines = _of_company(table(spark, sf_dir, "lineitem"), "l_orderkey", empresa)
     detail = lines.select(
         F.col("l_orderkey").cast("string").alias("num_comp"),

@@ -272,6 +272,12 @@ _LIVE = "EXISTS (SELECT 1 FROM voucher v WHERE v.num = canon_d.num AND v.per = c
 _SA = f"""{_CANON_D} WHERE empresa = 'NC SA' AND CAST(left(per, 4) AS INTEGER) >= 1997
   AND (cuenta_contable LIKE '3%' OR cuenta_contable LIKE '42%') AND {_LIVE}"""
 
+
+def _all_lines(sql: str, empresa: str) -> str:
+    """The SQL of one company's journal over the lines of all."""
+    return sql.replace(f"WHERE empresa = '{empresa}'", "").replace("SELECT empresa,", f"SELECT '{empresa}' AS empresa,", 1)
+
+
 _CONSOLIDATE = " UNION ALL ".join(_norm(s) for s in (
     f"{_CANON_A} AND posted >= DATE '1997-01-01' AND cuenta LIKE '5%'",
     f"{_CANON_B} AND posted >= DATE '1996-01-01' AND cuenta LIKE '5%'",
@@ -349,12 +355,12 @@ def oracle_sql() -> dict[str, str]:
 SELECT count(*) AS rows, count(*) FILTER (train) AS train_rows, 0::BIGINT AS split_texts, round(avg(train::INT), 1) AS train_share
 FROM (SELECT ('0x' || substr(md5('42|' || texto), 1, 8))::BIGINT % 100 < 80 AS train FROM t)""",
         "read_source": _with(_STAR, _norm(_SA)),
-        "canonical_a": _with(("lines", "client"), _CANON_A),
-        "canonical_b": _with(("lines", "client"), _CANON_B),
-        "canonical_c": _with(("lines",), f"{_CANON_C} WHERE empresa IN ('LTCP', 'NC LEASING PERU')"),
+        "canonical_a": _with(("lines", "client"), _all_lines(_CANON_A, "CONIX")),
+        "canonical_b": _with(("lines", "client"), _all_lines(_CANON_B, "GFO")),
+        "canonical_c": _with(("lines",), f"{_all_lines(_CANON_C, 'LTCP')} UNION ALL {_all_lines(_CANON_C, 'NC LEASING PERU')}"),
         "canonical_d": _with(_STAR, """SELECT empresa, fecha_transaccion, cuenta_contable, id_proveedor, nombre_tercero, descripcion_gasto, valor
   FROM canon_d"""),
-        "canonical_e": _with(("lines",), _CANON_E.format(closing="")),
+        "canonical_e": _with(("lines",), _all_lines(_CANON_E.format(closing=""), "INCOFIN LEASING")),
         "normalize_ledger": """SELECT lang AS empresa, last_day(f) AS fecha_corte, f AS fecha_transaccion, doc_id::VARCHAR AS cuenta_contable,
   CASE WHEN doc_id % 3 <> 0 THEN source ELSE 'SIN_ID' END AS id_proveedor,
   CASE WHEN doc_id % 5 <> 0 THEN source ELSE '' END AS nombre_tercero, left(coalesce(text, ''), 500) AS descripcion_gasto,
@@ -387,7 +393,7 @@ FROM (SELECT ('0x' || substr(md5('42|' || texto), 1, 8))::BIGINT % 100 < 80 AS t
         "join_detail_header": _with(("lines",), """SELECT l_orderkey::VARCHAR AS num_comp, cuenta AS cod_cuenta,
   CASE WHEN l_linestatus = 'O' THEN l_extendedprice ELSE 0 END AS "mto_deb_$",
   CASE WHEN l_linestatus = 'O' THEN 0 ELSE l_extendedprice END AS "mto_hab_$", posted AS fecha_comp
-  FROM lines WHERE empresa = 'INCOFIN LEASING'"""),
+  FROM lines"""),
         "assign_ids": """SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity) AS id_transaccion,
   l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity FROM lineitem""",
         "evolve_schema": _with(_LEDGER, """SELECT id_transaccion, NULL::VARCHAR AS grupo, NULL::VARCHAR AS subgrupo,

@@ -85,18 +85,20 @@ def read_source(spark, sf):
 
 @_register
 def canonical_a(spark, sf):
-    return K.canonical_a(X.journal_a(spark, sf, "CONIX"), "CONIX")
+    """All lines, as one company's journal of this layout; so below."""
+    return K.canonical_a(X.journal_a(spark, sf), "CONIX")
 
 
 @_register
 def canonical_b(spark, sf):
-    return K.canonical_b(X.journal_b(spark, sf, "GFO"), "GFO")
+    return K.canonical_b(X.journal_b(spark, sf), "GFO")
 
 
 @_register
 def canonical_c(spark, sf):
-    return K.canonical_c(X.journal_c(spark, sf, "LTCP"), "LTCP").unionByName(
-        K.canonical_c(X.journal_c(spark, sf, "NC LEASING PERU"), "NC LEASING PERU")
+    """Both sets of column names."""
+    return K.canonical_c(X.journal_c(spark, sf), "LTCP").unionByName(
+        K.canonical_c(X.journal_c(spark, sf, plain=True), S.PLAIN_JOURNAL_C)
     )
 
 
@@ -109,7 +111,7 @@ def canonical_d(spark, sf):
 
 @_register
 def canonical_e(spark, sf):
-    tables = X.journal_e(spark, sf, "INCOFIN LEASING")
+    tables = X.journal_e(spark, sf)
     return K.canonical_e(J.join_detail_header(tables["detail"], tables["header"]), "INCOFIN LEASING")
 
 
@@ -218,7 +220,7 @@ def join_header(spark, sf):
 
 @_register
 def join_detail_header(spark, sf):
-    t = X.journal_e(spark, sf, "INCOFIN LEASING")
+    t = X.journal_e(spark, sf)
     return J.join_detail_header(t["detail"], t["header"]).select("num_comp", "cod_cuenta", "mto_deb_$", "mto_hab_$", "fecha_comp")
 
 

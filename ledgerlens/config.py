@@ -118,6 +118,8 @@ SCENARIO_DEFAULTS = {
 
 # Text classifier.
 VOCABULARY = 6000
+# Labelled rows a forest learns from, at most.
+MAX_LABELLED = 2_000_000
 # Partitions a forest is fitted on.
 FIT_PARTITIONS = 32
 TREES = 150
