@@ -238,8 +238,9 @@ def _settled(rows: DataFrame, parts: int) -> DataFrame:
             of_run = np.cumsum(new_run) - 1
             repeat = (doc > doc[starts][np.cumsum(new_name) - 1]) & ~old
             several = np.add.reduceat(new_name.astype(np.int64), run_starts)[of_run] > 1
-            # A run of one document has no repeat; of the last run more may follow.
-            lone = (np.minimum.reduceat(doc, run_starts) == np.maximum.reduceat(doc, run_starts))[of_run] & (of_run < of_run[-1])
+            # A run of one document has no repeat; of the last run more may follow, and of one begun before there were more.
+            lone = (np.minimum.reduceat(doc, run_starts) == np.maximum.reduceat(doc, run_starts)) & ~np.logical_or.reduceat(old, run_starts)
+            lone = lone[of_run] & (of_run < of_run[-1])
             out = repeat | several & ~lone & ~old
             yield told(doc[out], np.where(repeat, ~place, place)[out])
             if several[-1]:
