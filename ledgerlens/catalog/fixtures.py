@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from ledgerlens import config as C
 from ledgerlens import schemas as S
 from ledgerlens.functions import columns as X
-from ledgerlens.sources.registry import SOURCES, SourceSpec
+from ledgerlens.session import fresh_path
+from ledgerlens.sources.registry import SOURCES, Location, SourceSpec
 
 # The test journals start earlier than the real ones.
 SINCE = date(1997, 1, 1)
@@ -230,6 +231,34 @@ def specs() -> list[SourceSpec]:
     return [s.starting(SINCE_GFO if s.empresa == "GFO" else SINCE) for s in SOURCES]
 
 
+@lru_cache(maxsize=16)
+def stored_sources(spark: SparkSession, sf_dir: str) -> tuple[SourceSpec, ...]:
+    """The registered sources with their journals written to files, once. The star tables are written in one pass over the
+    lines, a folder per company."""
+    root = fresh_path(spark, "journals")
+    star = star_tables(spark, sf_dir)
+    star["voucher"] = star["voucher"].withColumn("empresa", _pick(C.COMPANIES, F.col("Com_Numero").cast("bigint")))
+    by_company = [role for role, df in star.items() if "empresa" in df.columns]
+    for role, df in star.items():
+        (df.write.partitionBy("empresa") if role in by_company else df.write).parquet(f"{root}/{role}")
+
+    def located(spec: SourceSpec) -> SourceSpec:
+        if spec.layout == "D":
+            ends = {role: f"/empresa={spec.empresa}" if role in by_company else "" for role in star}
+            return spec.located({role: Location(path=f"{root}/{role}{end}") for role, end in ends.items()})
+        tables = journal(spark, sf_dir, spec)
+        for role, df in tables.items():
+            df.write.parquet(f"{root}/{spec.empresa}/{role}")
+        return spec.located({role: Location(path=f"{root}/{spec.empresa}/{role}") for role in tables})
+
+    return tuple(map(located, specs()))
+
+
+def unreadable(spec: SourceSpec) -> SourceSpec:
+    """The source with its tables gone."""
+    return spec.located({role: Location(path=f"{at.path}-gone") for role, at in spec.tables.items()})
+
+
 def exclusions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every 17th account, for each company."""
     return (

@@ -6,6 +6,8 @@ parameters by the CTEs below.
 
 from __future__ import annotations
 
+from ledgerlens import config as C
+
 _COMPANIES = """['CONIX','GFO','LTCP','LTCP2','NCPF','NC LEASING PERU','AFI','LTC','NC SPA','NC LEASING CHILE',
  'NC SA','IN SA','INCOFIN LEASING']"""
 
@@ -367,8 +369,21 @@ FROM (SELECT ('0x' || substr(md5('42|' || texto), 1, 8))::BIGINT % 100 < 80 AS t
   CASE WHEN doc_id % 4 = 0 THEN 0 ELSE n_chars / 4::DOUBLE END AS valor
   FROM (SELECT *, CASE WHEN doc_id % 13 <> 0 THEN CAST('2025-0' || (doc_id % 9 + 1) || '-15' AS DATE) END AS f FROM documents)""",
         "consolidate": _with(_STAR, _CONSOLIDATE),
-        "ingest_audit": _with(_LOADED, f"""SELECT c.empresa, count(l.empresa) AS filas, 'ok' AS estado, NULL::VARCHAR AS error
-  FROM (SELECT unnest({_COMPANIES}) AS empresa) c LEFT JOIN loaded l ON c.empresa = l.empresa GROUP BY ALL"""),
+        "ledger_full_refresh": _with(_STAR, f"""SELECT *, NULL::VARCHAR AS grupo, NULL::VARCHAR AS subgrupo, 'Pendiente' AS status_gestion,
+  FALSE AS clasificacion_manual FROM ({_CONSOLIDATE})"""),
+        "ingest_audit": _with(_STAR, f"""SELECT c.empresa, count(l.empresa) AS filas,
+  CASE WHEN c.empresa <> 'GFO' THEN 'ok' WHEN count(l.empresa) > 0 THEN 'conservado' ELSE 'error' END AS estado, c.empresa = 'GFO' AS con_error
+  FROM (SELECT unnest({_COMPANIES}) AS empresa) c LEFT JOIN ({_CONSOLIDATE}) l ON c.empresa = l.empresa GROUP BY c.empresa"""),
+        "load_ids": _with(_STAR, f"""SELECT count(*) AS filas, count(*) AS ids, 1::BIGINT AS primero, count(*) AS ultimo
+  FROM ({_CONSOLIDATE}) WHERE empresa IN ('AFI', 'CONIX', 'LTCP')"""),
+        "concept_template": _with(_PARAMS, """SELECT c.categoria, c.concepto, c.ord::INTEGER AS ord, count(p.concepto) AS guardados
+  FROM concepts c LEFT JOIN params p ON p.categoria = c.categoria AND p.concepto = c.concepto GROUP BY ALL"""),
+        "debt_book": f"""SELECT b.country, b.type, b.balance_usd::DOUBLE AS balance_usd, b.rate::DOUBLE AS rate, b.term_years::DOUBLE AS term_years,
+  p.perf::DOUBLE AS perf, p.npa::DOUBLE AS npa, coalesce(n, 0) AS instruments
+  FROM (VALUES {", ".join(map(str, C.DEBT_BOOK))}) b(country, type, balance_usd, rate, term_years)
+  LEFT JOIN (VALUES {", ".join(map(str, C.PORTFOLIO))}) p(country, perf, npa) ON b.country = p.country
+  LEFT JOIN (SELECT (['Chile','Colombia','Perú','Brasil','EEUU'])[1 + c_custkey % 5] AS country, ({list(C.CONCEPTS["Deuda"])})[1 + c_custkey % 8] AS type,
+    count(*) AS n FROM customer GROUP BY ALL) d ON d.country = b.country AND d.type = b.type""",
         "source_registry": _with(_LEDGER, f"""SELECT r.empresa, layout, since, prefixes, voucher_rule, filas
   FROM (SELECT unnest({_COMPANIES}) AS empresa, unnest(['A','B','C','C','C','C','D','D','D','D','D','D','E']) AS layout,
     unnest(['5','5','31,32,42','31,32,42','31,32,42','31,32,42','31,32,42','31,32,42','31,32,42','31,32,42','3,42','31,32,42',
@@ -398,7 +413,7 @@ FROM (SELECT ('0x' || substr(md5('42|' || texto), 1, 8))::BIGINT % 100 < 80 AS t
   l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity FROM lineitem""",
         "evolve_schema": _with(_LEDGER, """SELECT id_transaccion, NULL::VARCHAR AS grupo, NULL::VARCHAR AS subgrupo,
   'Pendiente' AS status_gestion, FALSE AS clasificacion_manual FROM ledger"""),
-        "ledger_full_refresh": _with(_LEDGER, f"""SELECT empresa, count(*) AS filas, {_TOTAL} AS total, max(fecha_corte) AS ultima_fecha
+        "ledger_version": _with(_LEDGER, f"""SELECT empresa, count(*) AS filas, {_TOTAL} AS total, max(fecha_corte) AS ultima_fecha
   FROM ledger GROUP BY ALL"""),
         "export_csv_bom": _with(_LEDGER, f"""SELECT empresa, count(*) AS filas, {_TOTAL} AS total,
   count(nullif(grupo, '')) AS con_grupo FROM ledger GROUP BY ALL"""),

@@ -20,10 +20,11 @@ from ledgerlens.operators import joins as J
 from ledgerlens.operators import ledger as L
 from ledgerlens.operators import trends as T
 from ledgerlens.operators import writeback as W
+from ledgerlens.plans import load
 from ledgerlens.plans.load import extract
 from ledgerlens.plans.projection import project_countries
 from ledgerlens.session import fresh_path
-from ledgerlens.sources import exports, readers
+from ledgerlens.sources import exports, literals, readers
 from ledgerlens.sources.registry import Location, registry_table
 from ledgerlens.sources.tables import read_version, write_version
 
@@ -141,10 +142,57 @@ def consolidate(spark, sf):
     return L.consolidate([extract(X.journal(spark, sf, s), s, excluded, dims) for s in X.specs()])
 
 
+def _refreshed(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
+    """The whole job twice: a load of GFO, then one of all journals while GFO's is gone. Folder of the ledger, and the last audit."""
+    root, excluded, sources = fresh_path(spark, "ledger"), X.exclusions(spark, sf), X.stored_sources(spark, sf)
+    load.ledger_full_refresh(spark, [s for s in sources if s.empresa == "GFO"], root, excluded)
+    now = [X.unreadable(s) if s.empresa == "GFO" else s for s in sources]
+    return root, load.ledger_full_refresh(spark, now, root, excluded)
+
+
+@_register
+def ledger_full_refresh(spark, sf):
+    """What a reader of the ledger finds after the whole job; ids are left out, as they follow the written files."""
+    root, _ = _refreshed(spark, sf)
+    return read_version(spark, root).drop("id_transaccion")
+
+
 @_register
 def ingest_audit(spark, sf):
-    rows = _star_ledger(spark, sf)
-    return A.ingest_audit(rows, registry_table(spark, X.specs()))
+    """The audit stored by the whole job."""
+    _, audit = _refreshed(spark, sf)
+    return audit.select("empresa", "filas", "estado", F.col("error").isNotNull().alias("con_error"))
+
+
+@_register
+def load_ids(spark, sf):
+    """Ids that a load of three journals gives: from 1 on, without holes or repeats."""
+    root = fresh_path(spark, "ledger")
+    chosen = [s for s in X.stored_sources(spark, sf) if s.empresa in ("AFI", "CONIX", "LTCP")]
+    load.ledger_full_refresh(spark, chosen, root, X.exclusions(spark, sf))
+    ids = F.col("id_transaccion")
+    return read_version(spark, root).agg(
+        F.count(ids).alias("filas"), F.count_distinct(ids).alias("ids"), F.min(ids).alias("primero"), F.max(ids).alias("ultimo")
+    )
+
+
+@_register
+def concept_template(spark, sf):
+    """Every concept of the inline template with the number of parameters saved under it."""
+    saved = X.parameters(spark, sf).groupBy("categoria", "concepto").agg(F.count(F.lit(1)).alias("guardados"))
+    return literals.concepts(spark).join(saved, ["categoria", "concepto"], "left").select(
+        "categoria", "concepto", "ord", F.coalesce("guardados", F.lit(0)).alias("guardados")
+    )
+
+
+@_register
+def debt_book(spark, sf):
+    """The inline debt book beside the inline portfolio and the instruments of the same country and kind in the debt table."""
+    known = X.debts(spark, sf).groupBy("country", "type").agg(F.count(F.lit(1)).alias("instruments"))
+    return (
+        literals.debt_book(spark).join(literals.portfolio(spark), "country", "left").join(known, ["country", "type"], "left")
+        .select("country", "type", "balance_usd", "rate", "term_years", "perf", "npa", F.coalesce("instruments", F.lit(0)).alias("instruments"))
+    )
 
 
 @_register
@@ -238,10 +286,10 @@ def evolve_schema(spark, sf):
 
 
 @_register
-def ledger_full_refresh(spark, sf):
+def ledger_version(spark, sf):
     """Write the ledger as a new version, then total what a reader of the table finds."""
     root = fresh_path(spark, "ledger")
-    write_version(X.ledger(spark, sf), root)
+    write_version(X.ledger(spark, sf), root, cluster_by=["id_transaccion"])
     return read_version(spark, root).groupBy("empresa").agg(
         F.count(F.lit(1)).alias("filas"), E.money_sum("valor").alias("total"),
         F.max("fecha_corte").alias("ultima_fecha"),

@@ -163,7 +163,10 @@ def classified_count(ledger: DataFrame) -> DataFrame:
 
 
 def ingest_audit(ledger: DataFrame, registry: DataFrame, failures: DataFrame | None = None) -> DataFrame:
-    """One row per registered source: rows loaded, and the error of a source that failed."""
+    """One row per registered source: rows in the ledger, state, and the error of a source that failed.
+
+    A failed source with rows in the ledger is one whose earlier rows were carried over.
+    """
     counts = ledger.groupBy("empresa").agg(F.count(F.lit(1)).alias("filas"))
     audit = registry.select("empresa").join(counts, "empresa", "left")
     if failures is None:
@@ -173,6 +176,7 @@ def ingest_audit(ledger: DataFrame, registry: DataFrame, failures: DataFrame | N
     return audit.select(
         "empresa",
         F.coalesce("filas", F.lit(0)).alias("filas"),
-        F.when(F.col("error").isNull(), F.lit("ok")).otherwise(F.lit("error")).alias("estado"),
+        F.when(F.col("error").isNull(), F.lit("ok")).when(F.col("filas") > 0, F.lit("conservado"))
+        .otherwise(F.lit("error")).alias("estado"),
         "error",
     )

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlens.operators import canonical as K
 from ledgerlens.operators.aggregates import ingest_audit
@@ -26,15 +28,17 @@ from ledgerlens.operators.joins import (
 from ledgerlens.operators.ledger import (
     account_exclusion,
     assign_ids_stored,
-    consolidate,
     evolve_schema,
 )
 from ledgerlens.session import materialize
 from ledgerlens.sources.readers import read_source
 from ledgerlens.sources.registry import SourceSpec, registry_table
-from ledgerlens.sources.tables import write_version
+from ledgerlens.sources.tables import read_beside, read_version, versions, write_beside, write_version
 
 Tables = Mapping[str, DataFrame]
+#: Sources read at a time.
+AT_ONCE = 4
+AUDIT = "audit"
 
 
 def _star_lines(tables: Tables, spec: SourceSpec, dims: Dimensions | None) -> DataFrame:
@@ -74,31 +78,47 @@ def extract(
 
 
 def load_sources(
-    spark: SparkSession, specs: Iterable[SourceSpec], exclusions: DataFrame | None = None
-) -> tuple[list[DataFrame], DataFrame]:
-    """The readable journals, each written once, and a table of the sources that failed.
+    spark: SparkSession, specs: Iterable[SourceSpec], exclusions: DataFrame
+) -> tuple[list[DataFrame], list[tuple[str, str]]]:
+    """The readable journals in the order of ``specs``, each written once, and the failed ones with their errors.
 
-    A source that fails leaves the others alone, as its rows are read before the union is made.
+    A source that fails leaves the others alone, as its rows are read before the union is made. Several are read at a time.
     """
-    loaded, failures = [], []
-    for spec in specs:
+    def load(spec: SourceSpec) -> DataFrame | tuple[str, str]:
         try:
-            loaded.append(materialize(extract(read_source(spark, spec), spec, exclusions), "source"))
+            return materialize(extract(read_source(spark, spec), spec, exclusions), "source")
         except (PySparkException, Py4JJavaError, ValueError) as error:
-            failures.append((spec.empresa, str(error).splitlines()[0]))
-    if not loaded:
-        raise ValueError("no source could be read")
-    return loaded, spark.createDataFrame(failures, "empresa string, error string")
+            return spec.empresa, str(error).splitlines()[0]
+
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        done = list(pool.map(load, specs))
+    return [d for d in done if isinstance(d, DataFrame)], [d for d in done if isinstance(d, tuple)]
+
+
+def _carried(spark: SparkSession, root: str, failed: Iterable[str]) -> list[DataFrame]:
+    """The failed companies' rows of the version in use, with what was set in them."""
+    names = list(failed)
+    if not names or not versions(spark, root):
+        return []
+    kept = read_version(spark, root).filter(F.col("empresa").isin(names)).drop("id_transaccion")
+    return [materialize(kept, "carried")]
 
 
 def ledger_full_refresh(
-    spark: SparkSession, specs: Iterable[SourceSpec], root: str, exclusions: DataFrame | None = None
+    spark: SparkSession, specs: Iterable[SourceSpec], root: str, exclusions: DataFrame
 ) -> DataFrame:
-    """Load everything as the next ledger version and return the audit of the sources.
+    """Load everything as the next ledger version and return the audit of the sources, which is stored beside it.
 
-    The version in use stays until the new one is complete.
+    The version in use stays until the new one is complete. A company whose source fails keeps the rows it has there, and
+    the audit says so. ``exclusions`` may be empty but must be given.
     """
     specs = list(specs)
     loaded, failures = load_sources(spark, specs, exclusions)
-    write_version(evolve_schema(assign_ids_stored(loaded)), root)
-    return ingest_audit(consolidate(loaded), registry_table(spark, specs), failures)
+    if not loaded:
+        raise ValueError("no source could be read")
+    tables = [evolve_schema(t) for t in (*loaded, *_carried(spark, root, [name for name, _ in failures]))]
+    number = write_version(assign_ids_stored(tables), root, cluster_by=["id_transaccion"])
+    failed = spark.createDataFrame(failures, "empresa string, error string")
+    audit = ingest_audit(read_version(spark, root, number), registry_table(spark, specs), failed)
+    write_beside(audit, root, number, AUDIT)
+    return read_beside(spark, root, AUDIT, number)

@@ -23,21 +23,37 @@ def versions(spark: SparkSession, root: str) -> list[int]:
     return sorted(found)
 
 
+def _claim(spark: SparkSession, root: str) -> int:
+    """Number of the next version, taken by creating a file that no other writer can create again."""
+    number = max(versions(spark, root), default=0) + 1
+    while True:
+        mark = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/_claims/{number:06d}")
+        if mark.getFileSystem(spark._jsc.hadoopConfiguration()).createNewFile(mark):
+            return number
+        number += 1
+
+
 def write_version(
     df: DataFrame,
     root: str,
     partition_by: Sequence[str] = ("empresa",),
     sort_within: Sequence[str] = ("fecha_corte",),
+    cluster_by: Sequence[str] = (),
 ) -> int:
     """Write ``df`` as the next version and return its number.
 
     Readers keep the previous version until this one is complete. Rows stay in the tasks that made
-    them, sorted by date within each file so that date ranges skip row groups.
+    them, sorted by date within each file so that date ranges skip row groups. With ``cluster_by`` they are
+    dealt by ranges of partition, date and these columns first, so that a file holds few dates and date ranges skip files;
+    give columns that tell rows of one date apart, as rows equal in all of them share a task.
     """
     spark = df.sparkSession
-    number = max(versions(spark, root), default=0) + 1
+    number = _claim(spark, root)
+    keys = (*partition_by, *sort_within, *cluster_by)
+    if cluster_by:
+        df = df.repartitionByRange(*keys)
     (
-        df.sortWithinPartitions(*partition_by, *sort_within)
+        df.sortWithinPartitions(*keys)
         .write.mode("overwrite")
         .option("compression", "zstd")
         .partitionBy(*partition_by)
@@ -54,3 +70,14 @@ def read_version(spark: SparkSession, root: str, number: int | None = None) -> D
             raise FileNotFoundError(f"no complete version below {root}")
         number = known[-1]
     return spark.read.parquet(f"{root}/{_PREFIX}{number:06d}")
+
+
+def write_beside(df: DataFrame, root: str, number: int, name: str) -> None:
+    """Keep a small report of a version next to it."""
+    df.coalesce(1).write.mode("overwrite").parquet(f"{root}/{name}/{_PREFIX}{number:06d}")
+
+
+def read_beside(spark: SparkSession, root: str, name: str, number: int | None = None) -> DataFrame:
+    """A report kept by :func:`write_beside`, of the latest version by default."""
+    number = versions(spark, root)[-1] if number is None else number
+    return spark.read.parquet(f"{root}/{name}/{_PREFIX}{number:06d}")

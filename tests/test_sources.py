@@ -4,6 +4,7 @@ from datetime import date
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlens import config as C
 from ledgerlens import schemas as S
@@ -13,7 +14,7 @@ from ledgerlens.plans.load import extract, ledger_full_refresh
 from ledgerlens.sources.exports import export_csv_bom
 from ledgerlens.sources.readers import ledger_scan, read_source, read_table, read_training_set
 from ledgerlens.sources.registry import SOURCES, Location, exclusions_table, spec_of
-from ledgerlens.sources.tables import read_version, versions, write_version
+from ledgerlens.sources.tables import read_beside, read_version, versions, write_version
 
 
 def test_registry_covers_every_company_once():
@@ -145,6 +146,33 @@ def test_load_keeps_going_without_a_broken_source(spark, sf_dir, tmp_path):
     assert ledger_scan(ledger).count() == total
 
 
+def test_failed_source_keeps_its_rows_and_labels(spark, sf_dir, tmp_path):
+    specs = [located(spark, sf_dir, s, tmp_path) for s in X.specs() if s.empresa in ("CONIX", "LTCP")]
+    root, excluded = str(tmp_path / "out"), X.exclusions(spark, sf_dir).limit(0)
+    ledger_full_refresh(spark, specs, root, excluded)
+    before = read_version(spark, root)
+    write_version(before.withColumn("grupo", F.when(F.col("empresa") == "CONIX", F.lit("Luz"))), root)
+    audit = ledger_full_refresh(spark, [X.unreadable(specs[0]), specs[1]], root, excluded)
+    assert versions(spark, root) == [1, 2, 3]
+    after = read_version(spark, root)
+    counts = {r.empresa: r["count"] for r in before.groupBy("empresa").count().collect()}
+    assert {(r.empresa, r["count"]) for r in after.filter("grupo = 'Luz'").groupBy("empresa").count().collect()} == {("CONIX", counts["CONIX"])}
+    assert after.filter("empresa = 'LTCP' and grupo is null").count() == counts["LTCP"]
+    low, high, distinct = after.selectExpr("min(id_transaccion)", "max(id_transaccion)", "count(distinct id_transaccion)").first()
+    assert (low, high, distinct) == (1, sum(counts.values()), sum(counts.values()))
+    found = {r.empresa: (r.filas, r.estado) for r in audit.collect()}
+    assert found == {"CONIX": (counts["CONIX"], "conservado"), "LTCP": (counts["LTCP"], "ok")}
+    assert {tuple(r) for r in read_beside(spark, root, "audit").collect()} == {tuple(r) for r in audit.collect()}
+
+
+def test_versions_are_claimed_once(spark, tmp_path):
+    df = spark.createDataFrame([("A", "x")], "empresa string, fecha_corte string")
+    (tmp_path / "t" / "_claims").mkdir(parents=True)
+    (tmp_path / "t" / "_claims" / "000001").touch()
+    assert write_version(df, str(tmp_path / "t")) == 2
+    assert versions(spark, str(tmp_path / "t")) == [2]
+
+
 def test_repeated_key_marks_the_source_as_failed(spark, sf_dir, tmp_path):
     spec = [s for s in X.specs() if s.empresa == "IN SA"][0]
     tables = X.journal(spark, sf_dir, spec)
