@@ -15,6 +15,10 @@ from ledgerlens.llm.catalog import vocabulary
 from ledgerlens.session import materialize
 
 
+#: Percent of common shingles from which the near-duplicate stage links; op1's own contract asks for more.
+NEAR = 80
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that break a rule go."""
     return quality.keep(docs)
@@ -22,7 +26,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays, that of the smallest id."""
-    return minhash.keep_one(docs)
+    return minhash.keep_one(docs, percent=NEAR)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,8 +1,9 @@
 """Near-duplicates by min-max hashing of word shingles.
 
 Each permutation of the hash space gives two values of a set, its minimum and its maximum; both agree between two sets with their
-similarity as probability, so 32 hash evaluations per shingle give 64 values. Sixteen bands of four values are
-compared; two sets of similarity 0.85 miss each other with a probability of 7 in a million, at 0.9 of 4 in a hundred million.
+similarity as probability, so 32 hash evaluations per shingle give 64 values. How many of them make a band follows from the threshold:
+at 85 percent sixteen bands of four values, which two sets of similarity 0.85 miss with a probability of 7 in a million, at 0.9 of 4 in a
+hundred million; at 80 percent 21 bands of three values, missed at 0.8 with 3 in ten million.
 
 Sets that are equal become one class before anything else, so exact copies cost one row each however many there are. Documents that meet in a band
 are compared on their full sets: a band value's members are dealt into blocks of bounded size, each pair of blocks is compared in one task by an inverted
@@ -28,7 +29,9 @@ from ledgerlens.llm.graph import components
 from ledgerlens.llm.shingles import WORDS, shingles
 from ledgerlens.session import materialize
 
-PERMUTATIONS, BANDS = 32, 16
+PERMUTATIONS = 32
+#: Most that two sets at the threshold may miss each other in all bands.
+MISSED = 1e-5
 #: Linked at 100 * intersection >= PERCENT * union.
 PERCENT = 85
 #: Shingles of a block, which bounds a task's memory.
@@ -54,16 +57,24 @@ def min_max(hashes: np.ndarray, ends: np.ndarray, multipliers: np.ndarray) -> np
     return out
 
 
-def banded(values: np.ndarray, bands: int = BANDS) -> np.ndarray:
+def bands_of(percent: int, values: int = 2 * PERMUTATIONS) -> tuple[int, int]:
+    """Number of bands and values of each: as many values as let sets at the threshold be missed no more often than ``MISSED``."""
+    fits = [r for r in range(1, values + 1) if (1 - (percent / 100) ** r) ** (values // r) <= MISSED]
+    size = max(fits, default=1)
+    return values // size, size
+
+
+def banded(values: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """One 64-bit value per band; equal in two bands of different number only by chance."""
-    rows = values.reshape(len(values), bands, -1)
+    bands, size = bands_of(percent, values.shape[1])
+    rows = values[:, : bands * size].reshape(len(values), bands, size)
     out = np.tile(np.arange(1, bands + 1, dtype=np.uint64), (len(values), 1))
     for k in range(rows.shape[2]):
         out = mixed(out * np.uint64(0x9E3779B97F4A7C15) + rows[:, :, k])
     return out
 
 
-def signatures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = WORDS) -> DataFrame:
+def signatures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, set_a, set_b, bands``: size and 128-bit name of each document's set, and its bands (none of an empty set)."""
     multipliers = permutations()
 
@@ -74,7 +85,7 @@ def signatures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: i
                 sets = [np.unique(hashes[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
                 names = [np.array([f(s).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
                          for f in (lambda s: s, lambda s: mixed(s + np.uint64(1)))]
-                bands = banded(min_max(hashes, ends, multipliers)).view(np.int64)
+                bands = banded(min_max(hashes, ends, multipliers), percent).view(np.int64)
                 sizes = np.array([len(s) for s in sets], np.int64)
                 listed = pa.array([b if n_ else b[:0] for b, n_ in zip(bands, sizes, strict=True)], pa.list_(pa.int64()))
                 columns = [piece.column(doc_id).cast(pa.int64()), pa.array(sizes), *map(pa.array, names), listed]
@@ -176,7 +187,7 @@ def _links(meetings: DataFrame, docs: DataFrame, doc_id: str, text: str, n: int,
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id, kept``. Signatures and links are written to the shared folder."""
-    signed = materialize(signatures(docs, doc_id, text, n), "signatures")
+    signed = materialize(signatures(docs, doc_id, text, n, percent), "signatures")
     firsts = materialize(_classes(signed), "classes")
     found = components(_links(_meetings(signed, firsts), docs, doc_id, text, n, percent))
     named = firsts.join(found, F.col("first") == F.col("node"), "left")
@@ -186,7 +197,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return out.select("doc_id", "n_shingles", own.alias("component_id"), F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept"))
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of its component, unchanged."""
-    gone = near_duplicates(docs, doc_id, text).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
+    gone = near_duplicates(docs, doc_id, text, percent=percent).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone, docs[doc_id] == gone["_gone"], "left_anti")

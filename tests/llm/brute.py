@@ -49,7 +49,7 @@ def shingle_set(text: str | None) -> set[tuple]:
     return {tuple(words[i : i + 5]) for i in range(max(len(words) - 4, 1))} if words else set()
 
 
-def near_duplicates(rows: list[tuple[int, str | None]]) -> set[tuple]:
+def near_duplicates(rows: list[tuple[int, str | None]], percent: int = 85) -> set[tuple]:
     sets = {i: shingle_set(t) for i, t in rows}
     root = {i: i for i in sets}
 
@@ -65,7 +65,7 @@ def near_duplicates(rows: list[tuple[int, str | None]]) -> set[tuple]:
     for i, s in sets.items():
         for j in {j for x in s for j in holders[x] if j < i}:
             shared = len(s & sets[j])
-            if 100 * shared >= 85 * (len(s) + len(sets[j]) - shared):
+            if 100 * shared >= percent * (len(s) + len(sets[j]) - shared):
                 a, b = sorted((top(i), top(j)))
                 root[b] = a
     return {(i, len(s), top(i), top(i) == i) for i, s in sets.items()}

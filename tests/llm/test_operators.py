@@ -89,6 +89,26 @@ def test_blocks_find_the_same_links(monkeypatch, spark):
     assert _rows(minhash.near_duplicates(_table(spark, texts))) == brute.near_duplicates(texts)
 
 
+def test_pipeline_stage_links_from_80_percent(spark):
+    """Near copies of a similarity from 0.80 to 0.85 go, those below stay, as a plain version says."""
+    base, texts = [f"w{k}" for k in range(1000)], []
+    for k, changed in enumerate([0, *range(18, 27)] * 3):
+        copy = [f"{w}g{k // 10}" for w in base]
+        for c in range(changed):
+            copy[c * 36 + 20] = f"new{k}x{c}"
+        texts.append((k, " ".join(copy)))
+    kept = {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, _table(spark, texts), "").collect()}
+    assert kept == {i for i, _, _, first in brute.near_duplicates(texts, 80) if first}
+    assert kept < {i for i, _, _, first in brute.near_duplicates(texts, 85) if first}
+
+
+def test_bands_suit_the_threshold():
+    assert (minhash.bands_of(85), minhash.bands_of(80)) == ((16, 4), (21, 3))
+    for percent in (60, 70, 80, 85, 90, 95):
+        bands, size = minhash.bands_of(percent)
+        assert bands * size <= 2 * minhash.PERMUTATIONS and (1 - (percent / 100) ** size) ** bands <= minhash.MISSED
+
+
 def test_min_and_max_agree_as_often_as_sets_are_alike():
     rng = np.random.default_rng(1)
     pool = rng.integers(0, 1 << 63, 3000, dtype=np.uint64)
