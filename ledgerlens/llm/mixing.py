@@ -34,6 +34,9 @@ TEMPER = {"source": 0.5, "lang": 0.7, "topic": 0.8}
 FRACTION = 0.5
 ROUNDS = 20
 ENOUGH = 1e-10
+#: The fit of a draw that repeats no row starts from the plain fit and goes on to this change of a share.
+BOUNDED_ROUNDS = 60
+BOUNDED_ENOUGH = 1e-7
 SEED = 42
 
 Targets = Mapping[str, Mapping[str, float]]
@@ -101,18 +104,71 @@ def rake(cells: DataFrame, targets: Targets | None = None, rounds: int = ROUNDS,
     return fitted.select(*MARGINS, "tokens", "share")
 
 
+def reachable(cells: DataFrame, goal: DataFrame, margin: str, rounds: int = ROUNDS) -> DataFrame:
+    """Targets of a marginal, none above what its cells hold: what a value is short of goes to the others by their targets."""
+    held = cells.groupBy(margin).agg(F.sum("most").alias("most"))
+    goal = materialize(goal.join(held, margin).withColumn("wish", F.col("target")), "targets")
+    for _ in range(rounds):
+        got = goal.agg(
+            F.sum(F.least("wish", "most")), F.sum(F.when(F.col("wish") < F.col("most"), F.col("wish"))),
+            F.sum(F.when(F.col("wish") >= F.col("most"), F.col("most"))), F.sum("most"),
+        ).first()
+        if got[1] is None or got[0] >= min(1.0, got[3]) * (1 - BOUNDED_ENOUGH):
+            break
+        goal = materialize(goal.withColumn("wish", F.col("wish") * F.lit((min(1.0, got[3]) - (got[2] or 0.0)) / got[1])), "targets")
+    return goal.select(margin, F.least("wish", "most").alias("target"))
+
+
+def rake_bounded(cells: DataFrame, targets: Targets | None = None, fraction: float = FRACTION, rounds: int = BOUNDED_ROUNDS) -> DataFrame:
+    """As :func:`rake`, with no cell wanted more often than it exists: a full cell stays full while the rest is scaled to the targets.
+
+    ``_free`` is a cell's product of factors, its share the smaller of that and ``most``. Each step solves a value's sum
+    for its factor, by the cells that are not full (Newton); where no cell is full this is the plain step.
+    """
+    fitted = rake(cells, targets)
+    total = float(_total(fitted, "tokens"))
+    most = F.col("tokens").cast("double") / F.lit(total * fraction)
+    fitted = materialize(fitted.withColumns({"most": most, "_free": F.col("share")}), "cells")
+    if not fitted.where(F.col("share") > F.col("most")).head(1):
+        return fitted.select(*MARGINS, "tokens", "share")
+    if total * fraction >= total:
+        return fitted.select(*MARGINS, "tokens", F.col("most").alias("share"))
+    goals = {m: materialize(reachable(fitted, wanted(fitted, m, targets), m), "targets") for m in MARGINS}
+    full = F.col("_free") >= F.col("most")
+    for _ in range(rounds):
+        step = fitted.withColumn("_was", F.least("_free", "most"))
+        for m in MARGINS:
+            sums = step.groupBy(m).agg(
+                F.sum(F.when(full, F.col("most")).otherwise(0.0)).alias("_full"), F.sum(F.when(full, 0.0).otherwise(F.col("_free"))).alias("_rest"),
+            ).join(goals[m], m)
+            ratio = (
+                F.when(F.col("target") <= F.col("_full"), F.col("target") / (F.col("_full") + F.col("_rest")))
+                .when(F.col("_rest") > 0, (F.col("target") - F.col("_full")) / F.col("_rest")).otherwise(1.0)
+            )
+            # A value whose cells are all full and meet the target is left as it is.
+            ratio = F.when((F.col("_rest") <= 0) & (F.col("target") >= F.col("_full") * (1 - BOUNDED_ENOUGH)), 1.0).otherwise(ratio)
+            step = step.join(sums.select(m, ratio.alias("_ratio")), m).withColumn("_free", F.col("_free") * F.col("_ratio")).drop("_ratio")
+        fitted = materialize(step, "cells")
+        change = fitted.agg(F.max(F.abs(F.least("_free", "most") - F.col("_was")))).first()[0]
+        fitted = fitted.drop("_was")
+        if change is None or change < BOUNDED_ENOUGH:
+            break
+    return fitted.select(*MARGINS, "tokens", F.least("_free", "most").alias("share"))
+
+
 def plan(
     docs: DataFrame, targets: Targets | None = None, fraction: float = FRACTION, seed: int = SEED,
-    doc_id: str = "doc_id", text: str = "text",
+    doc_id: str = "doc_id", text: str = "text", bounded: bool = False,
 ) -> DataFrame:
     """One row per document: its cell, tokens, probability, weight and whether it is drawn.
 
     ``rate`` is how often a cell's tokens are wanted. A document is drawn with ``probability``, the rate up to 1, and counts
-    ``weight`` times where the rate is above 1; so drawn tokens times weight meet the targets in expectation.
+    ``weight`` times where the rate is above 1; so drawn tokens times weight meet the targets in expectation. With ``bounded``
+    no rate is above 1, and drawn tokens alone meet them.
     """
     rows = measured(docs, doc_id, text)
     cells = rows.groupBy(*MARGINS).agg(F.sum("tokens").alias("tokens"))
-    fitted = rake(cells, targets)
+    fitted = rake_bounded(cells, targets, fraction) if bounded else rake(cells, targets)
     rate = F.col("share") * F.lit(float(_total(fitted, "tokens"))) * fraction / F.col("tokens")
     rates = fitted.select(*MARGINS, rate.alias("rate"))
     out = rows.join(rates, list(MARGINS), "left").withColumn("rate", F.when(F.col("tokens") > 0, F.col("rate")).otherwise(0.0))
@@ -124,6 +180,6 @@ def plan(
 
 
 def sample(docs: DataFrame, targets: Targets | None = None, fraction: float = FRACTION, seed: int = SEED, doc_id: str = "doc_id") -> DataFrame:
-    """The drawn rows of ``docs``, unchanged."""
-    ids = plan(docs, targets, fraction, seed, doc_id).where("sampled").select(F.col("doc_id").alias("_drawn")).distinct()
+    """The drawn rows of ``docs``, unchanged. They carry no weight, so the fit is bounded: none is wanted more than once."""
+    ids = plan(docs, targets, fraction, seed, doc_id, bounded=True).where("sampled").select(F.col("doc_id").alias("_drawn")).distinct()
     return docs.join(ids, docs[doc_id].eqNullSafe(ids["_drawn"]), "left_semi")

@@ -337,6 +337,21 @@ def test_mix_odd_rows(spark):
     assert mixing.plan(docs.limit(0)).count() == 0
 
 
+def test_drawn_rows_meet_the_targets_where_cells_run_short(spark):
+    """Rare cells of a skewed table are wanted more often than they exist; the rows of the draw count, not their weights."""
+    sizes = {("big", "en"): 24000, ("big", "es"): 3000, ("mid", "en"): 3000, ("mid", "es"): 1500, ("rare", "en"): 1500, ("rare", "es"): 300}
+    cells = [c for c, n in sizes.items() for _ in range(n)]
+    rows = [(i, "a b c d", lang, source, 7) for i, (source, lang) in enumerate(cells)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    targets = {"source": {"big": 0.665, "mid": 0.235, "rare": 0.1}, "lang": {"en": 0.75, "es": 0.25}}
+    assert mixing.plan(docs, targets).where("weight > 1.05").head(1)
+    out = mixing.sample(docs, targets).toPandas()
+    assert len(out) == pytest.approx(len(rows) * mixing.FRACTION, rel=0.02)
+    for margin, wanted in targets.items():
+        share = out.groupby(margin).size() / len(out)
+        assert all(share[k] == pytest.approx(v, rel=0.03) for k, v in wanted.items()), (margin, share)
+
+
 def test_pipeline_agrees_with_plain_versions(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     kept = {r["doc_id"] for r in quality.judge(docs).where("kept").collect()}
