@@ -270,6 +270,38 @@ def test_licenses(spark):
     assert licenses.scan(_table(spark, [])).count() == 0
 
 
+MIT_LINES = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+"""
+BSD_LINES = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+"""
+
+
+def test_wrapped_and_repeated_notices():
+    matcher, prose = licenses.Matcher(licenses.TEMPLATES), " ".join(_prose(1, 300))
+    names = lambda t: [f.license for _, _, f in matcher.match(t)[1]]
+    for text, name in ((MIT_LINES, "MIT-text"), (BSD_LINES, "BSD-3-Clause")):
+        assert names(text) == names(f"{prose}\n\n{text}\n{prose}") == names("# " + text.replace("\n", "\n# ")) == [name]
+        assert names(text * 3) == [name] * 3 and names(f"{text}{prose}\n{text}") == [name] * 2
+    header = licenses.TEMPLATES["Apache-2.0-header"].replace("You may obtain", "\n\nYou may obtain").replace(" Unless", "\n\nUnless")
+    assert names(header) == ["Apache-2.0-header"] and names(MIT_LINES + BSD_LINES) == ["MIT-text", "BSD-3-Clause"]
+    assert names("Released under the MIT License. " * 4) == ["MIT"] * 4
+    long = "All the licence lines here say licence.\n" * 2000 + MIT_LINES + "No warranty is given.\n" * 2000
+    (start, end, found), = matcher.match(long)[1]
+    assert long[start:end] == MIT_LINES and (found.missing, found.added) == ((), ())
+
+
 def test_license_lines_of_the_table(spark, sf_dir):
     """Every line that is a template's wording is found, and no text without one is."""
     out = {r["doc_id"]: r["findings"] for r in licenses.scan(catalog._documents(spark, sf_dir)).collect()}
