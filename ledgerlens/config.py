@@ -122,6 +122,8 @@ VOCABULARY = 6000
 MAX_LABELLED = 2_000_000
 # Partitions a forest is fitted on.
 FIT_PARTITIONS = 32
+# Equal rows that are dealt to a partition together.
+FIT_CHUNK = 256
 TREES = 150
 MAX_DEPTH = 30
 SEED = 42
