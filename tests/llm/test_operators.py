@@ -384,11 +384,33 @@ def test_drawn_rows_meet_the_targets_where_cells_run_short(spark):
         assert all(share[k] == pytest.approx(v, rel=0.03) for k, v in wanted.items()), (margin, share)
 
 
+def test_rows_of_one_id_are_drawn_by_their_own_cells(spark):
+    rows = [(1, "a b", "en", "s", 3), (1, "", "en", "s", 0), (1, None, "en", "s", 0)]
+    out = mixing.sample(spark.createDataFrame(rows, SCHEMA), fraction=1000.0).collect()
+    assert [r["text"] for r in out] == ["a b"]
+
+
+def test_mix_says_which_targets_are_not_met(spark):
+    """All of ``t`` is French, which is wanted less often than ``t``: both cannot hold."""
+    cells = spark.createDataFrame([("s", "en", "x", 50), ("t", "fr", "x", 50)], "source string, lang string, topic string, tokens long")
+    with pytest.warns(mixing.UnmetTargets):
+        fitted = mixing.rake(cells, {"source": {"s": 0.2, "t": 0.8}, "lang": {"en": 0.5, "fr": 0.5}})
+    assert {(r["margin"], r["value"]) for r in mixing.unmet(fitted).collect()} == {("source", "s"), ("source", "t")}
+    fine = mixing.rake(cells, {"source": {"s": 0.2, "t": 0.8}, "lang": {"en": 0.2, "fr": 0.8}})
+    assert mixing.unmet(fine).count() == 0
+
+
+def test_mix_fits_without_joins_between_rounds(spark, sf_dir):
+    cells = mixing.measured(catalog._documents(spark, sf_dir)).groupBy(*mixing.MARGINS).agg(F.sum("tokens").alias("tokens"))
+    told = mixing.rake_bounded(cells)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in told and "Exchange" not in told
+
+
 def test_pipeline_agrees_with_plain_versions(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     kept = {r["doc_id"] for r in quality.judge(docs).where("kept").collect()}
     rows = [(r["doc_id"], r["text"]) for r in docs.collect() if r["doc_id"] in kept]
-    lone = {i for i, _, _, first in brute.near_duplicates(rows) if first}
+    lone = {i for i, _, _, first in brute.near_duplicates(rows, corpus_pipeline.NEAR) if first}
     spans = {r["doc_id"]: r["spans"] for r in secrets.report(docs).collect()}
 
     def masked(i, t):
@@ -399,7 +421,7 @@ def test_pipeline_agrees_with_plain_versions(spark, sf_dir):
 
     clean = {i: masked(i, t) for i, t in rows if i in lone}
     table = docs.where(F.col("doc_id").isin([*clean])).select("doc_id", "lang", "source").collect()
-    mixed = mixing.plan(spark.createDataFrame([(r["doc_id"], clean[r["doc_id"]], r["lang"], r["source"], 0) for r in table], SCHEMA))
+    mixed = mixing.plan(spark.createDataFrame([(r["doc_id"], clean[r["doc_id"]], r["lang"], r["source"], 0) for r in table], SCHEMA), bounded=True)
     want = {r["doc_id"] for r in mixed.where("sampled").collect()}
     coder = catalog.vocabulary().coder()
     out = corpus_pipeline.run(spark, sf_dir).collect()
