@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import bpe, fingerprints, licenses, minhash, mixing, quality, secrets, substrings, suffixes, urls
+from ledgerlens.llm import bpe, divergence, fingerprints, licenses, minhash, mixing, quality, secrets, substrings, suffixes, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -232,3 +232,42 @@ def op2_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
 @_register
 def op4_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return suffixes.without_repeats(_documents(spark, sf))
+
+
+@_register
+def op11_source_divergence(spark: SparkSession, sf: str) -> DataFrame:
+    return divergence.audit(_documents(spark, sf))
+
+
+_SHARE = f"1 + ({divergence.WHOLE}::HUGEINT * (%s + {divergence.SMOOTHING})) // (%s + {divergence.SMOOTHING} * v)"
+_SQL["op11_source_divergence"] = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), '{divergence.UPPER}', '{divergence.LOWER}'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), t AS (
+  SELECT doc_id, lang, source, unnest(terms) AS term FROM d
+), kept AS (
+  SELECT lang, term FROM t GROUP BY ALL HAVING count(DISTINCT doc_id) >= {divergence.MIN_DF}
+), n AS (
+  SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN kept USING (lang, term) GROUP BY ALL
+), g AS (
+  SELECT lang, source, coalesce((SELECT sum(n) FROM n WHERE n.lang = d.lang AND n.source = d.source), 0) AS total,
+    (SELECT count(*) FROM kept WHERE kept.lang = d.lang) AS v
+  FROM (SELECT DISTINCT lang, source FROM d) d
+), p AS (
+  SELECT g.lang, g.source, term, coalesce(n, 0) AS n, {_SHARE % ("coalesce(n, 0)", "total")} AS p
+  FROM g JOIN kept USING (lang) LEFT JOIN n USING (lang, source, term)
+), q AS (
+  SELECT lang, term, {_SHARE % ("sum(n)", "(SELECT sum(total) FROM g WHERE g.lang = p.lang)")} AS q
+  FROM p JOIN (SELECT DISTINCT lang, v FROM g) USING (lang) GROUP BY lang, term, v
+), f AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce((
+    SELECT sum(abs(x.p - y.p)) FROM p x JOIN p y USING (lang, term) WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q)::BIGINT FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q
+)
+SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INT AS rank FROM f
+QUALIFY part = 'pair' OR rank <= {divergence.TOP}
+"""

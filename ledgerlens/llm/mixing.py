@@ -42,7 +42,7 @@ ENOUGH = 1e-10
 BOUNDED_ROUNDS = 200
 BOUNDED_ENOUGH = 1e-7
 #: Rounds of one job, and cells of one of its tasks.
-CHUNK = 10
+CHUNK = 5
 TASK = 100_000
 SEED = 42
 
