@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import bpe, divergence, fingerprints, licenses, minhash, mixing, quality, secrets, substrings, suffixes, urls
+from ledgerlens.llm import bpe, divergence, fingerprints, infill, licenses, minhash, mixing, quality, secrets, substrings, suffixes, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -271,3 +271,33 @@ WITH d AS (
 SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INT AS rank FROM f
 QUALIFY part = 'pair' OR rank <= {divergence.TOP}
 """
+
+
+@_register
+def op12_fill_in_middle(spark: SparkSession, sf: str) -> DataFrame:
+    return infill.digests(_documents(spark, sf))
+
+
+_SQL["op12_fill_in_middle"] = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS units,
+    sha256('{infill.SALT}' || coalesce(doc_id::VARCHAR, '')) AS told
+  FROM documents
+), h AS (
+  SELECT *, len(units)::BIGINT AS n, {", ".join(f"('0x' || told[{k * 8 + 1}:{k * 8 + 8}])::BIGINT AS h{k + 1}" for k in range(4))} FROM d
+), c AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN text = '' OR contains(text, '{infill.PREFIX}') OR contains(text, '{infill.SUFFIX}') OR contains(text, '{infill.MIDDLE}')
+      OR h3 % 100 >= {infill.RATE} THEN '{infill.PLAIN}' WHEN h4 % 100 < {infill.SPM_RATE} THEN '{infill.SPM}' ELSE '{infill.PSM}' END AS form
+  FROM h
+), p AS (
+  SELECT *, array_to_string(units[:a], '') AS pre, array_to_string(units[a+1:b], '') AS mid, array_to_string(units[b+1:], '') AS suf FROM c
+)
+SELECT doc_id, n, form, CASE WHEN form <> '{infill.PLAIN}' THEN length(pre) END AS prefix_chars,
+  CASE WHEN form <> '{infill.PLAIN}' THEN length(mid) END AS middle_chars,
+  sha256(CASE form WHEN '{infill.PLAIN}' THEN text
+    WHEN '{infill.PSM}' THEN '{infill.PREFIX}' || pre || '{infill.SUFFIX}' || suf || '{infill.MIDDLE}' || mid
+    ELSE '{infill.SUFFIX}' || suf || '{infill.PREFIX}' || pre || '{infill.MIDDLE}' || mid END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM p
+"""
