@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import bpe, divergence, fingerprints, infill, licenses, minhash, mixing, quality, secrets, substrings, suffixes, urls
+from ledgerlens.llm import bpe, divergence, fingerprints, infill, licenses, minhash, mixing, packing, quality, secrets, substrings, suffixes, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -301,3 +301,11 @@ SELECT doc_id, n, form, CASE WHEN form <> '{infill.PLAIN}' THEN length(pre) END
   sha256(text) AS restored_sha256
 FROM p
 """
+
+
+@_register
+def op13_packing(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    tokens = packing.Tokens.load(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    return packing.places(_documents(spark, sf), tokens)
