@@ -169,21 +169,29 @@ class Room:
         return out, left
 
 
-def best_fit(sizes: list[int], order: list[int], bins: list[list[int]], length: int) -> list[list[int]]:
-    """Put the pieces of ``order`` into ``bins``, each where the least room stays, or into new ones."""
+#: Sequences as lists of pieces, and what is in each.
+Packing = tuple[list[list[int]], list[int]]
+
+
+def best_fit(sizes: list[int], order: list[int], begun: Packing, length: int) -> Packing:
+    """Put the pieces of ``order`` into the sequences begun, each where the least room stays, or into new ones."""
+    bins, loads = begun
     room = Room(length)
-    for k, b in enumerate(bins):
-        room.add(k, length - sum(sizes[i] for i in b))
+    for k, load in enumerate(loads):
+        room.add(k, length - load)
     for i in order:
         size = sizes[i]
         found = room.take(size)
         if found is None:
             bins.append([i])
+            loads.append(size)
             room.add(len(bins) - 1, length - size)
         else:
-            bins[found[0]].append(i)
-            room.add(found[0], found[1] - size)
-    return bins
+            k, left = found
+            bins[k].append(i)
+            loads[k] += size
+            room.add(k, left - size)
+    return bins, loads
 
 
 def least_bins(sizes: np.ndarray, length: int = LENGTH) -> int:
@@ -200,40 +208,44 @@ def least_bins(sizes: np.ndarray, length: int = LENGTH) -> int:
     return max(best, len(half))
 
 
-def fitness(bins: list[list[int]], sizes: list[int], length: int) -> tuple[int, float]:
+def fitness(packing: Packing, length: int) -> tuple[int, float]:
     """Fewer sequences first, then the fuller ones: the mean square of their fill."""
-    return -len(bins), sum((sum(sizes[i] for i in b) / length) ** 2 for b in bins) / max(1, len(bins))
+    fills = np.array(packing[1]) / length
+    return -len(fills), float((fills**2).mean())
 
 
-def crossed(one: list[list[int]], two: list[list[int]], sizes: list[int], length: int, rng: np.random.Generator) -> list[list[int]]:
+def crossed(one: Packing, two: Packing, sizes: list[int], length: int, rng: np.random.Generator) -> Packing:
     """A child of two packings: whole well-filled sequences of ``one`` injected into ``two``, duplicates removed, what is displaced put back best-fit."""
     # Noise in the order gives different children of the same parents.
-    fills = np.array([sum(sizes[i] for i in b) for b in one]) / length - rng.random(len(one)) * 0.4
-    chosen = np.argsort(-fills)[: max(1, int(len(one) * INJECTED))]
-    child = [list(one[k]) for k in chosen]
-    held = {i for b in child for i in b}
+    fills = np.array(one[1]) / length - rng.random(len(one[1])) * 0.4
+    chosen = np.argsort(-fills)[: max(1, int(len(fills) * INJECTED))].tolist()
+    bins, loads = [list(one[0][k]) for k in chosen], [one[1][k] for k in chosen]
+    held = {i for b in bins for i in b}
     displaced = []
-    for b in two:
-        free = [i for i in b if i not in held]
-        if len(free) == len(b):
-            child.append(free)
+    for b, load in zip(*two, strict=True):
+        if held.isdisjoint(b):
+            bins.append(list(b))
+            loads.append(load)
         else:
-            displaced += free
+            displaced += [i for i in b if i not in held]
     # Mutation: a few of the emptiest sequences are taken apart as well.
-    loose = sorted(range(len(child)), key=lambda k: sum(sizes[i] for i in child[k]))[: int(rng.integers(1, 5))]
-    displaced += [i for k in loose for i in child[k]]
-    child = [b for k, b in enumerate(child) if k not in set(loose)]
-    return best_fit(sizes, sorted(displaced, key=lambda i: -sizes[i]), child, length)
+    loose = np.argsort(loads, kind="stable")[: int(rng.integers(1, 5))].tolist()
+    for k in sorted(loose, reverse=True):
+        displaced += bins.pop(k)
+        del loads[k]
+    # Pieces are numbered from the longest on.
+    return best_fit(sizes, sorted(displaced), (bins, loads), length)
 
 
-def _packing(numbers: np.ndarray) -> list[list[int]]:
+def _packing(numbers: np.ndarray, sizes: np.ndarray) -> Packing:
     order = np.argsort(numbers, kind="stable")
-    return [list(map(int, p)) for p in np.split(order, np.flatnonzero(np.diff(numbers[order])) + 1)]
+    bins = [p.tolist() for p in np.split(order, np.flatnonzero(np.diff(numbers[order])) + 1)]
+    return bins, np.bincount(numbers, weights=sizes).astype(int).tolist()
 
 
-def _numbers(bins: list[list[int]], n: int) -> np.ndarray:
+def _numbers(packing: Packing, n: int) -> np.ndarray:
     out = np.zeros(n, np.int32)
-    for k, b in enumerate(bins):
+    for k, b in enumerate(packing[0]):
         out[b] = k
     return out
 
@@ -243,20 +255,20 @@ def evolve(sizes: np.ndarray, elites: list[np.ndarray], island: int, epoch: int,
     n, plain = len(sizes), [int(s) for s in sizes]
     rng = np.random.default_rng([seed, island, epoch, n, int(sizes.sum())])
     goal = least_bins(sizes, length)
-    population = [_packing(np.asarray(e)) for e in elites]
+    population = [_packing(np.asarray(e), sizes) for e in elites]
     if not population:
-        population.append(best_fit(plain, list(range(n)), [], length))
-    while len(population) < POPULATION and len(population[0]) > goal:
+        population.append(best_fit(plain, list(range(n)), ([], []), length))
+    while len(population) < POPULATION and len(population[0][0]) > goal:
         order = np.argsort(-(sizes * (1 + 0.1 * rng.random(n))), kind="stable")
-        population.append(best_fit(plain, [int(i) for i in order], [], length))
-    rated = sorted(((fitness(p, plain, length), p) for p in population), key=lambda x: x[0], reverse=True)
+        population.append(best_fit(plain, order.tolist(), ([], []), length))
+    rated = sorted(((fitness(p, length), p) for p in population), key=lambda x: x[0], reverse=True)
     for _ in range(max(GENERATIONS, WORK // (n * CHILDREN))):
-        if len(rated[0][1]) <= goal:
+        if -rated[0][0][0] <= goal:
             break
         for _ in range(CHILDREN):
             a, b = rng.choice(len(rated), 2, replace=False)
             child = crossed(rated[a][1], rated[b][1], plain, length, rng)
-            rated.append((fitness(child, plain, length), child))
+            rated.append((fitness(child, length), child))
         rated = sorted(rated, key=lambda x: x[0], reverse=True)[:POPULATION]
     return [_numbers(p, n) for _, p in rated]
 
