@@ -115,8 +115,8 @@ def runs(text: str, limit: int = RUN) -> Iterator[str]:
 _TOKENS: dict[int, Tokens] = {}
 
 
-def cut(docs: DataFrame, tokens: Tokens, length: int = LENGTH, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, piece, start, length, ids_crc32, ids`` of every piece of every document."""
+def cut(docs: DataFrame, tokens: Tokens, length: int = LENGTH, doc_id: str = "doc_id", text: str = "text", with_ids: bool = True) -> DataFrame:
+    """``doc_id, piece, start, length, ids_crc32`` and, if wanted, ``ids`` of every piece of every document."""
     kept = docs.schema[doc_id].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,18 +129,18 @@ def cut(docs: DataFrame, tokens: Tokens, length: int = LENGTH, doc_id: str = "do
                     first = (len(ids) - 1) % length + 1
                     for k, end in enumerate(range(first, len(ids) + 1, length)):
                         start = max(0, end - length)
-                        rows.append((row, k, start, end - start, zlib.crc32(ids[start:end].tobytes()), ids[start:end]))
-                at, *columns, ids = map(list, zip(*rows, strict=True)) if rows else [[]] * 6
+                        rows.append((row, k, start, end - start, zlib.crc32(ids[start:end]), *([ids[start:end].astype(np.int32)] if with_ids else [])))
+                at, *columns = map(list, zip(*rows, strict=True)) if rows else [[]] * (len(kinds) + 1)
                 yield pa.record_batch([
-                    part.column(doc_id).take(pa.array(at, pa.int64())), *(pa.array(c, t) for c, t in zip(columns, (pa.int32(), *[pa.int64()] * 3), strict=True)),
-                    pa.array([i.astype(np.int32) for i in ids], pa.list_(pa.int32())),
+                    part.column(doc_id).take(pa.array(at, pa.int64())), *(pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)),
                 ], schema.fieldNames())
 
     long = T.LongType()
     schema = T.StructType([
         T.StructField("doc_id", kept), T.StructField("piece", T.IntegerType()), T.StructField("start", long), T.StructField("length", long),
-        T.StructField("ids_crc32", long), T.StructField("ids", T.ArrayType(T.IntegerType())),
+        T.StructField("ids_crc32", long), *([T.StructField("ids", T.ArrayType(T.IntegerType()))] if with_ids else []),
     ])
+    kinds = [pa.int32(), *[pa.int64()] * 3, *([pa.list_(pa.int32())] if with_ids else [])]
     return only(docs, doc_id, text).mapInArrow(run, schema)
 
 
@@ -340,4 +340,4 @@ def pack(docs: DataFrame, tokens: Tokens, length: int = LENGTH, doc_id: str = "d
 
 def places(docs: DataFrame, tokens: Tokens, length: int = LENGTH, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """As :func:`pack`, with the checksum of each piece's ids in place of the ids."""
-    return packed(cut(docs, tokens, length, doc_id, text).drop("ids"), length)
+    return packed(cut(docs, tokens, length, doc_id, text, with_ids=False), length)
