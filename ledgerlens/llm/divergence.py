@@ -48,8 +48,10 @@ MARK = ""
 def tokenised(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> str:
     """Path of the written table ``source, terms`` of all documents, partitioned by ``of``, a digest of the language."""
     path = fresh_path(docs.sparkSession, "terms")
-    # ASCII letters alone are lowered.
-    found = F.split(F.translate(given(docs[text]), UPPER, LOWER), GAP, -1)
+    # ASCII letters alone are lowered; a text of nothing else is lowered as a whole, which is faster.
+    whole = given(docs[text])
+    lowered = F.when(F.length(whole) == F.octet_length(whole), F.lower(whole)).otherwise(F.translate(whole, UPPER, LOWER))
+    found = F.split(lowered, GAP, -1)
     rows = docs.select(
         F.md5(given(docs[lang])).alias("of"), given(docs[lang]).alias("lang"), given(docs[source]).alias("source"), F.concat(F.array(F.lit(MARK)), found).alias("terms"),
     )

@@ -21,6 +21,7 @@ from itertools import chain, groupby
 
 from pyspark import RDD, TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens.llm.text import only
@@ -35,6 +36,8 @@ SALT = "7:"
 RATE, SPM_RATE = 100, 50
 #: UTF-8 bytes of a piece.
 CHUNK = 256 << 10
+#: Text bytes of a partition of pieces.
+PARTITION = 32 << 20
 
 #: Document: digest of its text, id, number of the task that read it, number among equal rows of that task.
 Key = tuple[bytes, int, int, int]
@@ -114,11 +117,13 @@ def assembled(
 ) -> RDD:
     """The outputs as sorted pieces: ``((document, place), value)``, all pieces of a document next to each other in one partition.
 
-    Place 0 holds ``(doc_id, n, form, prefix_chars, middle_chars)``, the others one chunk of output bytes each.
+    The number of partitions follows the bytes of text, which one scan adds up. Place 0 holds ``(doc_id, n, form, prefix_chars, middle_chars)``, the others one chunk of output bytes each.
     """
-    rows = only(docs, doc_id, text).rdd
-    n = partitions or max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows.getNumPartitions())
-    return rows.mapPartitions(lambda it: _pieces(it, rate, spm_rate, limit)).repartitionAndSortWithinPartitions(n, _dealt)
+    rows = only(docs, doc_id, text)
+    if partitions is None:
+        size = rows.agg(F.sum(F.octet_length(text))).first()[0] or 0
+        partitions = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // PARTITION))
+    return rows.rdd.mapPartitions(lambda it: _pieces(it, rate, spm_rate, limit)).repartitionAndSortWithinPartitions(partitions, _dealt)
 
 
 def _original(pieces: Iterator) -> Iterator:
