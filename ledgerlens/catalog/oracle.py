@@ -346,6 +346,26 @@ def _mode(column: str) -> str:
     QUALIFY row_number() OVER (PARTITION BY nombre_tercero ORDER BY count(*) DESC, {column}) = 1)"""
 
 
+_BY_ID = (*_LEDGER, "upd_id")
+_BY_BOTH = (*_LEDGER, "upd_id", "upd_vendor_raw", "upd_vendor")
+
+
+_CORRECTED = "SELECT id_transaccion, nombre_tercero, grupo, subgrupo, status_gestion, clasificacion_manual FROM fixed"
+
+
+def _after(source: str, by_vendor: bool = False) -> str:
+    """The ledger after the corrections, as the table ``source``, and the dashboards' view of it."""
+    both = """ LEFT JOIN upd_vendor v ON l.nombre_tercero = v.nombre""" if by_vendor else ""
+    pick = (lambda c, f: f"coalesce(v.{c}, u.{c}, l.{f})") if by_vendor else (lambda c, f: f"coalesce(u.{c}, l.{f})")
+    manual = "CASE WHEN v.g IS NOT NULL THEN TRUE ELSE clasificacion_manual END" if by_vendor else "clasificacion_manual"
+    view = _CTE["view"].replace("view_ AS", "shown AS").replace("FROM ledger)", f"FROM {source})")
+    return f"""{source} AS (
+  SELECT l.* REPLACE ({pick('g', 'grupo')} AS grupo, coalesce(u.s, l.subgrupo) AS subgrupo, {pick('st', 'status_gestion')} AS status_gestion,
+    {manual} AS clasificacion_manual)
+  FROM ledger l LEFT JOIN upd_id u ON l.id_transaccion = u.id{both}),
+{view}"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "etl_summary": _with(_LOADED, f"""SELECT empresa, strftime(last_day(fecha_transaccion), '%Y-%m') AS periodo, {_TOTAL} AS total
@@ -488,6 +508,21 @@ FROM (SELECT ('0x' || substr(md5('42|' || texto), 1, 8))::BIGINT % 100 < 80 AS t
   coalesce(u.g, grupo) AS grupo, subgrupo, coalesce(u.st, status_gestion) AS status_gestion,
   CASE WHEN u.g IS NOT NULL THEN TRUE ELSE clasificacion_manual END AS clasificacion_manual
   FROM ledger LEFT JOIN upd_vendor u ON nombre_tercero = u.nombre"""),
+        "corrected_by_id": _with(_BY_ID, _CORRECTED, extra=_after("fixed")),
+        "corrected_twice": _with(_BY_BOTH, _CORRECTED, extra=_after("fixed", True)),
+        "rollup_summary": _with(_BY_ID, f"""SELECT empresa, strftime(fecha_corte, '%Y-%m') AS periodo, {_TOTAL} AS total FROM fixed
+  WHERE year(fecha_corte) = 1998 AND {_EXPENSE} GROUP BY ALL ORDER BY 2, 1""", extra=_after("fixed")),
+        "rollup_kpi_country_totals": _with(_BY_ID, """SELECT CAST(sum(v) AS DOUBLE) AS total, CAST(sum(v) FILTER (pais = 'Chile') AS DOUBLE) AS total_chile,
+  CAST(sum(v) FILTER (pais = 'Colombia') AS DOUBLE) AS total_colombia, CAST(sum(v) FILTER (pais = 'Perú') AS DOUBLE) AS total_peru
+  FROM (SELECT pais, CAST(valor AS DECIMAL(28,6)) AS v FROM shown)""", extra=_after("fixed")),
+        "rollup_top_groups": _with(_BY_BOTH, f"""SELECT * FROM (SELECT grupo, {_TOTAL} AS valor FROM shown GROUP BY ALL
+  ORDER BY valor DESC, grupo LIMIT 10) ORDER BY valor, grupo DESC""", extra=_after("fixed", True)),
+        "rollup_monthly_trend": _with(_BY_ID, """SELECT strftime(m, '%Y-%m') AS mes, coalesce(CAST(t AS DOUBLE), 0) AS valor
+  FROM (SELECT unnest(generate_series(DATE '1994-01-01', DATE '2002-12-01', INTERVAL 1 MONTH)) AS m)
+  LEFT JOIN (SELECT strftime(fecha_corte, '%Y-%m') AS mes, sum(CAST(valor AS DECIMAL(28,6))) AS t FROM shown GROUP BY ALL) x
+    ON strftime(m, '%Y-%m') = x.mes""", extra=_after("fixed")),
+        "rollup_vendor_trend": _with(_BY_BOTH, f"""SELECT strftime(fecha_corte, '%Y-%m') AS mes, grupo, {_TOTAL} AS valor FROM shown
+  WHERE nombre_tercero = 'Supplier#000000006' GROUP BY ALL""", extra=_after("fixed", True)),
         "vendor_update_hits": _with((*_LEDGER, "upd_vendor_raw"), """SELECT count(*) AS updated_rows FROM ledger
   JOIN upd_vendor_raw ON nombre_tercero = nombre"""),
         "read_params": _with(_PARAMS, "SELECT * FROM params WHERE fecha_corte = DATE '2024-03-31' ORDER BY categoria, concepto"),

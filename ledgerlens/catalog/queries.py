@@ -18,9 +18,10 @@ from ledgerlens.operators import filters as P
 from ledgerlens.operators import finance as N
 from ledgerlens.operators import joins as J
 from ledgerlens.operators import ledger as L
+from ledgerlens.operators import rollup as R
 from ledgerlens.operators import trends as T
 from ledgerlens.operators import writeback as W
-from ledgerlens.plans import load
+from ledgerlens.plans import corrections, load
 from ledgerlens.plans.load import extract
 from ledgerlens.plans.projection import project_countries
 from ledgerlens.session import fresh_path
@@ -537,6 +538,60 @@ def vendor_update_hits(spark, sf):
     return W.vendor_update_hits(X.ledger(spark, sf, "nombre_tercero"), X.updates_by_vendor(spark, sf))
 
 
+def _corrected(spark: SparkSession, sf: str, by_vendor: bool = False) -> tuple[str, int]:
+    """A stored ledger with its rollup, then its correction by id and, if asked for, by vendor. Folder and last version."""
+    root = fresh_path(spark, "ledger")
+    write_version(X.ledger(spark, sf), root, cluster_by=["id_transaccion"])
+    corrections.read_rollup(spark, root)
+    last = corrections.correct_by_id(spark, root, X.updates_by_id(spark, sf))
+    if by_vendor:
+        last = corrections.correct_by_vendor(spark, root, X.updates_by_vendor(spark, sf))
+    return root, last.version
+
+
+@_register
+def corrected_by_id(spark, sf):
+    """The stored ledger after a correction that rewrote only the companies it hit."""
+    root, number = _corrected(spark, sf)
+    return read_version(spark, root, number).select(*_UPDATED)
+
+
+@_register
+def corrected_twice(spark, sf):
+    """The stored ledger after corrections by id and by vendor."""
+    root, number = _corrected(spark, sf, True)
+    return read_version(spark, root, number).select(*_UPDATED)
+
+
+@_register
+def rollup_summary(spark, sf):
+    """Totals of a year from the corrected rollup; no line is read."""
+    return A.summary(R.as_ledger(corrections.read_rollup(spark, _corrected(spark, sf)[0])), X.YEAR)
+
+
+@_register
+def rollup_kpi_country_totals(spark, sf):
+    return A.kpi_country_totals(R.as_view(corrections.read_rollup(spark, _corrected(spark, sf)[0])))
+
+
+@_register
+def rollup_top_groups(spark, sf):
+    """Groups after two corrections."""
+    return A.top_groups(R.as_view(corrections.read_rollup(spark, _corrected(spark, sf, True)[0])))
+
+
+@_register
+def rollup_monthly_trend(spark, sf):
+    view = R.as_view(corrections.read_rollup(spark, _corrected(spark, sf)[0]))
+    return T.monthly_trend(view, X.SINCE_GFO.replace(year=1994), X.END.replace(year=2002))
+
+
+@_register
+def rollup_vendor_trend(spark, sf):
+    """Months and groups of one vendor after two corrections, which changed its groups."""
+    return T.vendor_trend(R.as_view(corrections.read_rollup(spark, _corrected(spark, sf, True)[0])), "Supplier#000000006")
+
+
 @_register
 def read_params(spark, sf):
     return P.read_params(X.parameters(spark, sf), X.date(2024, 3, 31), C.ALL_COUNTRIES)

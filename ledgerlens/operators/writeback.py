@@ -29,14 +29,21 @@ def _any_given(fields: Sequence[str]) -> Column:
 _FIELDS = ("grupo", "subgrupo", "status_gestion")
 
 
+def reduced_by_id(updates: DataFrame) -> DataFrame:
+    """One row per id: the last non-empty value sent of each field."""
+    return updates.groupBy("id_transaccion").agg(*[_last_given(f).alias(f"_{f}") for f in _FIELDS])
+
+
+def set_by_id(ledger: DataFrame, reduced: DataFrame) -> DataFrame:
+    """The ledger with the values of :func:`reduced_by_id`."""
+    joined = lookup_join(ledger, reduced, "id_transaccion")
+    return joined.withColumns({f: F.coalesce(f"_{f}", f) for f in _FIELDS}).select(*ledger.columns)
+
+
 def update_by_id(ledger: DataFrame, updates: DataFrame) -> DataFrame:
     """Set the non-empty fields sent for each id; later updates of an id win field by field.
     The manual flag stays as it is."""
-    reduced = materialize(
-        updates.groupBy("id_transaccion").agg(*[_last_given(f).alias(f"_{f}") for f in _FIELDS]), "updates"
-    )
-    joined = lookup_join(ledger, reduced, "id_transaccion")
-    return joined.withColumns({f: F.coalesce(f"_{f}", f) for f in _FIELDS}).select(*ledger.columns)
+    return set_by_id(ledger, materialize(reduced_by_id(updates), "updates"))
 
 
 def updates_submitted(updates: DataFrame) -> DataFrame:
@@ -44,7 +51,7 @@ def updates_submitted(updates: DataFrame) -> DataFrame:
     return updates.agg(F.count(F.when(_any_given(_FIELDS), 1)).alias("updated_rows"))
 
 
-def _by_vendor(updates: DataFrame) -> DataFrame:
+def reduced_by_vendor(updates: DataFrame) -> DataFrame:
     return updates.groupBy("nombre_tercero").agg(
         *[_last_given(f).alias(f"_{f}") for f in _FIELDS],
         F.max(_any_given(("grupo", "subgrupo"))).alias("_manual"),
@@ -52,20 +59,25 @@ def _by_vendor(updates: DataFrame) -> DataFrame:
     )
 
 
-def update_by_vendor(ledger: DataFrame, updates: DataFrame) -> DataFrame:
-    """Set the non-empty fields sent for all rows of a vendor. A group or subgroup sent by hand
-    also protects the rows from the classifiers."""
-    joined = lookup_join(ledger, materialize(_by_vendor(updates), "updates"), "nombre_tercero")
+def set_by_vendor(ledger: DataFrame, reduced: DataFrame) -> DataFrame:
+    """The ledger with the values of :func:`reduced_by_vendor`."""
+    joined = lookup_join(ledger, reduced, "nombre_tercero")
     return joined.withColumns({
         **{f: F.coalesce(f"_{f}", f) for f in _FIELDS},
         "clasificacion_manual": F.when(F.col("_manual"), F.lit(True)).otherwise(F.col("clasificacion_manual")),
     }).select(*ledger.columns)
 
 
+def update_by_vendor(ledger: DataFrame, updates: DataFrame) -> DataFrame:
+    """Set the non-empty fields sent for all rows of a vendor. A group or subgroup sent by hand
+    also protects the rows from the classifiers."""
+    return set_by_vendor(ledger, materialize(reduced_by_vendor(updates), "updates"))
+
+
 def vendor_update_hits(ledger: DataFrame, updates: DataFrame) -> DataFrame:
     """Rows hit by updates by vendor, a row counting once per update that hits it."""
     rows = ledger.groupBy("nombre_tercero").agg(F.count(F.lit(1)).alias("n"))
-    return rows.join(_by_vendor(updates), "nombre_tercero").agg(
+    return rows.join(reduced_by_vendor(updates), "nombre_tercero").agg(
         F.coalesce(F.sum(F.col("n") * F.col("_sent")), F.lit(0)).alias("updated_rows")
     )
 

@@ -1,26 +1,44 @@
-"""Tables at rest as complete, immutable versions below one folder."""
+"""Tables at rest as complete, immutable versions below one folder.
+
+A version is written whole (:func:`write_version`), or as the partitions that differ from an earlier one (:func:`amend_version`): its folder then holds
+a list of partitions and the folder that each is found in, and untouched partitions stay where they are.
+"""
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
 _PREFIX = "version="
+_CHANGED = "changed="
+
+
+class StaleVersion(RuntimeError):
+    """Another writer has made a version since the one that was to be amended."""
+
+
+def _names(spark: SparkSession, folder: str) -> list[str]:
+    """What lies in a folder; nothing where there is none."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [status.getPath().getName() for status in fs.listStatus(path)] if fs.exists(path) else []
 
 
 def versions(spark: SparkSession, root: str) -> list[int]:
     """Completed versions, oldest first. A version without its success mark is not one."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    found = []
-    for status in fs.listStatus(path):
-        folder = status.getPath()
-        if folder.getName().startswith(_PREFIX) and fs.exists(folder.suffix("/_SUCCESS")):
-            found.append(int(folder.getName()[len(_PREFIX):]))
-    return sorted(found)
+    found = [n for n in _names(spark, root) if n.startswith(_PREFIX)]
+    return sorted(int(n[len(_PREFIX):]) for n in found if "_SUCCESS" in _names(spark, f"{root}/{n}"))
+
+
+def partition_folders(spark: SparkSession, root: str, number: int) -> dict[str, str]:
+    """The partitions of a version by the name of their folder, and the folder of the table that holds each."""
+    whole = f"{_PREFIX}{number:06d}"
+    if f"{_CHANGED}{number:06d}" in _names(spark, root):
+        return {r["partition"]: r["folder"] for r in spark.read.parquet(f"{root}/{whole}").collect()}
+    return {n: whole for n in _names(spark, f"{root}/{whole}") if "=" in n}
 
 
 def _claim(spark: SparkSession, root: str) -> int:
@@ -39,26 +57,48 @@ def write_version(
     partition_by: Sequence[str] = ("empresa",),
     sort_within: Sequence[str] = ("fecha_corte",),
     cluster_by: Sequence[str] = (),
+    number: int | None = None,
 ) -> int:
     """Write ``df`` as the next version and return its number.
 
     Readers keep the previous version until this one is complete. Rows stay in the tasks that made
     them, sorted by date within each file so that date ranges skip row groups. With ``cluster_by`` they are
     dealt by ranges of partition, date and these columns first, so that a file holds few dates and date ranges skip files;
-    give columns that tell rows of one date apart, as rows equal in all of them share a task.
+    give columns that tell rows of one date apart, as rows equal in all of them share a task. ``number`` is given for a table
+    that is numbered like another.
     """
     spark = df.sparkSession
-    number = _claim(spark, root)
+    number = _claim(spark, root) if number is None else number
     keys = (*partition_by, *sort_within, *cluster_by)
     if cluster_by:
         df = df.repartitionByRange(*keys)
-    (
-        df.sortWithinPartitions(*keys)
-        .write.mode("overwrite")
-        .option("compression", "zstd")
-        .partitionBy(*partition_by)
-        .parquet(f"{root}/{_PREFIX}{number:06d}")
-    )
+    _write(df, f"{root}/{_PREFIX}{number:06d}", partition_by, keys)
+    return number
+
+
+def _write(df: DataFrame, path: str, partition_by: Sequence[str], keys: Sequence[str]) -> None:
+    df.sortWithinPartitions(*keys).write.mode("overwrite").option("compression", "zstd").partitionBy(*partition_by).parquet(path)
+
+
+def amend_version(
+    df: DataFrame, root: str, base: int, partition_by: Sequence[str] = ("empresa",), sort_within: Sequence[str] = ("fecha_corte",), number: int | None = None,
+) -> int:
+    """The next version: the partitions that ``df`` has rows of are as in ``df``, the others as in version ``base``, whose files are not touched.
+
+    ``df`` must hold all rows of the partitions it has rows of. Its rows are written beside the versions first; the list of partitions makes the version
+    visible, and is refused where another version has come after ``base``. Readers of earlier versions are left alone.
+    """
+    spark = df.sparkSession
+    known = partition_folders(spark, root, base)
+    number = _claim(spark, root) if number is None else number
+    changed = f"{_CHANGED}{number:06d}"
+    _write(df, f"{root}/{changed}", partition_by, (*partition_by, *sort_within))
+    known |= {n: changed for n in _names(spark, f"{root}/{changed}") if "=" in n}
+    if versions(spark, root)[-1] != base:
+        raise StaleVersion(f"version {base} of {root} is no longer the latest")
+    # One row per partition.
+    listed = spark.createDataFrame(sorted(known.items()), "partition string, folder string").coalesce(1)
+    listed.write.parquet(f"{root}/{_PREFIX}{number:06d}")
     return number
 
 
@@ -69,7 +109,14 @@ def read_version(spark: SparkSession, root: str, number: int | None = None) -> D
         if not known:
             raise FileNotFoundError(f"no complete version below {root}")
         number = known[-1]
-    return spark.read.parquet(f"{root}/{_PREFIX}{number:06d}")
+    if f"{_CHANGED}{number:06d}" not in _names(spark, root):
+        return spark.read.parquet(f"{root}/{_PREFIX}{number:06d}")
+    paths = defaultdict(list)
+    for name, folder in partition_folders(spark, root, number).items():
+        paths[folder].append(f"{root}/{folder}/{name}")
+    # The partition column is read from the names below each folder.
+    parts = [spark.read.option("basePath", f"{root}/{folder}").parquet(*named) for folder, named in sorted(paths.items())]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def write_beside(df: DataFrame, root: str, number: int, name: str) -> None:
