@@ -395,7 +395,15 @@ FROM (SELECT ('0x' || substr(md5('42|' || texto), 1, 8))::BIGINT % 100 < 80 AS t
   CASE WHEN c.empresa <> 'GFO' THEN 'ok' WHEN count(l.empresa) > 0 THEN 'conservado' ELSE 'error' END AS estado, c.empresa = 'GFO' AS con_error
   FROM (SELECT unnest({_COMPANIES}) AS empresa) c LEFT JOIN ({_CONSOLIDATE}) l ON c.empresa = l.empresa GROUP BY c.empresa"""),
         "load_ids": _with(_STAR, f"""SELECT count(*) AS filas, count(*) AS ids, 1::BIGINT AS primero, count(*) AS ultimo
-  FROM ({_CONSOLIDATE}) WHERE empresa IN ('AFI', 'CONIX', 'LTCP')"""),
+  FROM ({_CONSOLIDATE})"""),
+        "audit_totals": _with(_STAR, f"""SELECT c.empresa, count(l.empresa) AS filas, coalesce({_TOTAL}, 0) AS total, 0::BIGINT AS fechas_rechazadas,
+  0::BIGINT AS importes_rechazados FROM (SELECT unnest({_COMPANIES}) AS empresa) c LEFT JOIN ({_CONSOLIDATE}) l ON c.empresa = l.empresa
+  GROUP BY c.empresa"""),
+        "rejections": """SELECT doc_id::VARCHAR AS cuenta_contable,
+  CASE WHEN doc_id % 13 <> 0 THEN CAST('2025-0' || (doc_id % 9 + 1) || '-15' AS DATE) END AS fecha_transaccion,
+  CASE WHEN doc_id % 4 = 0 THEN 0 ELSE n_chars / 4::DOUBLE END AS valor,
+  concat_ws(';', CASE WHEN doc_id % 13 = 0 THEN 'fecha_transaccion=sin fecha' END, CASE WHEN doc_id % 4 = 0 THEN 'valor=n/a' END) AS rechazo
+  FROM documents WHERE doc_id % 13 = 0 OR doc_id % 4 = 0""",
         "concept_template": _with(_PARAMS, """SELECT c.categoria, c.concepto, c.ord::INTEGER AS ord, count(p.concepto) AS guardados
   FROM concepts c LEFT JOIN params p ON p.categoria = c.categoria AND p.concepto = c.concepto GROUP BY ALL"""),
         "debt_book": f"""SELECT b.country, b.type, b.balance_usd::DOUBLE AS balance_usd, b.rate::DOUBLE AS rate, b.term_years::DOUBLE AS term_years,

@@ -117,9 +117,8 @@ def canonical_e(spark, sf):
     return K.canonical_e(J.join_detail_header(tables["detail"], tables["header"]), "INCOFIN LEASING")
 
 
-@_register
-def normalize_ledger(spark, sf):
-    """Cleanup of raw text: dates as text, some of them no dates, amounts as text, long descriptions."""
+def _raw_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw text: dates as text, some of them no dates, amounts as text, long descriptions."""
     documents = X.table(spark, sf, "documents")
     key = F.col("doc_id")
     raw = documents.select(
@@ -133,7 +132,20 @@ def normalize_ledger(spark, sf):
         F.col("text").alias("descripcion_gasto"),
         F.when(key % 4 == 0, F.lit("n/a")).otherwise((F.col("n_chars") / 4).cast("string")).alias("valor"),
     )
-    return K.normalize_ledger(raw)
+    return raw
+
+
+@_register
+def normalize_ledger(spark, sf):
+    """Cleanup of raw text."""
+    return K.normalize_ledger(_raw_lines(spark, sf))
+
+
+@_register
+def rejections(spark, sf):
+    """What the cleanup of raw text rejects, by line."""
+    traced = K.normalize_ledger(_raw_lines(spark, sf), traced=True)
+    return traced.filter(F.col(K.REJECTED).isNotNull()).select("cuenta_contable", "fecha_transaccion", "valor", K.REJECTED)
 
 
 @_register
@@ -167,16 +179,21 @@ def ingest_audit(spark, sf):
 
 @_register
 def load_ids(spark, sf):
-    """Ids that a load of three journals gives: from 1 on, without holes or repeats."""
-    root = fresh_path(spark, "ledger")
-    chosen = [s for s in X.stored_sources(spark, sf) if s.empresa in ("AFI", "CONIX", "LTCP")]
-    load.ledger_full_refresh(spark, chosen, root, X.exclusions(spark, sf))
+    """Ids after the whole job, carried rows included: from 1 on, without holes or repeats."""
+    root, _ = _refreshed(spark, sf)
     ids = F.col("id_transaccion")
     return read_version(spark, root).agg(
         F.count(ids).alias("filas"), F.count_distinct(ids).alias("ids"), F.min(ids).alias("primero"), F.max(ids).alias("ultimo")
     )
 
 
+@_register
+def audit_totals(spark, sf):
+    """What the passes that wrote the sources counted: totals, and lines with a rejected date or amount."""
+    _, audit = _refreshed(spark, sf)
+    return audit.select("empresa", "filas", "total", "fechas_rechazadas", "importes_rechazados")
+
+
 @_register
 def concept_template(spark, sf):
     """Every concept of the inline template with the number of parameters saved under it."""

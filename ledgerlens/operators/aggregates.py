@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ledgerlens import config as C
@@ -162,21 +162,32 @@ def classified_count(ledger: DataFrame) -> DataFrame:
     return ledger.filter(X.given("grupo")).agg(F.count(F.lit(1)).alias("clasificados"))
 
 
-def ingest_audit(ledger: DataFrame, registry: DataFrame, failures: DataFrame | None = None) -> DataFrame:
-    """One row per registered source: rows in the ledger, state, and the error of a source that failed.
+#: What a pass that writes a source counts on the way.
+OBSERVED = ("filas", "total", "fechas_rechazadas", "importes_rechazados")
 
-    A failed source with rows in the ledger is one whose earlier rows were carried over.
+
+def observed(rows: DataFrame, seen: Observation) -> DataFrame:
+    """The same rows; the job that writes them counts lines, their exact total, and lines with a rejected date or amount."""
+    told = lambda field: F.count(F.when(F.col("rechazo").contains(f"{field}="), 1))
+    rejected = "rechazo" in rows.columns
+    return rows.observe(
+        seen, F.count(F.lit(1)).alias("filas"), F.coalesce(X.money_sum("valor"), F.lit(0.0)).alias("total"),
+        (told("fecha_transaccion") if rejected else F.lit(0).cast("long")).alias("fechas_rechazadas"),
+        (told("valor") if rejected else F.lit(0).cast("long")).alias("importes_rechazados"),
+    )
+
+
+def ingest_audit(registry: DataFrame, counts: DataFrame, failures: DataFrame) -> DataFrame:
+    """One row per registered source: what the pass that wrote its rows counted, its state, and the error of a source that failed.
+
+    A failed source with counts is one whose earlier rows were carried over.
     """
-    counts = ledger.groupBy("empresa").agg(F.count(F.lit(1)).alias("filas"))
-    audit = registry.select("empresa").join(counts, "empresa", "left")
-    if failures is None:
-        audit = audit.withColumn("error", F.lit(None).cast("string"))
-    else:
-        audit = audit.join(failures.select("empresa", "error"), "empresa", "left")
+    audit = registry.select("empresa").join(counts, "empresa", "left").join(failures.select("empresa", "error"), "empresa", "left")
     return audit.select(
         "empresa",
         F.coalesce("filas", F.lit(0)).alias("filas"),
         F.when(F.col("error").isNull(), F.lit("ok")).when(F.col("filas") > 0, F.lit("conservado"))
         .otherwise(F.lit("error")).alias("estado"),
         "error",
+        *[F.coalesce(c, F.lit(0)).alias(c) for c in OBSERVED[1:]],
     )

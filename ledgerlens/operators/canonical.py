@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens import config as C
@@ -89,8 +89,25 @@ def canonical_e(lines: DataFrame, empresa: str) -> DataFrame:
     )
 
 
-def normalize_ledger(df: DataFrame) -> DataFrame:
-    """Common cleanup: typed dates, closing date, cut description, defaults, numeric amount."""
+#: Column that names what of a line was not taken over as it came.
+REJECTED = "rechazo"
+_DATES = ("fecha_transaccion", "fecha_corte")
+
+
+def rejections(df: DataFrame) -> Column:
+    """What of a raw line is not taken over, as ``field=value`` parts; null for a line taken whole.
+
+    Dates that are none become null. Amounts that are no number or not finite become 0, and amounts too large to be added up exactly stay
+    but add nothing; all three are told. A missing value is not rejected.
+    """
+    told = lambda name, bad: F.when(F.col(name).isNotNull() & bad, F.concat(F.lit(f"{name}="), F.substring(F.col(name).cast("string"), 1, 100)))
+    parts = [told(name, X.day(name).isNull()) for name in _DATES if name in df.columns]
+    parts.append(told("valor", X.exact(F.col("valor").try_cast("double")).isNull()))
+    return F.nullif(F.concat_ws(";", *parts), F.lit(""))
+
+
+def normalize_ledger(df: DataFrame, traced: bool = False) -> DataFrame:
+    """Common cleanup: typed dates, closing date, cut description, defaults, numeric amount. ``traced`` adds ``rechazo``, see :func:`rejections`."""
     posted = X.day("fecha_transaccion")
     closing = X.day("fecha_corte") if "fecha_corte" in df.columns else F.last_day(posted)
     return df.select(
@@ -102,6 +119,7 @@ def normalize_ledger(df: DataFrame) -> DataFrame:
         X.text("nombre_tercero").alias("nombre_tercero"),
         F.substring(X.text("descripcion_gasto"), 1, C.DESCRIPTION_LENGTH).alias("descripcion_gasto"),
         X.number_or_zero("valor").alias("valor"),
+        *([rejections(df).alias(REJECTED)] if traced else []),
     )
 
 

@@ -56,13 +56,13 @@ def assign_ids_stored(tables: Iterable[DataFrame]) -> DataFrame:
     """:func:`assign_ids` for tables that are parquet at rest, one below the other.
 
     A row is known by its table, the part number of its file and its place in the file, so nothing is sorted or written again
-    and the ids do not depend on how folders are called. The offsets are one row per file.
+    and the ids do not depend on how folders are called, unless files share a part number or have none. The offsets are one row per file.
     """
     name = F.col("_metadata.file_name")
     number = lambda pattern: F.regexp_extract(name, pattern, 1).try_cast("bigint")
     place = F.shiftleft(F.coalesce(number(r"part-(\d+)"), F.lit(0)), 20) + F.coalesce(number(r"[.-]c(\d+)"), F.lit(0))
     placed = reduce(DataFrame.unionByName, [
-        t.select("*", F.struct(F.lit(i).alias("table"), place.alias("part")).alias("_file"), F.col("_metadata.row_index").alias("_row"))
+        t.select("*", F.struct(F.lit(i).alias("table"), place.alias("part"), F.col("_metadata.file_path").alias("path")).alias("_file"), F.col("_metadata.row_index").alias("_row"))
         for i, t in enumerate(tables)
     ])
     firsts = _first_ids(placed.groupBy("_file").agg(F.count(F.lit(1)).alias("n")), "_file")

@@ -95,15 +95,11 @@ def upsert_params(params: DataFrame, batch: DataFrame) -> DataFrame:
 
 
 def apply_predictions(ledger: DataFrame, predictions: DataFrame) -> DataFrame:
-    """Ledger with predicted group and subgroup for the predicted ids."""
-    found = predictions.select(
-        "id_transaccion",
-        F.col("grupo").alias("_grupo"),
-        F.col("subgrupo").alias("_subgrupo"),
-    )
+    """Ledger with predicted group and subgroup for the predicted ids. Of several predictions for an id the largest pair counts, so no row is multiplied."""
+    found = predictions.groupBy("id_transaccion").agg(F.max(F.struct("grupo", "subgrupo")).alias("_found"))
     return (
         ledger.join(found, "id_transaccion", "left")
-        .withColumns({"grupo": F.coalesce("_grupo", "grupo"), "subgrupo": F.coalesce("_subgrupo", "subgrupo")})
+        .withColumns({c: F.coalesce(F.col("_found")[c], c) for c in ("grupo", "subgrupo")})
         .select(*ledger.columns)
     )
 

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import canonical as K
-from ledgerlens.operators.aggregates import ingest_audit
+from ledgerlens.operators.aggregates import OBSERVED, ingest_audit, observed
 from ledgerlens.operators.filters import (
     account_prefix_filter,
     period_filter,
@@ -39,6 +40,7 @@ Tables = Mapping[str, DataFrame]
 #: Sources read at a time.
 AT_ONCE = 4
 AUDIT = "audit"
+REJECTED_LINES = "rejected"
 
 
 def _star_lines(tables: Tables, spec: SourceSpec, dims: Dimensions | None) -> DataFrame:
@@ -57,8 +59,9 @@ def extract(
     spec: SourceSpec,
     exclusions: DataFrame | None = None,
     dims: Dimensions | None = None,
+    traced: bool = False,
 ) -> DataFrame:
-    """One journal in ledger shape: filtered, without excluded accounts, cleaned.
+    """One journal in ledger shape: filtered, without excluded accounts, cleaned; ``traced`` names what was rejected of a line.
 
     Star journals that share their dimensions may be given them checked.
     """
@@ -74,34 +77,42 @@ def extract(
         rows = period_filter(account_prefix_filter(rows, spec.prefixes), spec.since, "fecha_transaccion")
     if exclusions is not None:
         rows = account_exclusion(rows, exclusions)
-    return K.normalize_ledger(rows)
+    return K.normalize_ledger(rows, traced)
+
+
+def _written(rows: DataFrame, empresa: str, label: str) -> tuple[DataFrame, tuple]:
+    """The rows, written once, and what that pass counted of them."""
+    seen = Observation()
+    table = materialize(observed(rows, seen), label)
+    told = seen.get
+    return table, (empresa, *[told.get(name, 0) for name in OBSERVED])
 
 
 def load_sources(
     spark: SparkSession, specs: Iterable[SourceSpec], exclusions: DataFrame
-) -> tuple[list[DataFrame], list[tuple[str, str]]]:
-    """The readable journals in the order of ``specs``, each written once, and the failed ones with their errors.
+) -> tuple[list[DataFrame], list[tuple], list[tuple[str, str]]]:
+    """The readable journals in the order of ``specs``, each written once, what was counted of each, and the failed ones with their errors.
 
     A source that fails leaves the others alone, as its rows are read before the union is made. Several are read at a time.
     """
-    def load(spec: SourceSpec) -> DataFrame | tuple[str, str]:
+    def load(spec: SourceSpec) -> tuple:
         try:
-            return materialize(extract(read_source(spark, spec), spec, exclusions), "source")
+            return _written(extract(read_source(spark, spec), spec, exclusions, traced=True), spec.empresa, "source")
         except (PySparkException, Py4JJavaError, ValueError) as error:
-            return spec.empresa, str(error).splitlines()[0]
+            return None, (spec.empresa, str(error).splitlines()[0])
 
     with ThreadPoolExecutor(AT_ONCE) as pool:
         done = list(pool.map(load, specs))
-    return [d for d in done if isinstance(d, DataFrame)], [d for d in done if isinstance(d, tuple)]
+    return [t for t, _ in done if t is not None], [c for t, c in done if t is not None], [c for t, c in done if t is None]
 
 
-def _carried(spark: SparkSession, root: str, failed: Iterable[str]) -> list[DataFrame]:
+def _carried(spark: SparkSession, root: str, failed: Iterable[str]) -> list[tuple[DataFrame, tuple]]:
     """The failed companies' rows of the version in use, with what was set in them."""
     names = list(failed)
     if not names or not versions(spark, root):
         return []
-    kept = read_version(spark, root).filter(F.col("empresa").isin(names)).drop("id_transaccion")
-    return [materialize(kept, "carried")]
+    kept = read_version(spark, root).drop("id_transaccion")
+    return [_written(kept.filter(F.col("empresa") == name), name, "carried") for name in names]
 
 
 def ledger_full_refresh(
@@ -110,15 +121,26 @@ def ledger_full_refresh(
     """Load everything as the next ledger version and return the audit of the sources, which is stored beside it.
 
     The version in use stays until the new one is complete. A company whose source fails keeps the rows it has there, and
-    the audit says so. ``exclusions`` may be empty but must be given.
+    the audit says so. The audit is counted by the passes that write the sources; lines of which something was rejected are kept beside the version
+    (:func:`rejected_lines`). ``exclusions`` may be empty but must be given.
     """
     specs = list(specs)
-    loaded, failures = load_sources(spark, specs, exclusions)
+    loaded, counted, failures = load_sources(spark, specs, exclusions)
     if not loaded:
         raise ValueError("no source could be read")
-    tables = [evolve_schema(t) for t in (*loaded, *_carried(spark, root, [name for name, _ in failures]))]
+    carried = _carried(spark, root, [name for name, _ in failures])
+    tables = [evolve_schema(t.drop(K.REJECTED)) for t in loaded] + [t for t, _ in carried]
     number = write_version(assign_ids_stored(tables), root, cluster_by=["id_transaccion"])
+    rejected = reduce(DataFrame.unionByName, loaded).filter(F.col(K.REJECTED).isNotNull())
+    write_beside(rejected, root, number, REJECTED_LINES, files=None)
+    # A row per source.
+    kinds = "empresa string, filas long, total double, fechas_rechazadas long, importes_rechazados long"
+    counts = spark.createDataFrame([*counted, *[c for _, c in carried if c[1]]], kinds)
     failed = spark.createDataFrame(failures, "empresa string, error string")
-    audit = ingest_audit(read_version(spark, root, number), registry_table(spark, specs), failed)
-    write_beside(audit, root, number, AUDIT)
+    write_beside(ingest_audit(registry_table(spark, specs), counts, failed), root, number, AUDIT)
     return read_beside(spark, root, AUDIT, number)
+
+
+def rejected_lines(spark: SparkSession, root: str, number: int | None = None) -> DataFrame:
+    """The lines of a load of which a date or an amount was not taken over, as they were stored, with ``rechazo``."""
+    return read_beside(spark, root, REJECTED_LINES, number)

@@ -119,9 +119,10 @@ def read_version(spark: SparkSession, root: str, number: int | None = None) -> D
     return reduce(DataFrame.unionByName, parts)
 
 
-def write_beside(df: DataFrame, root: str, number: int, name: str) -> None:
-    """Keep a small report of a version next to it."""
-    df.coalesce(1).write.mode("overwrite").parquet(f"{root}/{name}/{_PREFIX}{number:06d}")
+def write_beside(df: DataFrame, root: str, number: int, name: str, files: int | None = 1) -> None:
+    """Keep a report of a version next to it: in one file if it is small, else with ``files=None`` as its tasks write it."""
+    out = df if files is None else df.coalesce(files)
+    out.write.mode("overwrite").parquet(f"{root}/{name}/{_PREFIX}{number:06d}")
 
 
 def read_beside(spark: SparkSession, root: str, name: str, number: int | None = None) -> DataFrame:

@@ -4,13 +4,19 @@ from datetime import date
 from pathlib import Path
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from ledgerlens import config as C
 from ledgerlens import schemas as S
 from ledgerlens.catalog import fixtures as X
+from ledgerlens.functions import columns as E
+from ledgerlens.operators import canonical as K
 from ledgerlens.operators import joins as J
-from ledgerlens.plans.load import extract, ledger_full_refresh
+from ledgerlens.operators.aggregates import observed
+from ledgerlens.operators.ledger import assign_ids_stored
+from ledgerlens.operators.writeback import apply_predictions
+from ledgerlens.plans.load import extract, ledger_full_refresh, rejected_lines
 from ledgerlens.sources.exports import export_csv_bom
 from ledgerlens.sources.readers import ledger_scan, read_source, read_table, read_training_set
 from ledgerlens.sources.registry import SOURCES, Location, exclusions_table, spec_of
@@ -208,3 +214,45 @@ def test_text_journals_get_their_types(spark, tmp_path, empresa, header):
     rows = extract(read_source(spark, spec), spec).collect()
     assert [(r.empresa, r.fecha_corte, r.cuenta_contable, r.descripcion_gasto, r.valor) for r in rows] == [
         (empresa, date(2025, 1, 31), "3101", "luz CC1", -4.5)]
+
+
+def test_the_audit_counts_what_was_rejected_and_keeps_the_lines(spark, tmp_path):
+    """Amounts that add nothing and dates that are none are counted by the pass that writes, and kept with their text."""
+    spec = spec_of("CONIX")
+    values = [("1e23", "2025-03-01"), ("inf", "2025-03-01"), ("5", "sin fecha"), ("7.5", "2025-03-02"), ("n/a", "sin fecha"), (None, "2025-03-02")]
+    lines = spark.createDataFrame([("CONIX", d, "5100", "1", "x", "y", v) for v, d in values],
+                                  "empresa string, fecha_transaccion string, cuenta_contable string, id_proveedor string, nombre_tercero string, descripcion_gasto string, valor string")
+    seen = Observation()
+    rows = K.normalize_ledger(lines, traced=True)
+    table = observed(rows, seen)
+    table.write.parquet(str(tmp_path / "rows"))
+    assert seen.get == {"filas": 6, "total": 12.5, "fechas_rechazadas": 2, "importes_rechazados": 3}
+    kept = {r.rechazo for r in spark.read.parquet(str(tmp_path / "rows")).filter("rechazo is not null").collect()}
+    assert kept == {"valor=1e23", "valor=inf", "fecha_transaccion=sin fecha", "fecha_transaccion=sin fecha;valor=n/a"}
+    assert spec.empresa == "CONIX" and K.normalize_ledger(lines).columns == list(S.CANONICAL)
+
+
+def test_the_load_keeps_rejected_lines_beside_the_version(spark, sf_dir, tmp_path):
+    specs = [located(spark, sf_dir, s, tmp_path) for s in X.specs() if s.empresa == "CONIX"]
+    root = str(tmp_path / "out")
+    audit = ledger_full_refresh(spark, specs, root, X.exclusions(spark, sf_dir).limit(0)).first()
+    ledger = read_version(spark, root)
+    assert audit.filas == ledger.count() and (audit.fechas_rechazadas, audit.importes_rechazados) == (0, 0)
+    assert audit.total == ledger.agg(E.money_sum("valor")).first()[0]
+    assert rejected_lines(spark, root).count() == 0 and "rechazo" in rejected_lines(spark, root).columns
+
+
+def test_files_without_a_part_number_do_not_share_ids(spark, tmp_path):
+    for k in range(2):
+        spark.createDataFrame([(f"{k}{i}",) for i in range(3)], "v string").coalesce(1).write.parquet(str(tmp_path / f"w{k}"))
+        file, = (tmp_path / f"w{k}").glob("part-*")
+        (tmp_path / "odd").mkdir(exist_ok=True)
+        (tmp_path / "odd" / f"{'ab'[k]}.parquet").write_bytes(file.read_bytes())
+    ids = [r[0] for r in assign_ids_stored([spark.read.parquet(str(tmp_path / "odd"))]).collect()]
+    assert sorted(ids) == [1, 2, 3, 4, 5, 6]
+
+
+def test_repeated_predictions_multiply_no_row(spark):
+    ledger = spark.createDataFrame([(1, None, None), (2, "A", "B")], "id_transaccion long, grupo string, subgrupo string")
+    found = spark.createDataFrame([(1, "X", "Y"), (1, "X", "Z"), (1, "W", "Z")], "id_transaccion long, grupo string, subgrupo string")
+    assert {tuple(r) for r in apply_predictions(ledger, found).collect()} == {(1, "X", "Z"), (2, "A", "B")}
