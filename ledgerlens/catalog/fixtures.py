@@ -488,9 +488,9 @@ def training_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
     documents = table(spark, sf_dir, "documents")
     return documents.join(labels, "doc_id", "left").select(
-        F.when(F.col("doc_id") % 50 != 0, F.col("lang")).alias(C.SHEET_GROUP),
-        F.when(F.col("doc_id") % 7 != 0, F.col("source")).alias(C.SHEET_SUBGROUP),
-        F.when(F.col("doc_id") % 11 != 0, F.col("text")).alias(C.SHEET_DESCRIPTION),
+        F.col("lang").alias(C.SHEET_GROUP),
+        F.col("source").alias(C.SHEET_SUBGROUP),
+        F.col("text").alias(C.SHEET_DESCRIPTION),
         F.concat(F.lit("5"), F.coalesce(F.col("quality").cast("string"), F.lit("9"))).alias(C.SHEET_ACCOUNT),
         F.when(F.col("doc_id") % 5 != 0, (F.col("doc_id") % 40).cast("string")).alias(C.SHEET_VENDOR),
     )

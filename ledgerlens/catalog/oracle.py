@@ -216,8 +216,7 @@ pnl AS (
     sum(financial_expenses) AS financial_expenses, sum(ebt) AS ebt, sum(taxes) AS taxes, sum(earnings) AS earnings
   FROM pnl GROUP BY ALL)""",
     "sheet": """sheet AS (
-  SELECT CASE WHEN d.doc_id % 50 <> 0 THEN lang END AS grupo, CASE WHEN d.doc_id % 7 <> 0 THEN source END AS subgrupo,
-    CASE WHEN d.doc_id % 11 <> 0 THEN text END AS glosa, '5' || coalesce(quality::VARCHAR, '9') AS cuenta,
+  SELECT lang AS grupo, source AS subgrupo, text AS glosa, '5' || coalesce(quality::VARCHAR, '9') AS cuenta,
     CASE WHEN d.doc_id % 5 <> 0 THEN (d.doc_id % 40)::VARCHAR END AS rut
   FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)""",
 }
@@ -372,8 +371,8 @@ def oracle_sql() -> dict[str, str]:
   FROM loaded WHERE year(fecha_transaccion) = 1998 AND {_EXPENSE} GROUP BY ALL ORDER BY 2, 1"""),
         "split_80_20": """WITH t AS (
   SELECT lower(concat_ws(' ', '5' || coalesce(quality::VARCHAR, '9'), CASE WHEN doc_id % 5 <> 0 THEN (doc_id % 40)::VARCHAR ELSE '' END,
-    CASE WHEN doc_id % 11 <> 0 THEN coalesce(text, '') ELSE '' END)) AS texto
-  FROM documents LEFT JOIN labels USING (doc_id) WHERE doc_id % 50 <> 0 AND lang IS NOT NULL)
+    coalesce(text, ''))) AS texto
+  FROM documents LEFT JOIN labels USING (doc_id) WHERE lang IS NOT NULL)
 SELECT count(*) AS rows, count(*) FILTER (train) AS train_rows, 0::BIGINT AS split_texts, round(avg(train::INT), 1) AS train_share
 FROM (SELECT ('0x' || substr(md5('42|' || texto), 1, 8))::BIGINT % 100 < 80 AS train FROM t)""",
         "read_source": _with(_STAR, _norm(_SA)),
