@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -75,27 +75,33 @@ def banded(values: np.ndarray, percent: int = PERCENT) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """``doc_id, n_shingles, set_a, set_b, bands``: size and 128-bit name of each document's set, and its bands (none of an empty set)."""
+    """``doc_id, text_key, n_shingles, set_a, set_b, bands``: a hash of the text, size and 128-bit name of each document's set, and its bands (none of an
+    empty set)."""
     multipliers = permutations()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch, text, PIECE):
-                hashes, ends = shingles(filled(piece, text), n)
+            for piece in pieces(batch, "text", PIECE):
+                hashes, ends = shingles(filled(piece, "text"), n)
                 sets = [np.unique(hashes[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
                 names = [np.array([f(s).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
                          for f in (lambda s: s, lambda s: mixed(s + np.uint64(1)))]
                 bands = banded(min_max(hashes, ends, multipliers), percent).view(np.int64)
                 sizes = np.array([len(s) for s in sets], np.int64)
                 listed = pa.array([b if n_ else b[:0] for b, n_ in zip(bands, sizes, strict=True)], pa.list_(pa.int64()))
-                columns = [piece.column(doc_id).cast(pa.int64()), pa.array(sizes), *map(pa.array, names), listed]
+                columns = [piece.column("doc_id"), piece.column("text_key"), pa.array(sizes), *map(pa.array, names), listed]
                 yield pa.record_batch(columns, schema.fieldNames())
 
     long = T.LongType()
     schema = T.StructType([
-        *[T.StructField(c, long) for c in ("doc_id", "n_shingles", "set_a", "set_b")], T.StructField("bands", T.ArrayType(long)),
+        *[T.StructField(c, long) for c in ("doc_id", "text_key", "n_shingles", "set_a", "set_b")], T.StructField("bands", T.ArrayType(long)),
     ])
-    return docs.select(doc_id, text).mapInArrow(run, schema)
+    return docs.select(docs[doc_id].cast("long").alias("doc_id"), _text_key(docs[text]).alias("text_key"), docs[text].alias("text")).mapInArrow(run, schema)
+
+
+def _text_key(text: Column) -> Column:
+    """Tells the texts of rows that share an id apart."""
+    return F.xxhash64(text, F.octet_length(text))
 
 
 def _classes(signed: DataFrame) -> DataFrame:
@@ -185,8 +191,8 @@ def _links(meetings: DataFrame, docs: DataFrame, doc_id: str, text: str, n: int,
     return rows.select("bucket", "i", "j", "doc_id", "text").mapInArrow(run, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """One row per document: ``doc_id, n_shingles, component_id, kept``. Signatures and links are written to the shared folder."""
+def _judged(docs: DataFrame, doc_id: str, text: str, n: int, percent: int) -> DataFrame:
+    """``doc_id, text_key, n_shingles, component_id, kept``, a row per document. Signatures and links are written to the shared folder."""
     signed = materialize(signatures(docs, doc_id, text, n, percent), "signatures")
     firsts = materialize(_classes(signed), "classes")
     found = components(_links(_meetings(signed, firsts), docs, doc_id, text, n, percent))
@@ -194,10 +200,16 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     named = named.select("n_shingles", "set_a", "set_b", F.coalesce("component", "first").alias("component"))
     out = signed.drop("bands").join(named, ["n_shingles", "set_a", "set_b"], "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return out.select("doc_id", "n_shingles", own.alias("component_id"), F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept"))
+    kept = F.coalesce(F.col("doc_id") == own, F.lit(True))
+    return out.select("doc_id", "text_key", "n_shingles", own.alias("component_id"), kept.alias("kept"))
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """One row per document: ``doc_id, n_shingles, component_id, kept``."""
+    return _judged(docs, doc_id, text, n, percent).drop("text_key")
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component, unchanged."""
-    gone = near_duplicates(docs, doc_id, text, percent=percent).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs[doc_id] == gone["_gone"], "left_anti")
+    """The rows of ``docs`` whose id is the smallest of their component, unchanged. Rows that share an id are judged each by its own text."""
+    gone = _judged(docs, doc_id, text, WORDS, percent).where(~F.col("kept")).select(F.col("doc_id").alias("_gone"), F.col("text_key").alias("_key")).distinct()
+    return docs.join(gone, (docs[doc_id] == gone["_gone"]) & (_text_key(docs[text]) == gone["_key"]), "left_anti")

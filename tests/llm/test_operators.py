@@ -384,6 +384,14 @@ def test_drawn_rows_meet_the_targets_where_cells_run_short(spark):
         assert all(share[k] == pytest.approx(v, rel=0.03) for k, v in wanted.items()), (margin, share)
 
 
+def test_a_unique_text_stays_though_its_id_has_a_copy_too(spark):
+    """(2, A) is a copy of (1, A); (2, B) stands nowhere else."""
+    a, b = " ".join(f"a{i}" for i in range(20)), " ".join(f"b{i}" for i in range(20))
+    rows = [(1, a), (2, a), (2, b), (2, None), (3, b + " c")]
+    kept = minhash.keep_one(_table(spark, rows), percent=80).collect()
+    assert {(r["doc_id"], r["text"]) for r in kept} == {(1, a), (2, b), (2, None)}
+
+
 def test_rows_of_one_id_are_drawn_by_their_own_cells(spark):
     rows = [(1, "a b", "en", "s", 3), (1, "", "en", "s", 0), (1, None, "en", "s", 0)]
     out = mixing.sample(spark.createDataFrame(rows, SCHEMA), fraction=1000.0).collect()
