@@ -5,13 +5,15 @@ from datetime import date
 import pytest
 
 import __spark_entry__ as driver
+from ledgerlens.catalog import oracle
 from ledgerlens.operators import aggregates as A
 from ledgerlens.operators import filters as P
 from ledgerlens.operators import trends as T
 from ledgerlens.sources.tables import read_version, write_version
 from ledgerlens.catalog import fixtures as X
 
-SQL = driver.oracle_sql()
+#: The corpus operators' plans are tested beside them.
+SQL = oracle.oracle_sql()
 
 
 def plan(df) -> str:
