@@ -1,10 +1,10 @@
 """Document fingerprints: a homomorphic hash of the multiset of a text's paragraphs.
 
 A paragraph is a run of up to eight words that ends with its sentence or line. Each is hashed to a wide vector: 4 lanes of 64 uniform
-bits and 256 lanes of +1 or -1. A text's fingerprint is the sum over its paragraphs, modulo 2^64 in the first lanes and 2^16 in the others. So the order of paragraphs does not
+bits and 256 lanes of +1 or -1. A text's fingerprint is the sum over its paragraphs, modulo 2^64 in the first lanes and 2^32 in the others. So the order of paragraphs does not
 matter, inserting or deleting one is an addition or subtraction, and equal multisets are equal. The signed lanes also
 tell how alike two texts are: their inner product estimates the number of common paragraphs (each twice as
-often where both have it twice), with a standard error of about one part in sixteen.
+often where both have it twice), with a standard error of about one part in sixteen. No text is long enough to wrap a signed lane.
 
 Defined results: a null text is empty; the fingerprint of an empty text is all zero, alike (1) to another empty one and 0 to others;
 other columns are ignored; repeated rows get equal fingerprints; an empty table gives an empty result.
@@ -38,7 +38,7 @@ def paragraphs(text: str) -> list[str]:
 
 
 def vectors(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Exact lanes (uint64) and signed lanes (int16) of each text."""
+    """Exact lanes (uint64) and signed lanes (int32) of each text."""
     known: dict[str, int] = {}
     codes, counts = [], []
     for text in texts:
@@ -50,22 +50,22 @@ def vectors(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     table = np.frombuffer(raw, np.uint8).reshape(-1, wide)
     exact = table[:, : EXACT * 8].copy().view("<u8")
     signed = np.unpackbits(table[:, EXACT * 8 :], axis=1).astype(np.int8) * np.int8(2) - np.int8(1)
-    sums = np.zeros((len(texts), EXACT), np.uint64), np.zeros((len(texts), SIGNED), np.int16)
+    sums = np.zeros((len(texts), EXACT), np.uint64), np.zeros((len(texts), SIGNED), np.int32)
     full = np.flatnonzero(counts)
     if len(full):
         at, starts = np.array(codes), (np.cumsum(counts) - counts)[full]
         sums[0][full] = np.add.reduceat(exact[at], starts, axis=0)
-        sums[1][full] = np.add.reduceat(signed[at], starts, axis=0, dtype=np.int16)
+        sums[1][full] = np.add.reduceat(signed[at], starts, axis=0, dtype=np.int32)
     return sums
 
 
 def told(exact: np.ndarray, signed: np.ndarray) -> str:
-    return base64.b64encode(exact.astype("<u8").tobytes() + signed.astype("<i2").tobytes()).decode()
+    return base64.b64encode(exact.astype("<u8").tobytes() + signed.astype("<i4").tobytes()).decode()
 
 
 def read(fingerprint: str) -> tuple[np.ndarray, np.ndarray]:
     raw = base64.b64decode(fingerprint)
-    return np.frombuffer(raw[: EXACT * 8], "<u8"), np.frombuffer(raw[EXACT * 8 :], "<i2")
+    return np.frombuffer(raw[: EXACT * 8], "<u8"), np.frombuffer(raw[EXACT * 8 :], "<i4")
 
 
 def changed(fingerprint: str, added: str = "", removed: str = "") -> str:

@@ -170,6 +170,14 @@ def test_fingerprints_tell_edited_texts_from_others(spark, sf_dir):
     assert out.near_edited.mean() > 0.6 and out.near_next.mean() < 0.15
 
 
+def test_a_paragraph_repeated_very_often_wraps_no_lane():
+    line = "the same words stand here\n"
+    (whole, most, other) = fingerprints.vectors([line * 40_000, line * 30_000 + "something else is written here\n" * 10_000, "unlike words of another text\n"])[1]
+    assert abs(whole).max() == abs(whole).min() == 40_000
+    assert fingerprints.likeness(whole[None, :], most[None, :])[0] > 0.9
+    assert fingerprints.likeness(whole[None, :], other[None, :])[0] < 0.1
+
+
 def test_fingerprints_are_homomorphic():
     a, b = "One two three. Four five six.\nSeven.", "Seven. One two three.\nFour five six."
     told = lambda t: fingerprints.told(*(x[0] for x in fingerprints.vectors([t])))
