@@ -735,9 +735,8 @@ def train_subgroup(spark, sf):
 
 def _trained_target(spark: SparkSession, sf: str, target: str) -> DataFrame:
     rows, held = M.split_80_20(_labelled(X.training_documents(spark, sf)))
-    rows = M.dealt(rows)
     features = M.fit_tfidf(rows)
-    forest = M.fit_target(rows, features, target)
+    forest = M.fit_target(M.weighted(rows.select("texto", target)), features, target)
     return (
         forest.transform(features.transform(held))
         .groupBy(target, f"{target}_predicho").agg(F.count(F.lit(1)).alias("filas"))

@@ -118,12 +118,13 @@ SCENARIO_DEFAULTS = {
 
 # Text classifier.
 VOCABULARY = 6000
-# Labelled rows a forest learns from, at most.
+# Hash values by which terms are counted first.
+TERM_BUCKETS = 1 << 20
+# Different labelled rows a forest learns from, at most.
 MAX_LABELLED = 2_000_000
-# Partitions a forest is fitted on.
+# Partitions a forest is fitted on, at least, and rows of each.
 FIT_PARTITIONS = 32
-# Equal rows that are dealt to a partition together.
-FIT_CHUNK = 256
+FIT_ROWS = 16_384
 TREES = 150
 MAX_DEPTH = 30
 SEED = 42
