@@ -13,6 +13,15 @@ _COMPANIES = """['CONIX','GFO','LTCP','LTCP2','NCPF','NC LEASING PERU','AFI','LT
 
 _ACCOUNT = "(['31','32','42','5','33','11'])[1 + {k} % 6] || lpad({k}::VARCHAR, 12, '0')"
 
+# English stop words that are tokens, i.e. of two letters or more and without an apostrophe.
+_STOP = str("""
+me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her hers herself it its itself they
+them their theirs themselves what which who whom this that these those am is are was were be been being have has had having do
+does did doing an the and but if or because as until while of at by for with about against between into through during before
+after above below to from up down in out on off over under again further then once here there when where why how all any both each
+few more most other some such no nor not only own same so than too very can will just don should now cannot could ought would
+""".split())
+
 _CTE = {
     "lines": f"""lines AS (
   SELECT l.*, o_orderdate::DATE AS posted, o_orderstatus, o_orderpriority,
@@ -375,6 +384,17 @@ def oracle_sql() -> dict[str, str]:
   FROM documents LEFT JOIN labels USING (doc_id) WHERE lang IS NOT NULL)
 SELECT count(*) AS rows, count(*) FILTER (train) AS train_rows, 0::BIGINT AS split_texts, round(avg(train::INT), 1) AS train_share
 FROM (SELECT ('0x' || substr(md5('42|' || texto), 1, 8))::BIGINT % 100 < 80 AS train FROM t)""",
+        "tfidf": f"""WITH d AS (
+  SELECT row_number() OVER () AS i, lang AS grupo, '5' || coalesce(quality::VARCHAR, '9') AS cuenta_contable,
+    lower(concat_ws(' ', '5' || coalesce(quality::VARCHAR, '9'), CASE WHEN doc_id % 5 <> 0 THEN (doc_id % 40)::VARCHAR ELSE '' END, coalesce(text, ''))) AS texto
+  FROM documents LEFT JOIN labels USING (doc_id) WHERE lang IS NOT NULL),
+w AS (SELECT i, list_filter(regexp_extract_all(texto, '[\\p{{L}}\\p{{M}}\\p{{N}}\\p{{Pc}}]{{2,}}'), lambda x: NOT list_contains({_STOP}, x)) AS w FROM d),
+t AS (SELECT i, unnest(list_concat(w, list_transform(list_zip(w[:-2], w[2:]), lambda x: x[1] || ' ' || x[2]))) AS term FROM w),
+c AS (SELECT i, term, count(*) AS n FROM t GROUP BY ALL),
+v AS (SELECT term, count(*) AS df FROM c GROUP BY term ORDER BY sum(n) DESC, term LIMIT {C.VOCABULARY}),
+x AS (SELECT i, n * (ln((1 + (SELECT count(*) FROM d)) / (1 + df)::DOUBLE) + 1) AS x FROM c JOIN v USING (term)),
+s AS (SELECT i, count(*)::INT AS terms, max(x) / sqrt(sum(x * x)) AS top FROM x GROUP BY i)
+SELECT grupo, cuenta_contable, coalesce(terms, 0)::INT AS terms, round(coalesce(top, 0), 6) AS top_weight FROM d LEFT JOIN s USING (i)""",
         "read_source": _with(_STAR, _norm(_SA)),
         "canonical_a": _with(("lines", "client"), _all_lines(_CANON_A, "CONIX")),
         "canonical_b": _with(("lines", "client"), _all_lines(_CANON_B, "GFO")),
