@@ -566,6 +566,9 @@ SELECT grupo, cuenta_contable, coalesce(terms, 0)::INT AS terms, round(coalesce(
         "unify_vendor": _with((*_LEDGER, "modes", "unified"), f"""SELECT * FROM (SELECT * REPLACE (
   CASE WHEN hit THEN grupo_comun ELSE grupo END AS grupo, CASE WHEN hit THEN subgrupo_comun ELSE subgrupo END AS subgrupo) FROM unified)
   """.replace("SELECT * FROM (SELECT *", f"SELECT {_UPDATED} FROM (SELECT *")),
+        "unify_stored": _with((*_LEDGER, "modes", "unified"), f"""SELECT {_UPDATED} FROM (SELECT * REPLACE (
+  CASE WHEN hit THEN grupo_comun ELSE grupo END AS grupo, CASE WHEN hit THEN subgrupo_comun ELSE subgrupo END AS subgrupo) FROM unified)"""),
+        "counted_vendor_modes": _with(_BY_BOTH, "SELECT * FROM modes", extra=_after("fixed", True) + ",\n" + _CTE["modes"].replace("FROM ledger", "FROM fixed")),
         "unified_count": _with((*_LEDGER, "modes", "unified"), "SELECT count(*) AS unificados FROM unified WHERE hit"),
         "apply_predictions": _with(_LEDGER, f"""SELECT id_transaccion, cuenta_contable,
   CASE WHEN {_PENDING} THEN 'G' || left(cuenta_contable, 2) ELSE grupo END AS grupo,

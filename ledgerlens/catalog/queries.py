@@ -20,6 +20,7 @@ from ledgerlens.operators import joins as J
 from ledgerlens.operators import ledger as L
 from ledgerlens.operators import rollup as R
 from ledgerlens.operators import trends as T
+from ledgerlens.operators import vendor_counts as V
 from ledgerlens.operators import writeback as W
 from ledgerlens.plans import corrections, load
 from ledgerlens.plans.load import extract
@@ -560,6 +561,7 @@ def _corrected(spark: SparkSession, sf: str, by_vendor: bool = False) -> tuple[s
     root = fresh_path(spark, "ledger")
     write_version(X.ledger(spark, sf), root, cluster_by=["id_transaccion"])
     corrections.read_rollup(spark, root)
+    corrections.read_vendor_counts(spark, root)
     last = corrections.correct_by_id(spark, root, X.updates_by_id(spark, sf))
     if by_vendor:
         last = corrections.correct_by_vendor(spark, root, X.updates_by_vendor(spark, sf))
@@ -580,6 +582,21 @@ def corrected_twice(spark, sf):
     return read_version(spark, root, number).select(*_UPDATED)
 
 
+@_register
+def counted_vendor_modes(spark, sf):
+    """Usual group and subgroup of each vendor from the counts that two corrections kept up to date; no line is read."""
+    return V.modes(corrections.read_vendor_counts(spark, _corrected(spark, sf, True)[0]))
+
+
+@_register
+def unify_stored(spark, sf):
+    """The stored ledger after its vendors were unified by their counts."""
+    root = fresh_path(spark, "ledger")
+    write_version(X.ledger(spark, sf), root, cluster_by=["id_transaccion"])
+    corrections.unify_stored(spark, root)
+    return read_version(spark, root).select(*_UPDATED)
+
+
 @_register
 def rollup_summary(spark, sf):
     """Totals of a year from the corrected rollup; no line is read."""

@@ -48,7 +48,7 @@ def _most_frequent(kind: str) -> Column:
     return F.min(ranked)["value"]
 
 
-def _value_counts(df: DataFrame, key: str, kinds: Sequence[str], total: Column | None = None) -> DataFrame:
+def _value_counts(df: DataFrame, key: str, kinds: Sequence[str], total: Column | None = None, lines: Column | None = None) -> DataFrame:
     """(key, kind, value) -> n, total.
 
     Rows are first counted by the key and all kinds together, before the first shuffle, so a key
@@ -56,7 +56,7 @@ def _value_counts(df: DataFrame, key: str, kinds: Sequence[str], total: Column |
     kind only.
     """
     combined = df.groupBy(key, *kinds).agg(
-        F.count(F.lit(1)).alias("n"),
+        (F.count(F.lit(1)) if lines is None else lines).alias("n"),
         F.sum(total if total is not None else F.lit(None).cast(X.MONEY)).alias("t"),
     )
     entries = [
@@ -74,13 +74,13 @@ def _value_counts(df: DataFrame, key: str, kinds: Sequence[str], total: Column |
     )
 
 
-def vendor_modes(ledger: DataFrame) -> DataFrame:
-    """Most frequent group and, independently, subgroup of every named vendor."""
+def vendor_modes(ledger: DataFrame, lines: Column | None = None) -> DataFrame:
+    """Most frequent group and, independently, subgroup of every named vendor. ``lines`` adds up the lines that rows stand for, one each by default."""
     named = ledger.filter(
         F.col("grupo").isNotNull() & ~F.col("nombre_tercero").isin("", C.NO_VENDOR_ID)
     )
     return (
-        _value_counts(named, "nombre_tercero", ("grupo", "subgrupo"))
+        _value_counts(named, "nombre_tercero", ("grupo", "subgrupo"), lines=lines)
         .groupBy("nombre_tercero")
         .agg(
             _most_frequent("grupo").alias("grupo_comun"),

@@ -106,7 +106,7 @@ def apply_predictions(ledger: DataFrame, predictions: DataFrame) -> DataFrame:
 
 def unify_vendor_flagged(ledger: DataFrame, modes: DataFrame | None = None) -> DataFrame:
     """:func:`unify_vendor` with a column ``unificado`` that marks the rows it changed."""
-    modes = materialize(vendor_modes(ledger) if modes is None else modes, "modes")
+    modes = materialize(vendor_modes(ledger), "modes") if modes is None else modes
     joined = lookup_join(ledger, modes, "nombre_tercero")
     # Plain comparisons: a row whose group and subgroup are both null is left alone.
     differs = (F.col("grupo") != F.col("grupo_comun")) | (F.col("subgrupo") != F.col("subgrupo_comun"))

@@ -1,7 +1,8 @@
 """Corrections of the stored ledger that cost what they touch.
 
 The companies that a correction hits are found by a semi-join over one column, those alone are rewritten, and the next version points to the
-untouched folders of the one before. The rollup beside the ledger is corrected by the changed lines, not added up again.
+untouched folders of the one before. The rollup and the vendor counts beside the ledger are corrected by the changed lines, not added up again.
+Vendors are unified by their counts: these tell the usual classes and the companies with a line to change before a line is read.
 """
 
 from __future__ import annotations
@@ -12,13 +13,18 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlens.operators import classifier as M
 from ledgerlens.operators import rollup as R
+from ledgerlens.operators import vendor_counts as V
 from ledgerlens.operators import writeback as W
+from ledgerlens.operators.filters import is_pending
 from ledgerlens.session import materialize
 from ledgerlens.sources.tables import amend_version, read_version, versions, write_version
 
 ROLLUP = "rollup"
+VENDOR_COUNTS = "vendor_counts"
 _MONTH = ("mes",)
+_VENDOR = ("nombre_tercero",)
 
 
 @dataclass(frozen=True)
@@ -43,6 +49,14 @@ def read_rollup(spark: SparkSession, root: str, number: int | None = None) -> Da
     return read_version(spark, f"{root}/{ROLLUP}", number)
 
 
+def read_vendor_counts(spark: SparkSession, root: str, number: int | None = None) -> DataFrame:
+    """The vendor counts of a ledger version, the latest by default; made and stored where the version has none yet."""
+    number = versions(spark, root)[-1] if number is None else number
+    if number not in versions(spark, f"{root}/{VENDOR_COUNTS}"):
+        write_version(V.counts(read_version(spark, root, number)), f"{root}/{VENDOR_COUNTS}", sort_within=_VENDOR, number=number)
+    return read_version(spark, f"{root}/{VENDOR_COUNTS}", number)
+
+
 def _correct(spark: SparkSession, root: str, key: str, reduced: DataFrame, change: Callable[[DataFrame], DataFrame]) -> Corrected:
     base = versions(spark, root)[-1]
     ledger = read_version(spark, root, base)
@@ -58,6 +72,11 @@ def _correct(spark: SparkSession, root: str, key: str, reduced: DataFrame, chang
         before = read_version(spark, f"{root}/{ROLLUP}", base).filter(_of(companies))
         after = R.corrected(before, R.rollup(hit), R.rollup(change(hit)))
         amend_version(after, f"{root}/{ROLLUP}", base, sort_within=_MONTH, number=number)
+    if base in versions(spark, f"{root}/{VENDOR_COUNTS}"):
+        hit = rows.join(keys, key, "left_semi")
+        before = read_version(spark, f"{root}/{VENDOR_COUNTS}", base).filter(_of(companies))
+        after = V.corrected(before, V.counts(hit), V.counts(change(hit)))
+        amend_version(after, f"{root}/{VENDOR_COUNTS}", base, sort_within=_VENDOR, number=number)
     return Corrected(number, tuple(companies))
 
 
@@ -71,3 +90,39 @@ def correct_by_vendor(spark: SparkSession, root: str, updates: DataFrame) -> Cor
     """:func:`~ledgerlens.operators.writeback.update_by_vendor` on the stored ledger, as its next version."""
     reduced = materialize(W.reduced_by_vendor(updates), "updates")
     return _correct(spark, root, "nombre_tercero", reduced, lambda rows: W.set_by_vendor(rows, reduced))
+
+
+def unify_stored(spark: SparkSession, root: str) -> Corrected:
+    """:func:`~ledgerlens.operators.writeback.unify_vendor` on the stored ledger, as its next version."""
+    return _unify(spark, root, None)
+
+
+def classify_stored(spark: SparkSession, root: str, model: M.ExpenseClassifier) -> Corrected:
+    """:func:`~ledgerlens.operators.classifier.classify_pending` on the stored ledger, as its next version."""
+    return _unify(spark, root, M.filled(read_version(spark, root), model))
+
+
+def _unify(spark: SparkSession, root: str, scored: DataFrame | None) -> Corrected:
+    """Pending rows replaced by ``scored``, if given, then vendors unified. Companies without a scored row or a row to unify are not read."""
+    base = versions(spark, root)[-1]
+    ledger, known = read_version(spark, root, base), read_vendor_counts(spark, root, base)
+    if scored is not None:
+        known = V.corrected(known, V.counts(ledger.filter(is_pending())), V.counts(scored))
+    known = materialize(known, "vendor-counts")
+    modes = materialize(V.modes(known), "modes")
+    unified = W.unify_vendor_flagged(known, modes)
+    hit = unified.filter("unificado").select("empresa")
+    # One row per company reaches the driver.
+    companies = [r[0] for r in (hit if scored is None else hit.union(scored.select("empresa"))).distinct().collect()]
+    if not companies:
+        return Corrected(base, ())
+    rows = ledger.filter(_of(companies))
+    if scored is not None:
+        rows = rows.filter(~is_pending()).unionByName(scored)
+    number = amend_version(W.unify_vendor(rows, modes), root, base)
+    after = V.added_up(unified.filter(_of(companies)))
+    amend_version(after, f"{root}/{VENDOR_COUNTS}", base, sort_within=_VENDOR, number=number)
+    if base in versions(spark, f"{root}/{ROLLUP}"):
+        lines = read_version(spark, root, number).filter(_of(companies))
+        amend_version(R.rollup(lines), f"{root}/{ROLLUP}", base, sort_within=_MONTH, number=number)
+    return Corrected(number, tuple(companies))

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from ledgerlens import schemas as S
 from ledgerlens.operators import aggregates as A
+from ledgerlens.operators import classifier as M
 from ledgerlens.operators import rollup as R
 from ledgerlens.operators import trends as T
+from ledgerlens.operators import vendor_counts as V
 from ledgerlens.operators import writeback as W
 from ledgerlens.operators.canonical import display_defaults
 from ledgerlens.plans import corrections
@@ -138,3 +140,63 @@ def test_a_version_without_a_rollup_gets_one(spark, tmp_path):
     assert versions(spark, f"{path}/rollup") == []
     assert _sums(corrections.read_rollup(spark, path)) == _sums(R.rollup(read_version(spark, path)))
     assert versions(spark, f"{path}/rollup") == [2]
+
+
+def _counted(df):
+    return {tuple(r) for r in df.select(*V.KEY, "filas").collect()}
+
+
+def _modes(df):
+    return sorted(map(tuple, df.select("nombre_tercero", "grupo_comun", "subgrupo_comun").collect()), key=str)
+
+
+def test_vendor_counts_follow_corrections(spark, root):
+    corrections.read_vendor_counts(spark, root)
+    corrections.correct_by_id(spark, root, _by_id(spark, *[(i, i, f"N{i % 3}", f"S{i % 2}", None) for i in range(0, 60, 7)]))
+    corrections.correct_by_vendor(spark, root, spark.createDataFrame([(1, "ACME", None, "MANO", None)], S.UPDATES_BY_VENDOR))
+    assert versions(spark, f"{root}/vendor_counts") == [1, 2, 3]
+    ledger, known = read_version(spark, root), corrections.read_vendor_counts(spark, root)
+    assert _counted(known) == _counted(V.counts(ledger)) and _modes(V.modes(known)) == _modes(A.vendor_modes(ledger))
+    plan = V.modes(known)._jdf.queryExecution().executedPlan().toString()
+    assert "id_transaccion" not in plan and "ledger/version=" not in plan
+
+
+@pytest.fixture
+def mixed(spark, tmp_path):
+    """Vendors of one class in AFI, and of several, set by hand or not, in GFO and a company without a name."""
+    def row(i, company, vendor, group, sub, manual):
+        return (i, company, DAY, DAY, "511", "1", vendor, "x", 1.0 * i, group, sub, None, manual)
+
+    path = str(tmp_path / "mixed")
+    write_version(spark.createDataFrame([
+        row(1, "AFI", "Uno", "A", "a", False), row(2, "AFI", "Uno", "A", "a", True), row(3, "GFO", "Uno", "B", "a", None), row(4, "GFO", "Uno", "B", "b", True),
+        row(5, "GFO", "Dos", "C", None, False), row(6, None, "Dos", None, "z", False), row(7, None, "Dos", "C", "c", False), row(8, "NC SA", None, "A", "a", False),
+        row(9, "NC SA", "", "A", "a", False), row(10, "NC SA", "", "B", "a", False), row(11, "LTC", "Tres", "", "", False), row(12, "AFI", "Tres", None, None, None),
+    ], S.LEDGER), path)
+    corrections.read_rollup(spark, path)
+    return path
+
+
+def test_unifying_rewrites_only_companies_with_a_row_to_change(spark, mixed, tmp_path):
+    want = _told(W.unify_vendor(read_version(spark, mixed, 1)))
+    done = corrections.unify_stored(spark, mixed)
+    assert done.version == 2 and set(done.companies) == {"GFO", None}
+    assert _told(read_version(spark, mixed)) == want
+    folders = partition_folders(spark, mixed, 2)
+    assert {n for n, f in folders.items() if f != "version=000001"} == {"empresa=GFO", "empresa=__HIVE_DEFAULT_PARTITION__"}
+    ledger = read_version(spark, mixed)
+    assert _counted(corrections.read_vendor_counts(spark, mixed)) == _counted(V.counts(ledger))
+    assert _sums(corrections.read_rollup(spark, mixed)) == _sums(R.rollup(ledger))
+    again = corrections.unify_stored(spark, mixed)
+    assert again.version == 2 or _told(read_version(spark, mixed)) == _told(W.unify_vendor(ledger))
+
+
+def test_classified_ledger_equals_the_job_over_all_lines(spark, mixed, monkeypatch):
+    guess = lambda rows, model: rows.withColumns({"grupo_predicho": F.lit("P"), "subgrupo_predicho": F.concat(F.lit("p"), F.col("id_transaccion") % 2), "confianza": F.lit(1.0)})
+    monkeypatch.setattr(M, "predict", guess)
+    want = _told(M.classify_pending(read_version(spark, mixed, 1), None))
+    done = corrections.classify_stored(spark, mixed, None)
+    ledger = read_version(spark, mixed)
+    assert done.version == 2 and _told(ledger) == want and "NC SA" not in done.companies
+    assert _counted(corrections.read_vendor_counts(spark, mixed)) == _counted(V.counts(ledger))
+    assert _sums(corrections.read_rollup(spark, mixed)) == _sums(R.rollup(ledger))
