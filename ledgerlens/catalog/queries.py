@@ -796,7 +796,7 @@ def debt_schedule(spark, sf):
 
 @_register
 def debt_interest_total(spark, sf):
-    return _rounded(N.debt_interest_total(N.debt_schedule(X.scenario_loans(spark, sf))))
+    return _rounded(N.debt_interest_total(X.scenario_loans(spark, sf)))
 
 
 @_register

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,41 +40,61 @@ def _level_payment(principal: Column, rate: Column, n: Column) -> Column:
     return F.when(rate == 0, principal / n).otherwise(principal * rate / -F.expm1(-F.log1p(rate) * n))
 
 
-def debt_schedule(loans: DataFrame, months: int = C.DEBT_MONTHS) -> DataFrame:
-    """Monthly interest of each loan; loans have amount, rate (yearly %) and term_years.
-
-    One row per loan and month 0, 1, …; all zero without a positive amount and term.
-    """
+def _terms(loans: DataFrame) -> DataFrame:
+    """Loans with what does not change over the months, computed once per loan."""
     term = F.coalesce("term_years", F.lit(C.DEFAULT_TERM_YEARS))
     terms = loans.withColumns({
         "_rate": _monthly(F.col("rate")),
         "_n": F.when((F.col("amount") > 0) & (term > 0), F.greatest(F.lit(1), _months(term))).otherwise(F.lit(0)),
     })
-    # What does not change over the months is computed once per loan.
     growing = (F.col("_n") > 0) & (F.col("_rate") != 0)
-    terms = terms.withColumn("_log", F.log1p("_rate")).withColumn(
+    return terms.withColumn("_log", F.log1p("_rate")).withColumn(
         "_scale", F.when(growing, F.col("amount") / F.expm1(F.col("_log") * F.col("_n")))
     )
-    k, n, log = F.col("month"), F.col("_n"), F.col("_log")
-    balance = F.when(
+
+
+def _owed(k: Column) -> Column:
+    """Balance of a loan of :func:`_terms` in month ``k``, null once it has ended."""
+    n, log = F.col("_n"), F.col("_log")
+    return F.when(
         k < n,
         F.when(F.col("_rate") == 0, F.col("amount") * (1 - k / n))
         .otherwise(F.col("_scale") * F.exp(log * k) * F.expm1(log * (n - k))),
     )
+
+
+def _interest_on(balance: Column) -> Column:
+    return F.when(balance > C.REPAID_BELOW, balance * F.col("_rate")).otherwise(F.lit(0.0))
+
+
+def debt_schedule(loans: DataFrame, months: int = C.DEBT_MONTHS) -> DataFrame:
+    """Monthly interest of each loan; loans have amount, rate (yearly %) and term_years.
+
+    One row per loan and month 0, 1, …; all zero without a positive amount and term.
+    """
     return (
-        terms.withColumn("month", F.explode(F.sequence(F.lit(0), F.lit(months - 1))))
-        .withColumn("_balance", balance)
-        .withColumn(
-            "interest",
-            F.when(F.col("_balance") > C.REPAID_BELOW, F.col("_balance") * F.col("_rate")).otherwise(F.lit(0.0)),
-        )
+        _terms(loans).withColumn("month", F.explode(F.sequence(F.lit(0), F.lit(months - 1))))
+        .withColumn("_balance", _owed(F.col("month")))
+        .withColumn("interest", _interest_on(F.col("_balance")))
         .drop("_rate", "_n", "_log", "_scale", "_balance")
     )
 
 
-def debt_interest_total(schedule: DataFrame, key: str = "scenario_id") -> DataFrame:
+def interest_vectors(loans: DataFrame, months: int = C.DEBT_MONTHS, key: str = "scenario_id") -> DataFrame:
+    """Interest of all loans of a scenario as an array ``interest`` over the months from 0 on.
+
+    Each loan is one vector, and vectors are added up before they travel: one per scenario and task. Loans are dealt by all their columns
+    first, while they are small, so neither a table of one file nor a scenario with a third of all loans is one task.
+    """
+    dealt = _terms(loans.repartition(*loans.columns))
+    of_month = F.transform(F.sequence(F.lit(0), F.lit(months - 1)), lambda k: _interest_on(_owed(k)))
+    sums = dealt.select(key, array_to_vector(of_month).alias("_vector")).groupBy(key).agg(Summarizer.sum(F.col("_vector")).alias("_sum"))
+    return sums.select(key, vector_to_array("_sum").alias("interest"))
+
+
+def debt_interest_total(loans: DataFrame, months: int = C.DEBT_MONTHS, key: str = "scenario_id") -> DataFrame:
     """Interest of all loans of a scenario per month."""
-    return schedule.groupBy(key, "month").agg(F.sum("interest").alias("interest"))
+    return interest_vectors(loans, months, key).select(key, F.posexplode("interest").alias("month", "interest"))
 
 
 def debt_total(allocated: DataFrame) -> DataFrame:
@@ -152,7 +174,7 @@ def project_pnl(scenarios: DataFrame, loans: DataFrame | None = None, interest_m
     else:
         # The arrays are far larger than the loans they come from, which misleads size estimates:
         # they are never broadcast.
-        base = base.join(_interest_arrays(loans, interest_months).hint("merge"), "scenario_id", "left")
+        base = base.join(interest_vectors(loans, interest_months).withColumnRenamed("interest", "_interest").hint("merge"), "scenario_id", "left")
     amount = F.col("new_debt_amount")
     rate = _monthly(F.col("new_debt_rate"))
     n = _months(F.col("horizon_years"))
@@ -209,16 +231,6 @@ def project_pnl(scenarios: DataFrame, loans: DataFrame | None = None, interest_m
     return _statement(scalars.select(*drivers, "_recovery", F.inline(run)))
 
 
-def _interest_arrays(loans: DataFrame, months: int) -> DataFrame:
-    """Interest of the existing debt of each scenario, as an array over the months from 0 on."""
-    by_month = F.array_sort(F.collect_list(F.struct("month", "interest")))
-    return (
-        debt_interest_total(debt_schedule(loans, months))
-        .groupBy("scenario_id")
-        .agg(by_month["interest"].alias("_interest"))
-    )
-
-
 def _statement(months: DataFrame) -> DataFrame:
     """Result columns from scenario drivers and, per month, the opening balances ``x`` and ``npa``,
     the ``closing`` performing balance and the interest ``paid``."""

@@ -3,6 +3,7 @@
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.errors import PySparkException
@@ -179,3 +180,21 @@ def test_country_views_take_portfolio_and_debt(spark):
     for s in scenarios:
         expected = loop_projection(s, [loan for view, loan in loans if view == s["scenario_id"]])
         assert got[s["scenario_id"], 59].fiu_performing == pytest.approx(expected[59][0], rel=1e-9)
+
+
+def test_interest_of_scenarios_equals_the_sum_over_schedules(spark):
+    """A hot scenario, one without interest, missing and odd values, a scenario without a name, equal loans."""
+    loans = [("hot", float(100 + i), i % 7 * 1.5, i % 5) for i in range(60)] + [
+        ("one", 1000.0, 0.0, 3), ("one", 1000.0, 0.0, 3), (None, 50.0, 12.0, 1), ("none", -5.0, 10.0, 2), ("odd", None, 9.0, 2), ("odd", 70.0, None, 2), ("odd", 70.0, 9.0, None)]
+    table = spark.createDataFrame(loans, "scenario_id string, amount double, rate double, term_years int").coalesce(1)
+    want = {(r[0], r[1]): r[2] for r in N.debt_schedule(table, 40).groupBy("scenario_id", "month").agg(F.sum("interest")).collect()}
+    got = {(r.scenario_id, r.month): r.interest for r in N.debt_interest_total(table, 40).collect()}
+    assert got == pytest.approx(want, rel=1e-9, abs=1e-9) and len(got) == 5 * 40
+    assert N.debt_interest_total(table.limit(0)).count() == 0
+
+
+def test_one_vector_travels_per_scenario_and_task(spark):
+    table = spark.createDataFrame([("a", 1.0, 2.0, 3)], "scenario_id string, amount double, rate double, term_years int")
+    plan = N.interest_vectors(table)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and "Generate" not in plan
+    assert plan.index("ObjectHashAggregate") < plan.index("Exchange hashpartitioning") < plan.rindex("ObjectHashAggregate")
