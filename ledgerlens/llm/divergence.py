@@ -2,8 +2,8 @@
 
 The documents are cut into terms once, into a table partitioned by language. For each language ``CountVectorizer`` with a minimum number of
 documents and the largest vocabulary it allows keeps every term that enough documents hold, and turns each document into an exact sparse vector of counts.
-The vectors are added up by group of (language, source), entry by entry: a partial sum before the shuffle, so that a source with a third of all rows
-travels as one number a term. Groups become whole-number shares. Two groups' distance is taken over the terms that either holds: what neither holds adds the
+The vectors are added up by group of (language, source) inside each task, in whole numbers, before the shuffle, so that a source with a third of all rows
+travels as one number a term and task. Groups become whole-number shares. Two groups' distance is taken over the terms that either holds: what neither holds adds the
 same amount a term, so the sum over the whole vocabulary follows without it. Sources are compared block by block and term range by term range, each a bounded
 task, and only one number a pair leaves it.
 
@@ -16,20 +16,23 @@ kept terms has distances of 0 and no terms; repeated rows count as often as they
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlens.llm.arrow import pieces
 from ledgerlens.llm.text import given
 from ledgerlens.session import fresh_path, materialize
 
-#: Terms are the runs between these: ASCII letters and everything beyond ASCII.
-GAP = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
+#: Terms are runs of ASCII letters, lowered, and of bytes beyond ASCII; every other byte is a gap and becomes a blank.
+TERM_BYTES = np.array([b if b >= 0x80 or chr(b).islower() else b + 32 if chr(b).isupper() else 0x20 for b in range(256)], np.uint8)
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 MIN_DF = 30
 #: Occurrences added to each term, and the whole that shares are parts of.
@@ -41,32 +44,75 @@ VOCABULARY = 2**31 - 1
 #: Sources and terms of one comparing task.
 SOURCES = 256
 TERMS = 4096
+#: Numbers that a task which adds up vectors holds, unless a single vocabulary is larger.
+HELD = 1 << 23
 #: Stands in every document, so that a vocabulary is never empty; no term can be it. A text that begins or ends with a gap has it more than once.
 MARK = ""
 
 
+def _terms(texts: pa.Array) -> pa.Array:
+    """The terms of each text, after a ``MARK``: what stands before the blank put at the start of each."""
+    led = pc.binary_join_element_wise(pa.scalar(" ", texts.type), texts, pa.scalar("", texts.type))
+    valid, ends, data = led.buffers()
+    lowered = pa.py_buffer(TERM_BYTES[np.frombuffer(data, np.uint8)])
+    return pc.ascii_split_whitespace(pa.Array.from_buffers(led.type, len(led), [valid, ends, lowered]))
+
+
 def tokenised(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> str:
     """Path of the written table ``source, terms`` of all documents, partitioned by ``of``, a digest of the language."""
     path = fresh_path(docs.sparkSession, "terms")
-    # ASCII letters alone are lowered; a text of nothing else is lowered as a whole, which is faster.
-    whole = given(docs[text])
-    lowered = F.when(F.length(whole) == F.octet_length(whole), F.lower(whole)).otherwise(F.translate(whole, UPPER, LOWER))
-    found = F.split(lowered, GAP, -1)
     rows = docs.select(
-        F.md5(given(docs[lang])).alias("of"), given(docs[lang]).alias("lang"), given(docs[source]).alias("source"), F.concat(F.array(F.lit(MARK)), found).alias("terms"),
+        F.md5(given(docs[lang])).alias("of"), given(docs[lang]).alias("lang"), given(docs[source]).alias("source"), given(docs[text]).alias("text"),
     )
-    rows.write.partitionBy("of").parquet(path)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(batch, "text"):
+                yield pa.record_batch([*(piece.column(c) for c in ("of", "lang", "source")), _terms(piece.column("text"))], ["of", "lang", "source", "terms"])
+
+    rows.mapInArrow(run, "of string, lang string, source string, terms array<string>").write.partitionBy("of").parquet(path)
     return path
 
 
+def _group_sums(vectors: DataFrame, size: int, held: int = HELD) -> DataFrame:
+    """``source, term_no, n`` of sparse vectors ``source, i, v``: each task adds up whole numbers by source before they travel.
+
+    A task holds one row of ``size`` numbers a source; when those pass ``held`` they are handed on and begun again.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[str, np.ndarray] = {}
+
+        def told() -> Iterator[pa.RecordBatch]:
+            for source, row in sums.items():
+                at = np.flatnonzero(row)
+                yield pa.record_batch([pa.array([source] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(row[at])], ["source", "term_no", "n"])
+            sums.clear()
+
+        for batch in batches:
+            coded = pc.dictionary_encode(batch.column("source"))
+            of_row = coded.indices.to_numpy()
+            for k, source in enumerate(coded.dictionary.to_pylist()):
+                mine = batch.filter(pa.array(of_row == k))
+                at, inverse = np.unique(mine.column("i").flatten().to_numpy(), return_inverse=True)
+                # Whole numbers below 2^53, as no batch holds more words.
+                n = np.bincount(inverse, mine.column("v").flatten().to_numpy(), len(at)).astype(np.int64)
+                if source not in sums:
+                    if sums and (len(sums) + 1) * size > held:
+                        yield from told()
+                    sums[source] = np.zeros(size, np.int64)
+                sums[source][at] += n
+        yield from told()
+
+    return vectors.mapInArrow(run, "source string, term_no int, n long").groupBy("source", "term_no").agg(F.sum("n").alias("n"))
+
+
 def _of_language(rows: DataFrame, lang: str, min_df: int) -> tuple[DataFrame, list[str]]:
     """Occurrences of each kept term by source, ``lang, source, term_no, n``, and the kept terms by number."""
     coder = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_df), vocabSize=VOCABULARY)
     model = coder.fit(rows)
     vector = F.unwrap_udt("vector")
-    entries = model.transform(rows).select("source", F.explode(F.arrays_zip(vector["indices"].alias("i"), vector["values"].alias("v"))).alias("e"))
-    sums = entries.groupBy("source", F.col("e.i").alias("term_no")).agg(F.sum(F.col("e.v").cast("long")).alias("n"))
-    return sums.select(F.lit(lang).alias("lang"), "source", "term_no", "n"), model.vocabulary
+    vectors = model.transform(rows).select("source", vector["indices"].alias("i"), vector["values"].alias("v"))
+    return _group_sums(vectors, len(model.vocabulary)).select(F.lit(lang).alias("lang"), "source", "term_no", "n"), model.vocabulary
 
 
 def counts(docs: DataFrame, min_df: int = MIN_DF, text: str = "text", lang: str = "lang", source: str = "source") -> tuple[DataFrame, DataFrame]:

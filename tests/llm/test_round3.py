@@ -75,6 +75,18 @@ def test_audit_compares_sources_block_by_block(spark, monkeypatch):
     assert {tuple(r) for r in out} == _plain_audit(rows, 5, 50)
 
 
+@pytest.mark.parametrize("held", [1, 100])
+def test_vector_sums_are_handed_on_in_parts(spark, held):
+    rng = random.Random(8)
+    rows = [(f"s{i % 7}", sorted(rng.sample(range(12), i % 5))) for i in range(200)]
+    rows = [(s, at, [float(1 + k) for k in at]) for s, at in rows]
+    want = Counter()
+    for s, at, n in rows:
+        want.update({(s, i): int(v) for i, v in zip(at, n)})
+    out = divergence._group_sums(spark.createDataFrame(rows, "source string, i array<int>, v array<double>"), 12, held).collect()
+    assert {(r["source"], r["term_no"]): r["n"] for r in out} == want and len(out) == len(want)
+
+
 def test_audit_of_nothing(spark):
     out = divergence.audit(_docs(spark, []))
     assert out.count() == 0 and out.columns == ["lang", "source", "part", "item", "value", "rank"]
