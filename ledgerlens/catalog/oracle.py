@@ -445,6 +445,9 @@ SELECT grupo, cuenta_contable, coalesce(terms, 0)::INT AS terms, round(coalesce(
         "period_filter": _with(("lines", "star"), """SELECT 'period' AS kind, empresa, count(*) AS filas FROM star WHERE per >= '199701' GROUP BY ALL
   UNION ALL SELECT 'year', empresa, count(*) FROM star WHERE CAST(left(per, 4) AS INTEGER) >= 1997 GROUP BY ALL
   UNION ALL SELECT 'date', empresa, count(*) FROM star WHERE strptime(per || '01', '%Y%m%d') >= DATE '1996-01-01' GROUP BY ALL"""),
+        "source_ranges": _with(("lines", "star"), """SELECT r AS rango, count(g) AS filas FROM (SELECT unnest(range(0, 25))::INTEGER AS r)
+  LEFT JOIN (SELECT CASE WHEN per IS NULL OR per < '199701' THEN 0
+    ELSE least(24, (CAST(left(per, 4) AS INTEGER) - 1997) * 12 + CAST(substr(per, 5, 2) AS INTEGER)) END AS g FROM star) ON r = g GROUP BY r"""),
         "voucher_valid": _with(("lines", "star", "voucher"), """SELECT s.empresa, count(s.num) AS con_numero,
   count(CASE WHEN v.estado <> 'A' THEN 1 END) AS vigentes
   FROM star s LEFT JOIN voucher v ON s.num = v.num AND s.per = v.per GROUP BY ALL"""),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,7 @@ from ledgerlens.plans.load import extract
 from ledgerlens.plans.projection import project_countries
 from ledgerlens.session import fresh_path
 from ledgerlens.sources import exports, literals, readers
+from ledgerlens.sources.ranges import months, range_predicates
 from ledgerlens.sources.registry import Location, registry_table
 from ledgerlens.sources.tables import read_version, write_version
 
@@ -195,6 +197,15 @@ def audit_totals(spark, sf):
     return audit.select("empresa", "filas", "total", "fechas_rechazadas", "importes_rechazados")
 
 
+@_register
+def source_ranges(spark, sf):
+    """Lines of the star journals in each range of months that a database is asked for; every line is in one."""
+    bounds = [m.strftime("%Y%m") for m in months(X.SINCE, date(1998, 12, 1))]
+    told = range_predicates("Com_Periodo", bounds, "`")
+    counts = X.star_detail(spark, sf).agg(F.array(*[F.count_if(F.expr(p)) for p in told]).alias("n"))
+    return counts.select(F.posexplode("n").alias("rango", "filas"))
+
+
 @_register
 def concept_template(spark, sf):
     """Every concept of the inline template with the number of parameters saved under it."""

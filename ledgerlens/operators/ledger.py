@@ -52,8 +52,8 @@ def assign_ids(df: DataFrame, *order: Column | str) -> DataFrame:
     )
 
 
-def assign_ids_stored(tables: Iterable[DataFrame]) -> DataFrame:
-    """:func:`assign_ids` for tables that are parquet at rest, one below the other.
+def assign_ids_stored(tables: Iterable[DataFrame], after: int = 0) -> DataFrame:
+    """:func:`assign_ids` for tables that are parquet at rest, one below the other; ids start behind ``after``.
 
     A row is known by its table, the part number of its file and its place in the file, so nothing is sorted or written again
     and the ids do not depend on how folders are called, unless files share a part number or have none. The offsets are one row per file.
@@ -68,7 +68,7 @@ def assign_ids_stored(tables: Iterable[DataFrame]) -> DataFrame:
     firsts = _first_ids(placed.groupBy("_file").agg(F.count(F.lit(1)).alias("n")), "_file")
     numbered = placed.join(F.broadcast(firsts), "_file")
     columns = [c for c in placed.columns if c not in ("_file", "_row")]
-    return numbered.select((F.col("_first") + F.col("_row") + 1).alias("id_transaccion"), *columns)
+    return numbered.select((F.col("_first") + F.col("_row") + (after + 1)).alias("id_transaccion"), *columns)
 
 
 def evolve_schema(df: DataFrame) -> DataFrame:

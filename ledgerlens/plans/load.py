@@ -107,11 +107,11 @@ def load_sources(
 
 
 def _carried(spark: SparkSession, root: str, failed: Iterable[str]) -> list[tuple[DataFrame, tuple]]:
-    """The failed companies' rows of the version in use, with what was set in them."""
+    """The failed companies' rows of the version in use, with their ids and what was set in them."""
     names = list(failed)
     if not names or not versions(spark, root):
         return []
-    kept = read_version(spark, root).drop("id_transaccion")
+    kept = read_version(spark, root)
     return [_written(kept.filter(F.col("empresa") == name), name, "carried") for name in names]
 
 
@@ -121,7 +121,8 @@ def ledger_full_refresh(
     """Load everything as the next ledger version and return the audit of the sources, which is stored beside it.
 
     The version in use stays until the new one is complete. A company whose source fails keeps the rows it has there, and
-    the audit says so. The audit is counted by the passes that write the sources; lines of which something was rejected are kept beside the version
+    the audit says so. Kept rows keep their ids, so a correction by id made before the load still hits them; the ids of the rows read anew follow the highest kept one, and
+    may be ids that replaced rows had. The audit is counted by the passes that write the sources; lines of which something was rejected are kept beside the version
     (:func:`rejected_lines`). ``exclusions`` may be empty but must be given.
     """
     specs = list(specs)
@@ -129,8 +130,10 @@ def ledger_full_refresh(
     if not loaded:
         raise ValueError("no source could be read")
     carried = _carried(spark, root, [name for name, _ in failures])
-    tables = [evolve_schema(t.drop(K.REJECTED)) for t in loaded] + [t for t, _ in carried]
-    number = write_version(assign_ids_stored(tables), root, cluster_by=["id_transaccion"])
+    kept = [t for t, _ in carried]
+    last = max((t.agg(F.max("id_transaccion")).first()[0] or 0 for t in kept), default=0)
+    fresh = assign_ids_stored([evolve_schema(t.drop(K.REJECTED)) for t in loaded], after=last)
+    number = write_version(reduce(DataFrame.unionByName, kept, fresh), root, cluster_by=["id_transaccion"])
     rejected = reduce(DataFrame.unionByName, loaded).filter(F.col(K.REJECTED).isNotNull())
     write_beside(rejected, root, number, REJECTED_LINES, files=None)
     # A row per source.

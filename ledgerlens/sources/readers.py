@@ -20,13 +20,16 @@ _CSV = {"header": "true", "multiLine": "true", "escape": '"'}
 def read_table(spark: SparkSession, location: Location, schema: T.StructType | None = None) -> DataFrame:
     """One table, from files or by JDBC.
 
-    For JDBC give ``partitionColumn``, ``lowerBound``, ``upperBound`` and ``numPartitions`` with
+    For JDBC give predicates (``ranges.by_period``), or ``partitionColumn``, ``lowerBound``, ``upperBound`` and ``numPartitions``, with
     ``dbtable`` to read in parallel, or ``query`` to let the remote side run a statement.
     """
     reader = spark.read.format(location.format)
     options = dict(location.options)
     if location.format == "jdbc":
         options.setdefault("fetchsize", FETCH_SIZE)
+        if location.predicates:
+            url, table = options.pop("url"), options.pop("dbtable")
+            return spark.read.jdbc(url, table, predicates=list(location.predicates), properties=options)
         return reader.options(**options).load()
     if schema is not None and location.format == "csv":
         return _by_header(reader.options(**{**_CSV, **options}).load(location.path), schema)

@@ -13,11 +13,13 @@ from ledgerlens import schemas as S
 
 @dataclass(frozen=True)
 class Location:
-    """Where one table lies: a reader format with its options, and a path for file formats."""
+    """Where one table lies: a reader format with its options, and a path for file formats. A database table may be read in
+    parts, one for each of ``predicates``, which must hold for every row exactly once (``sources/ranges.py``)."""
 
     format: str = "parquet"
     path: str | None = None
     options: dict[str, str] = field(default_factory=dict)
+    predicates: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)

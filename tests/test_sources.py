@@ -16,9 +16,11 @@ from ledgerlens.operators import joins as J
 from ledgerlens.operators.aggregates import observed
 from ledgerlens.operators.ledger import assign_ids_stored
 from ledgerlens.operators.writeback import apply_predictions
+from ledgerlens.plans.corrections import correct_by_id
 from ledgerlens.plans.load import extract, ledger_full_refresh, rejected_lines
 from ledgerlens.sources.exports import export_csv_bom
 from ledgerlens.sources.readers import ledger_scan, read_source, read_table, read_training_set
+from ledgerlens.sources.ranges import PERIODS, by_period, months, range_predicates
 from ledgerlens.sources.registry import SOURCES, Location, exclusions_table, spec_of
 from ledgerlens.sources.tables import read_beside, read_version, versions, write_version
 
@@ -119,6 +121,62 @@ def test_jdbc_options_pass_through():
     assert "fetchsize" not in where.options
 
 
+class JdbcRecorder(Recorder):
+    def jdbc(self, url, table, **given):
+        self.calls["jdbc"] = (url, table, given)
+        return "frame"
+
+
+def test_journals_in_a_database_are_read_by_period():
+    where = {r: Location("jdbc", options={"url": "jdbc:x", "dbtable": r, "user": "u"}) for r in S.JOURNAL_TABLES["D"]}
+    spec = by_period(spec_of("NC SPA").located(where), date(2025, 3, 20))
+    assert spec.tables["detail"].predicates == (
+        "\"Com_Periodo\" < '202501' OR \"Com_Periodo\" IS NULL", "\"Com_Periodo\" >= '202501' AND \"Com_Periodo\" < '202502'",
+        "\"Com_Periodo\" >= '202502' AND \"Com_Periodo\" < '202503'", "\"Com_Periodo\" >= '202503'",
+    )
+    assert spec.tables["voucher"].predicates == spec.tables["detail"].predicates
+    assert {r for r, t in spec.tables.items() if not t.predicates} == {"client", "account", "cost_centre"}
+    session = JdbcRecorder()
+    assert read_source(session, spec)["detail"] == "frame"
+    assert read_table(session, spec.tables["detail"]) == "frame"
+    assert session.calls["jdbc"] == ("jdbc:x", "detail", {"predicates": list(spec.tables["detail"].predicates), "properties": {"user": "u", "fetchsize": "50000"}})
+    assert spec.tables["detail"].options == where["detail"].options
+    # What is a file, a statement or already divided stays as it is.
+    for options in ({"url": "x", "query": "q"}, {"url": "x", "dbtable": "t", "partitionColumn": "id"}):
+        one = spec_of("GFO").located({"journal": Location("jdbc", options=options)})
+        assert by_period(one, date(2025, 1, 1)) == one
+    files = spec_of("GFO").located({"journal": Location(path="x")})
+    assert by_period(files, date(2025, 1, 1)) == files
+    assert all(c in dict(S.JOURNAL_TABLES[layout])[role].names for layout, roles in PERIODS.items() for role, (c, _) in roles.items())
+
+
+@pytest.mark.parametrize(("column", "kind", "form"), [("FEC DOC", "DATE", "%Y-%m-%d"), ('odd "name', "VARCHAR", "%Y%m")])
+@pytest.mark.parametrize("step", [1, 5])
+def test_every_row_is_in_one_range(column, kind, form, step):
+    import duckdb
+
+    bounds = [m.strftime(form) for m in months(date(2024, 11, 7), date(2026, 2, 1), step)]
+    given = ["2024-10-31", "2024-11-01", "2024-11-30", "2025-01-01", "2025-12-31", "2026-02-01", "2030-01-01", "1900-01-01", None]
+    if kind == "VARCHAR":
+        given = [g and g.replace("-", "")[:6] for g in given] + ["", "zz", "2025", "20251", "202511x", " 202503"]
+    told = range_predicates(column, bounds)
+    con = duckdb.connect()
+    con.execute(f'CREATE TABLE t ("{column.replace(chr(34), chr(34) * 2)}" {kind})')
+    con.executemany("INSERT INTO t VALUES (?)", [(g,) for g in given * 2])
+    hits = con.execute(f"SELECT {' + '.join(f'coalesce(CAST(({p}) AS INTEGER), 0)' for p in told)} FROM t").fetchall()
+    assert len(hits) == 2 * len(given) and set(hits) == {(1,)} and len(told) == len(bounds) + 1
+    assert sum(con.execute(f"SELECT count(*) FROM t WHERE {p}").fetchone()[0] for p in told) == len(hits)
+
+
+def test_ranges_need_ascending_bounds():
+    assert range_predicates("c", []) == ["1 = 1"]
+    assert range_predicates("c", ["a'b"]) == ["\"c\" < 'a''b' OR \"c\" IS NULL", "\"c\" >= 'a''b'"]
+    with pytest.raises(ValueError, match="do not ascend"):
+        range_predicates("c", ["2", "2"])
+    with pytest.raises(ValueError, match="at least one month"):
+        list(months(date(2025, 1, 1), date(2025, 2, 1), 0))
+
+
 def located(spark, sf_dir, spec, folder):
     tables = {}
     for role, df in X.journal(spark, sf_dir, spec).items():
@@ -171,6 +229,25 @@ def test_failed_source_keeps_its_rows_and_labels(spark, sf_dir, tmp_path):
     assert {tuple(r) for r in read_beside(spark, root, "audit").collect()} == {tuple(r) for r in audit.collect()}
 
 
+def test_kept_rows_keep_their_ids(spark, sf_dir, tmp_path):
+    specs = [located(spark, sf_dir, s, tmp_path) for s in X.specs() if s.empresa in ("CONIX", "LTCP")]
+    root, excluded = str(tmp_path / "out"), X.exclusions(spark, sf_dir).limit(0)
+    ledger_full_refresh(spark, specs, root, excluded)
+    lines = lambda e: {tuple(r) for r in read_version(spark, root).filter(F.col("empresa") == e).select("id_transaccion", "cuenta_contable", "descripcion_gasto", "valor").collect()}
+    before = lines("LTCP")
+    chosen = max(before)
+    ledger_full_refresh(spark, [specs[0], X.unreadable(specs[1])], root, excluded)
+    assert lines("LTCP") == before
+    # Those read anew follow, and a correction by an id of before finds its row.
+    assert min(r[0] for r in lines("CONIX")) == chosen[0] + 1
+    ids = read_version(spark, root).select("id_transaccion")
+    assert ids.count() == ids.distinct().count()
+    updates = spark.createDataFrame([(1, chosen[0], "Luz", None, None)], S.UPDATES_BY_ID)
+    correct_by_id(spark, root, updates)
+    (fixed,) = read_version(spark, root).filter("grupo = 'Luz'").collect()
+    assert (fixed.empresa, fixed.id_transaccion, fixed.descripcion_gasto) == ("LTCP", chosen[0], chosen[2])
+
+
 def test_versions_are_claimed_once(spark, tmp_path):
     df = spark.createDataFrame([("A", "x")], "empresa string, fecha_corte string")
     (tmp_path / "t" / "_claims").mkdir(parents=True)
