@@ -1,10 +1,11 @@
 """License scans by conditional compression.
 
 Words that speak of licences are cues. Around each cue as many words are taken, over line ends and blank lines, as a notice that holds the
-cue can reach; stretches that touch are one block. In a block the notices are sought word by word: for each template most of whose words
-stand there, the least number of differing words of a stretch that ends at each place, so a notice is found wherever it stands, wrapped or not, and as often as it is repeated.
-Each stretch found is compressed with zstandard alone and with the template as raw dictionary: the bytes saved tell how much of it
-the template explains. Too little is no finding; the differing words are reported.
+cue can reach; stretches that touch are one block. Blocks are compressed with zstandard, alone and with each template as raw dictionary: a template that saves too few bytes of a block is out.
+Long blocks are compressed in overlapping parts, each wide enough to hold any notice whole, so that the room around a notice does not hide it.
+Within a part the stretches that a template could explain are compressed in the same way, and all stretches of a block are ranked by the bytes saved. In that order a
+stretch wins if no better one covers it and its exact wording differences confirm it: the words of the template missing there and the words added. A word put in the place of another is one difference.
+A notice is so found wherever it stands, wrapped or not, and as often as it is repeated.
 
 Rows are worked on where they lie, without a shuffle; compressors are made once per worker.
 
@@ -76,10 +77,17 @@ def wording(text: str) -> list[str]:
 
 
 def most_differing(size: int) -> float:
-    """How many words may differ from a template of so many."""
+    """How many words may be missing from, or added to, a template of so many."""
     return (1 - AGREED) * size + 1
 
 
+def confirmed(size: int, missing: int, added: int, changed: int) -> bool:
+    """Whether a stretch is still the wording of a template: few words missing and added, or few differences where a changed word is one."""
+    if size - missing < AGREED * size:
+        return False
+    return missing + added <= most_differing(size) or changed < (1 - AGREED) * size
+
+
 def blocks(text: str, reach: int) -> tuple[list[tuple[int, int]], list[str], list[tuple[int, int]]]:
     """First and last but one word of each block: all words up to ``reach`` words from a cue. With the words and their places in the text."""
     cues = [m.span() for m in CUE.finditer(text)]
@@ -124,15 +132,18 @@ class Matcher:
         self._codes: dict[str, int] = {}
         self._coded = {n: [self._codes.setdefault(w, len(self._codes)) for w in told] for n, told in self._wording.items()}
         longest = max((len(t) for t in self._wording.values()), default=0)
-        self.reach = longest + int(most_differing(longest))
+        self.reach = longest + 2 * int(most_differing(longest))
 
     @staticmethod
     def _plain(text: str) -> str:
         return " ".join(text.split())
 
+    def _raw(self, text: str) -> bytes:
+        return self._plain(text).encode()
+
     def saved(self, name: str, text: str) -> int:
         """Bytes that the template saves of a stretch."""
-        raw = self._plain(text).encode()
+        raw = self._raw(text)
         return self._alone(raw) - self._given[name](raw)
 
     @staticmethod
@@ -149,53 +160,73 @@ class Matcher:
             row = np.minimum.accumulate(new - steps) + steps
             yield row
 
-    def _trace(self, name: str, codes: np.ndarray, end: int) -> tuple[int, list[int], list[int]]:
-        """Start of the best stretch that ends at ``end``, the places of the template's words missing in it, and of its added words."""
+    def _trace(self, name: str, codes: np.ndarray, end: int) -> tuple[int, list[int], list[int], int]:
+        """Start of the best stretch that ends at ``end``, the places of the template's words missing in it, and of its added words, and the
+        number of differences: between two words that stand there, missing and added words pair up."""
         template = self._coded[name]
         size, unit = len(template), 2 * len(template) + 2
-        base = max(end - size - int(most_differing(size)) - 1, 0)
+        base = max(end - size - 2 * int(most_differing(size)) - 1, 0)
         rows = list(self._rows(template, codes[base:end]))
-        i, j, first, missing, added = size, end - base, end - base, [], []
+        i, j, first, missing, added, changed, gap = size, end - base, end - base, [], [], 0, [0, 0]
         while i:
             if j and codes[base + j - 1] == template[i - 1] and rows[i][j] == rows[i - 1][j - 1]:
                 i, j = i - 1, j - 1
-                first = j
+                first, changed, gap = j, changed + max(gap), [0, 0]
             elif rows[i][j] == rows[i - 1][j] + unit + 1:
                 i -= 1
                 missing.append(i)
+                gap[0] += 1
             else:
                 j -= 1
                 added.append(base + j)
-        return base + first, missing[::-1], added[::-1]
+                gap[1] += 1
+        return base + first, missing[::-1], added[::-1], changed + max(gap)
+
+    def _parts(self, start: int, stop: int) -> Iterator[tuple[int, int]]:
+        """Overlapping parts of a block; any stretch of ``reach`` words lies in one of them."""
+        while True:
+            yield start, min(start + 2 * self.reach, stop)
+            if start + 2 * self.reach >= stop:
+                return
+            start += self.reach
+
+    def _stretches(self, name: str, codes: np.ndarray) -> Iterator[tuple[int, int, list[int], list[int], int]]:
+        """Where a template's wording may stand: the best stretch of each end at which fewer words differ than one word before, and not more than one word after."""
+        template, held = self._coded[name], set(codes.tolist())
+        size = len(template)
+        if not size or sum(c in held for c in template) < AGREED * size:
+            return
+        for row in self._rows(template, codes):
+            pass
+        # A changed word is a missing and an added one here.
+        near = row[1:] // (2 * size + 2) <= 2 * most_differing(size)
+        for end in (np.flatnonzero((row[1:] < row[:-1]) & (row[1:] <= np.append(row[2:], row[-1])) & near) + 1).tolist():
+            first, missing, added, changed = self._trace(name, codes, end)
+            yield first, end, missing, added, changed
 
     def match(self, text: str) -> tuple[int, list[tuple[int, int, Found]]]:
-        """Number of blocks, and the notices in order: those of fewest differing words first, the longer of equals, no stretch twice."""
+        """Number of blocks, and the notices in order: those that save most bytes first, no stretch twice."""
         places, words, spans = blocks(text, self.reach)
         taken: list[tuple[int, int, Found]] = []
         for start, stop in places:
-            codes = np.array([self._codes.get(w, -1) for w in words[start:stop]], np.int64)
-            held, won = set(codes.tolist()), []
-            for name, template in self._coded.items():
-                size = len(template)
-                if not size or sum(c in held for c in template) < AGREED * size:
-                    continue
-                for row in self._rows(template, codes):
-                    pass
-                # Ends: fewer words differ than one word before, and not more than one word after.
-                ends = np.flatnonzero((row[1:] < row[:-1]) & (row[1:] <= np.append(row[2:], row[-1])) & (row[1:] // (2 * size + 2) <= most_differing(size))) + 1
-                for end in ends.tolist():
-                    first, missing, added = self._trace(name, codes, end)
-                    if size - len(missing) >= AGREED * size and len(missing) + len(added) <= most_differing(size):
-                        told = tuple(self._wording[name][i] for i in missing), tuple(words[start + k] for k in added)
-                        won.append((len(missing) + len(added), -size, name, first, end, told))
+            ranked = set()
+            for low, high in self._parts(start, stop):
+                raw = self._raw(text[spans[low][0] : spans[high - 1][1]])
+                alone, codes = self._alone(raw), np.array([self._codes.get(w, -1) for w in words[low:high]], np.int64)
+                for name, given in self._given.items():
+                    if alone - given(raw) < SAVED * self._cost[name]:
+                        continue
+                    for first, end, missing, added, changed in self._stretches(name, codes):
+                        saved = self.saved(name, text[spans[low + first][0] : spans[low + end - 1][1]])
+                        told = tuple(self._wording[name][i] for i in missing), tuple(words[low + k] for k in added)
+                        ranked.add((-saved, changed, name, low + first, low + end, told))
             mine: list[tuple[int, int, Found]] = []
-            full = np.zeros(len(codes), bool)
-            for _, _, name, first, end, told in sorted(won):
-                if not full[first:end].any():
-                    saved = self.saved(name, text[spans[start + first][0] : spans[start + end - 1][1]])
-                    if saved >= SAVED * self._cost[name]:
-                        full[first:end] = True
-                        mine.append((start + first, start + end, Found(name, saved, *told)))
+            full = np.zeros(stop - start, bool)
+            for less, changed, name, first, end, (missing, added) in sorted(ranked):
+                fits = -less >= SAVED * self._cost[name] and confirmed(len(self._coded[name]), len(missing), len(added), changed)
+                if fits and not full[first - start : end - start].any():
+                    full[first - start : end - start] = True
+                    mine.append((first, end, Found(name, -less, missing, added)))
             taken += sorted(mine, key=lambda x: x[:2])
         out = []
         for first, end, found in taken:

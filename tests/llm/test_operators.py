@@ -310,6 +310,50 @@ def test_wrapped_and_repeated_notices():
     assert long[start:end] == MIT_LINES and (found.missing, found.added) == ((), ())
 
 
+def _distance(template, words):
+    """Least number of words changed, added or missing that bring a template to some stretch of the words, by the plain table."""
+    row = [0] * (len(words) + 1)
+    for i, t in enumerate(template, 1):
+        new = [i]
+        for j, w in enumerate(words, 1):
+            new.append(min(row[j - 1] + (t != w), row[j] + 1, new[-1] + 1))
+        row = new
+    return min(row)
+
+
+def test_reworded_notices_against_plain_distances():
+    matcher, draw = licenses.Matcher(licenses.TEMPLATES), random.Random(11)
+    told = {n: licenses.wording(t) for n, t in licenses.TEMPLATES.items()}
+    planted = found = 0
+    for name, text in licenses.TEMPLATES.items():
+        for part in (0, 0.05, 0.1, 0.15, 0.4):
+            words = text.split()
+            for k in draw.sample(range(len(words)), int(part * len(words))):
+                words[k] = f"other{draw.randrange(1000)}"
+            whole = f"{' '.join(_prose(planted, 200))}\n{' '.join(words)}\n{' '.join(_prose(planted + 1, 200))}"
+            got = [f.license for _, _, f in matcher.match(whole)[1]]
+            # Every template is held against every word of the text.
+            far = {n: _distance(t, licenses.wording(whole)) for n, t in told.items()}
+            assert all(far[g] <= licenses.most_differing(len(told[g])) for g in got)
+            if far[name] < 0.2 * len(told[name]):
+                planted += 1
+                found += got == [name]
+    assert planted >= 30 and found >= 0.9 * planted
+
+
+def test_bytes_saved_decide_and_rank(monkeypatch):
+    matcher = licenses.Matcher(licenses.TEMPLATES)
+    names = lambda t: [f.license for _, _, f in matcher.match(t)[1]]
+    # The wording of both stands there; the one that saves more bytes wins.
+    header = licenses.TEMPLATES["Apache-2.0-header"]
+    assert matcher.saved("Apache-2.0-header", header) > matcher.saved("Apache-2.0", header) > 0 and names(header) == ["Apache-2.0-header"]
+    swapped = licenses.TEMPLATES["MIT-text"].split()
+    swapped[10:80:7] = [f"word{k}" for k in range(10)]
+    assert names(" ".join(swapped)) == ["MIT-text"]
+    monkeypatch.setattr(licenses, "SAVED", 1.1)
+    assert names(header) == names(" ".join(swapped)) == []
+
+
 def test_license_lines_of_the_table(spark, sf_dir):
     """Every line that is a template's wording is found, and no text without one is."""
     out = {r["doc_id"]: r["findings"] for r in licenses.scan(catalog._documents(spark, sf_dir)).collect()}
