@@ -31,12 +31,17 @@ def _documents(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
+def _first(out: DataFrame, *names: str) -> DataFrame:
+    """The named columns, then the others."""
+    return out.select(*names, *[c for c in out.columns if c not in names])
+
+
 @_register
 def op6_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     out = quality.judge(_documents(spark, sf))
     return out.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_stop", "n_lines",
-        F.array_join("broken", ",").alias("broken"), "base_failed", "kept",
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "n_stop", "n_lines", F.array_join("broken", ",").alias("broken"),
     )
 
 
@@ -75,7 +80,7 @@ FROM m
 
 @_register
 def op7_url_filters(spark: SparkSession, sf: str) -> DataFrame:
-    return urls.judge(spark.read.parquet(f"{sf}/pages.parquet"))
+    return _first(urls.judge(spark.read.parquet(f"{sf}/pages.parquet")), "page_id", "host", "path", "rule", "verdict")
 
 
 def _values(rules: list[urls.Rule]) -> str:
@@ -109,7 +114,7 @@ FROM a LEFT JOIN site s USING (page_id) LEFT JOIN pattern p USING (page_id)
 
 @_register
 def op9_secret_scans(spark: SparkSession, sf: str) -> DataFrame:
-    return secrets.report(_documents(spark, sf))
+    return _first(secrets.report(_documents(spark, sf)), "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
 
 
 def _quoted(text: str) -> str:
