@@ -6,7 +6,7 @@ ledger line (:func:`as_ledger`), so the operators that add up lines run on it un
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens import config as C
@@ -27,19 +27,35 @@ def rollup(ledger: DataFrame) -> DataFrame:
     a large part of all lines travels as a few combinations.
     """
     amount = X.exact("valor")
-    return ledger.groupBy(
-        "empresa", F.trunc("fecha_corte", "MM").alias("mes"), F.substring("cuenta_contable", 1, PREFIX).alias("prefijo"), "nombre_tercero", "grupo",
-    ).agg(
+    return ledger.groupBy(*_of_line(), "grupo").agg(
         F.coalesce(F.sum(amount), F.lit(0)).cast("decimal(38,6)").alias("total"), F.count(F.lit(1)).alias("filas"), F.count(amount).alias("con_importe"),
     )
 
 
-def corrected(known: DataFrame, removed: DataFrame, added: DataFrame) -> DataFrame:
-    """The rollup after lines changed: what they were is taken out, what they are is put in. Combinations without lines go."""
-    minus = removed.select(*KEY, *[(-F.col(c)).alias(c) for c in _SUMS])
-    rows = known.select(*KEY, *_SUMS).unionByName(minus).unionByName(added.select(*KEY, *_SUMS))
-    sums = rows.groupBy(*KEY).agg(F.sum("total").cast("decimal(38,6)").alias("total"), *[F.sum(c).alias(c) for c in _SUMS[1:]])
-    return sums.filter(F.col("filas") > 0)
+def _of_line() -> list[Column]:
+    """What a line gives of the key besides its group."""
+    return [F.col("empresa"), F.trunc("fecha_corte", "MM").alias("mes"), F.substring("cuenta_contable", 1, PREFIX).alias("prefijo"), F.col("nombre_tercero")]
+
+
+def _sums(rows: DataFrame) -> DataFrame:
+    return rows.groupBy(*KEY).agg(F.sum("total").cast("decimal(38,6)").alias("total"), *[F.sum(c).alias(c) for c in _SUMS[1:]])
+
+
+def added_up(rows: DataFrame) -> DataFrame:
+    """One row per combination of a rollup and the changes that came to it; combinations without lines go."""
+    return _sums(rows).filter(F.col("filas") > 0)
+
+
+def changes(lines: DataFrame) -> DataFrame:
+    """What changed lines, each with its group and that of before (``antes_grupo``), bring to the rollup: what they were is taken out, what they are is put in.
+    Lines that keep their group bring nothing."""
+    amount = X.exact("valor")
+    entry = lambda group, sign: F.struct(
+        F.col(group).alias("grupo"), (F.coalesce(amount, F.lit(0)) * sign).cast(X.MONEY).alias("total"), F.lit(sign).cast("long").alias("filas"),
+        F.when(amount.isNull(), 0).otherwise(sign).cast("long").alias("con_importe"),
+    )
+    moved = lines.filter(~F.col("grupo").eqNullSafe(F.col("antes_grupo"))).select(*_of_line(), F.inline(F.array(entry("antes_grupo", -1), entry("grupo", 1))))
+    return _sums(moved).filter((F.col("filas") != 0) | (F.col("con_importe") != 0) | (F.col("total") != 0))
 
 
 def as_ledger(known: DataFrame) -> DataFrame:

@@ -6,12 +6,16 @@ read, so unifying the counts tells what unifying the lines would give.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.operators.aggregates import vendor_modes
 
-KEY = ("empresa", "nombre_tercero", "grupo", "subgrupo", "clasificacion_manual")
+CLASS = ("grupo", "subgrupo", "clasificacion_manual")
+KEY = ("empresa", "nombre_tercero", *CLASS)
 
 
 def counts(ledger: DataFrame) -> DataFrame:
@@ -24,6 +28,14 @@ def added_up(known: DataFrame) -> DataFrame:
     return known.groupBy(*KEY).agg(F.sum("filas").alias("filas")).filter(F.col("filas") > 0)
 
 
+def changes(lines: DataFrame) -> DataFrame:
+    """What changed lines, each with its class and that of before (``antes_grupo`` and so on), bring to the counts. Lines that keep their class bring nothing."""
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"antes_{c}")) for c in CLASS])
+    entry = lambda before, sign: F.struct(*[F.col(f"{before}{c}").alias(c) for c in CLASS], F.lit(sign).cast("long").alias("filas"))
+    moved = lines.filter(~same).select("empresa", "nombre_tercero", F.inline(F.array(entry("antes_", -1), entry("", 1))))
+    return moved.groupBy(*KEY).agg(F.sum("filas").alias("filas")).filter(F.col("filas") != 0)
+
+
 def corrected(known: DataFrame, removed: DataFrame, added: DataFrame) -> DataFrame:
     """The counts after lines changed: what they were is taken out, what they are is put in."""
     minus = removed.select(*KEY, (-F.col("filas")).alias("filas"))

@@ -1,12 +1,12 @@
 """Tables at rest as complete, immutable versions below one folder.
 
-A version is written whole (:func:`write_version`), or as the partitions that differ from an earlier one (:func:`amend_version`): its folder then holds
-a list of partitions and the folder that each is found in, and untouched partitions stay where they are.
+A version is written whole (:func:`write_version`), as the partitions that differ from an earlier one (:func:`amend_version`), or as rows that come to those
+of an earlier one (:func:`extend_version`): in the latter cases its folder holds a list of partitions and the folders that each is found in, and what is there stays where it is.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Sequence
 from functools import reduce
 
@@ -33,12 +33,22 @@ def versions(spark: SparkSession, root: str) -> list[int]:
     return sorted(int(n[len(_PREFIX):]) for n in found if "_SUCCESS" in _names(spark, f"{root}/{n}"))
 
 
-def partition_folders(spark: SparkSession, root: str, number: int) -> dict[str, str]:
-    """The partitions of a version by the name of their folder, and the folder of the table that holds each."""
+def partition_list(spark: SparkSession, root: str, number: int) -> list[tuple[str, str]]:
+    """The partitions of a version by the name of their folder, each with a folder of the table that holds rows of it."""
     whole = f"{_PREFIX}{number:06d}"
     if f"{_CHANGED}{number:06d}" in _names(spark, root):
-        return {r["partition"]: r["folder"] for r in spark.read.parquet(f"{root}/{whole}").collect()}
-    return {n: whole for n in _names(spark, f"{root}/{whole}") if "=" in n}
+        return [(r["partition"], r["folder"]) for r in spark.read.parquet(f"{root}/{whole}").collect()]
+    return [(n, whole) for n in _names(spark, f"{root}/{whole}") if "=" in n]
+
+
+def partition_folders(spark: SparkSession, root: str, number: int) -> dict[str, str]:
+    """The partitions of a version that was never extended, and the folder of the table that holds each."""
+    return dict(partition_list(spark, root, number))
+
+
+def parts_of_partition(spark: SparkSession, root: str, number: int) -> int:
+    """Folders that the partition with the most of them is read from."""
+    return max(Counter(n for n, _ in partition_list(spark, root, number)).values(), default=0)
 
 
 def _claim(spark: SparkSession, root: str) -> int:
@@ -88,16 +98,28 @@ def amend_version(
     ``df`` must hold all rows of the partitions it has rows of. Its rows are written beside the versions first; the list of partitions makes the version
     visible, and is refused where another version has come after ``base``. Readers of earlier versions are left alone.
     """
+    return _follow(df, root, base, partition_by, sort_within, number, keep=False)
+
+
+def extend_version(
+    df: DataFrame, root: str, base: int, partition_by: Sequence[str] = ("empresa",), sort_within: Sequence[str] = ("fecha_corte",), number: int | None = None,
+) -> int:
+    """The next version: the rows of version ``base``, whose files are neither read nor touched, and those of ``df``. Else like :func:`amend_version`."""
+    return _follow(df, root, base, partition_by, sort_within, number, keep=True)
+
+
+def _follow(df: DataFrame, root: str, base: int, partition_by: Sequence[str], sort_within: Sequence[str], number: int | None, keep: bool) -> int:
     spark = df.sparkSession
-    known = partition_folders(spark, root, base)
+    known = partition_list(spark, root, base)
     number = _claim(spark, root) if number is None else number
     changed = f"{_CHANGED}{number:06d}"
     _write(df, f"{root}/{changed}", partition_by, (*partition_by, *sort_within))
-    known |= {n: changed for n in _names(spark, f"{root}/{changed}") if "=" in n}
+    named = {n for n in _names(spark, f"{root}/{changed}") if "=" in n}
+    known = [(n, f) for n, f in known if keep or n not in named] + [(n, changed) for n in named]
     if versions(spark, root)[-1] != base:
         raise StaleVersion(f"version {base} of {root} is no longer the latest")
-    # One row per partition.
-    listed = spark.createDataFrame(sorted(known.items()), "partition string, folder string").coalesce(1)
+    # One row per partition and folder.
+    listed = spark.createDataFrame(sorted(known), "partition string, folder string").coalesce(1)
     listed.write.parquet(f"{root}/{_PREFIX}{number:06d}")
     return number
 
@@ -112,7 +134,7 @@ def read_version(spark: SparkSession, root: str, number: int | None = None) -> D
     if f"{_CHANGED}{number:06d}" not in _names(spark, root):
         return spark.read.parquet(f"{root}/{_PREFIX}{number:06d}")
     paths = defaultdict(list)
-    for name, folder in partition_folders(spark, root, number).items():
+    for name, folder in partition_list(spark, root, number):
         paths[folder].append(f"{root}/{folder}/{name}")
     # The partition column is read from the names below each folder.
     parts = [spark.read.option("basePath", f"{root}/{folder}").parquet(*named) for folder, named in sorted(paths.items())]

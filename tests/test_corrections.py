@@ -14,7 +14,7 @@ from ledgerlens.operators import vendor_counts as V
 from ledgerlens.operators import writeback as W
 from ledgerlens.operators.canonical import display_defaults
 from ledgerlens.plans import corrections
-from ledgerlens.sources.tables import StaleVersion, amend_version, partition_folders, read_version, versions, write_version
+from ledgerlens.sources.tables import StaleVersion, amend_version, partition_folders, parts_of_partition, read_version, versions, write_version
 
 DAY = date(2025, 3, 31)
 
@@ -200,3 +200,19 @@ def test_classified_ledger_equals_the_job_over_all_lines(spark, mixed, monkeypat
     assert done.version == 2 and _told(ledger) == want and "NC SA" not in done.companies
     assert _counted(corrections.read_vendor_counts(spark, mixed)) == _counted(V.counts(ledger))
     assert _sums(corrections.read_rollup(spark, mixed)) == _sums(R.rollup(ledger))
+
+
+def test_corrected_sums_are_neither_read_nor_rewritten(spark, root, tmp_path, monkeypatch):
+    corrections.read_vendor_counts(spark, root)
+    corrections.correct_by_id(spark, root, _by_id(spark, (1, 1, "N1", None, None), (2, 7, None, None, "Cerrado"), (3, 9, "", "S", None)))
+    for name, rows in (("rollup", 2), ("vendor_counts", 4)):
+        # A line with a new group leaves one combination and comes to another; a new status brings nothing, a new subgroup only to the counts.
+        written = spark.read.parquet(str(tmp_path / "ledger" / name / "changed=000002"))
+        assert written.count() == rows and written.agg(F.sum("filas")).first()[0] == 0
+        assert parts_of_partition(spark, f"{root}/{name}", 2) == 2
+    monkeypatch.setattr(corrections, "MERGE_AFTER", 2)
+    corrections.correct_by_id(spark, root, _by_id(spark, (1, 1, "G2", None, None)))
+    assert parts_of_partition(spark, f"{root}/rollup", 3) == 1
+    ledger = read_version(spark, root)
+    assert _sums(corrections.read_rollup(spark, root)) == _sums(R.rollup(ledger))
+    assert _counted(corrections.read_vendor_counts(spark, root)) == _counted(V.counts(ledger))
