@@ -333,3 +333,23 @@ def test_repeated_predictions_multiply_no_row(spark):
     ledger = spark.createDataFrame([(1, None, None), (2, "A", "B")], "id_transaccion long, grupo string, subgrupo string")
     found = spark.createDataFrame([(1, "X", "Y"), (1, "X", "Z"), (1, "W", "Z")], "id_transaccion long, grupo string, subgrupo string")
     assert {tuple(r) for r in apply_predictions(ledger, found).collect()} == {(1, "X", "Z"), (2, "A", "B")}
+
+
+def test_star_journals_are_written_for_the_companies_that_have_them(spark, tmp_path):
+    def put(name, rows, columns):
+        spark.createDataFrame(rows, columns).coalesce(1).write.parquet(str(tmp_path / f"{name}.parquet"))
+
+    put("lineitem", [(k, 1, 1, k, 1.0, 10.0, "O", "N") for k in range(39)],
+        "l_orderkey long, l_linenumber long, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, l_linestatus string, l_returnflag string")
+    put("orders", [(k, "1998-03-01", "O", "1-URGENT") for k in range(39)], "o_orderkey long, o_orderdate string, o_orderstatus string, o_orderpriority string")
+    put("supplier", [(k, f"S{k}") for k in range(39)], "s_suppkey long, s_name string")
+    put("part", [(1, "n", "t", "b")], "p_partkey long, p_name string, p_type string, p_brand string")
+    put("nation", [(k, f"N{k}") for k in range(25)], "n_nationkey int, n_name string")
+    found = X.stored_sources(spark, str(tmp_path))
+    star = [s for s in found if s.layout == "D"]
+    detail = spark.read.parquet(star[0].tables["detail"].path.rsplit("/", 1)[0])
+    assert {r[0] for r in detail.select("empresa").distinct().collect()} == {s.empresa for s in star} and detail.count() == 3 * len(star)
+    for spec in found:
+        for role in spec.tables:
+            if role in ("journal", "detail", "voucher", "header"):
+                assert spark.read.parquet(spec.tables[role].path).count() == 3
