@@ -87,7 +87,10 @@ def interest_vectors(loans: DataFrame, months: int = C.DEBT_MONTHS, key: str = "
     first, while they are small, so neither a table of one file nor a scenario with a third of all loans is one task.
     """
     dealt = _terms(loans.repartition(*loans.columns))
-    of_month = F.transform(F.sequence(F.lit(0), F.lit(months - 1)), lambda k: _interest_on(_owed(k)))
+    # The months of a loan's term are evaluated, the others are zero.
+    owing = F.least("_n", F.lit(months))
+    of_term = F.when(owing > 0, F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), owing - 1)), lambda k: _interest_on(_owed(k))))
+    of_month = F.concat(F.coalesce(of_term, F.array().cast("array<double>")), F.array_repeat(F.lit(0.0), F.lit(months) - owing))
     sums = dealt.select(key, array_to_vector(of_month).alias("_vector")).groupBy(key).agg(Summarizer.sum(F.col("_vector")).alias("_sum"))
     return sums.select(key, vector_to_array("_sum").alias("interest"))
 

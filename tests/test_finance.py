@@ -198,3 +198,13 @@ def test_one_vector_travels_per_scenario_and_task(spark):
     plan = N.interest_vectors(table)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 2 and "Generate" not in plan
     assert plan.index("ObjectHashAggregate") < plan.index("Exchange hashpartitioning") < plan.rindex("ObjectHashAggregate")
+
+
+def test_months_after_a_loan_has_ended_are_not_evaluated(spark):
+    rows = [("a", 100.0, 12.0, 1), ("b", 100.0, 0.0, 40), ("c", 100.0, 5.0, 0), ("d", 100.0, 5.0, 10), ("e", -1.0, 5.0, 2)]
+    table = spark.createDataFrame(rows, "scenario_id string, amount double, rate double, term_years int")
+    vectors = N.interest_vectors(table)
+    assert "array_repeat(0.0, (120 - " in vectors._jdf.queryExecution().optimizedPlan().toString()
+    got = {r.scenario_id: r.interest for r in vectors.collect()}
+    assert all(len(v) == 120 for v in got.values()) and got["a"][11] > 0 and set(got["a"][12:]) == {0.0}
+    assert got["d"][119] > 0 and not any(got["b"] + got["c"] + got["e"])
